@@ -30,4 +30,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_core, queries_ingest, queries_state, queries_window  # noqa: F401
+    from . import queries_core, queries_ingest, queries_misc, queries_state, queries_window  # noqa: F401
