@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import parse_counter, parse_gauge
+from ..operators.common import materialize
 from ..operators.fold import store_check
 from ..schema import (COUNTER, EMPTY_NAME, EMPTY_TYPE, EMPTY_VALUE, GAUGE, KINDS, NIL_DELTA,
                       NIL_VALUE, PARSE_ERROR, ROUTE_UPDATE_JSON, ROUTE_UPDATE_TEXT,
@@ -34,9 +35,9 @@ def validate_text(df: DataFrame, raw: str = "raw_value") -> DataFrame:
              .when(_EMPTY(raw), F.lit(EMPTY_VALUE))
              .when(is_c & d.isNull(), F.lit(UNKNOWN_VALUE))
              .when(is_g & v.isNull(), F.lit(UNKNOWN_VALUE)))
-    return (df.withColumn("reject_code", code)
-              .withColumn("delta", F.when(F.col("reject_code").isNull() & is_c, d))
-              .withColumn("value", F.when(F.col("reject_code").isNull() & is_g, v)))
+    return materialize(df.withColumn("reject_code", code)
+                         .withColumn("delta", F.when(F.col("reject_code").isNull() & is_c, d))
+                         .withColumn("value", F.when(F.col("reject_code").isNull() & is_g, v)))
 
 
 def validate_rows(df: DataFrame) -> DataFrame:

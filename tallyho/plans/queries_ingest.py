@@ -13,7 +13,9 @@ from ..functions.codec import gzip_compress
 from ..functions.signing import sign
 from ..operators import fold as fo
 from ..operators import validate as va
+from ..operators.common import spread
 from ..schema import COUNTER, PARSE_ERROR, ROUTE_UPDATE_JSON, ROUTE_UPDATE_TEXT, ROUTE_UPDATES_JSON
+from ..session import scratch_path
 from ..sources import payloads as pl
 from ..sources.events import DIRTY_UPDATES_SQL, UPDATES_SQL, load_dirty_updates, load_updates
 from .queries_core import FOLD_SQL
@@ -26,7 +28,7 @@ KEY = "metrics-signing-key"
 
 def text_paths(spark, sf_dir):
     """One ``/update/{type}/{name}/{value}`` request per event."""
-    u = load_updates(spark, sf_dir)
+    u = load_updates(spark, sf_dir, spread_rows=True)
     s = F.col("seq")
     is_c = F.col("mtype") == COUNTER
     good = F.when(is_c, F.col("delta").cast("string")).otherwise(F.format_string("%.2f", F.col("value")))
@@ -219,7 +221,22 @@ BAD_JSON = "not json"
 WRONG_TYPE = '[{"id":"x","type":"counter","delta":1.5}]'
 
 
+def as_input_table(df, name):
+    """Write a derived request table once to the shared folder and read it
+    back: raw requests are an input table, and later plan branches (the
+    batch gate reads its rows twice) then scan Parquet instead of deriving
+    the requests again."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spread(spark.read.parquet(path))
+
+
 def batch_bodies(spark, sf_dir):
+    return as_input_table(_batch_bodies(spark, sf_dir), "batch-bodies")
+
+
+def _batch_bodies(spark, sf_dir):
     """One JSON array body per batch of 100 events (bounded groups), in
     position order; some bodies replaced by broken ones."""
     d = load_dirty_updates(spark, sf_dir)
@@ -284,7 +301,7 @@ def q_json_batch_fold(spark, sf_dir):
 def envelopes(spark, sf_dir):
     """Requests carrying the batch bodies: gzip on even batches, a signature
     on most; some with a wrong signature, broken gzip or wrong content type."""
-    b = batch_bodies(spark, sf_dir)
+    b = _batch_bodies(spark, sf_dir)
     bid = F.col("batch_id")
     zipped = bid % 2 == 0
     payload = F.when(zipped, gzip_compress(F.col("body"))).otherwise(F.col("body").cast("binary"))
@@ -294,11 +311,11 @@ def envelopes(spark, sf_dir):
                   .when(bid % 3 == 1, F.lit("application/json; charset=utf-8"))
                   .otherwise(F.lit("application/json")).alias("content_type"),
                  F.when(zipped | (bid % 13 == 6), F.lit("gzip")).otherwise(F.lit("")).alias("content_encoding"))
-    sig = (F.when(bid % 11 == 5, F.lit("00") )
+    sig = (F.when(bid % 11 == 5, F.lit("00"))
             .when(bid % 5 == 4, F.lit(None).cast("string"))
             .when(bid % 9 == 2, F.upper(sign(F.col("body"), KEY)))
             .otherwise(sign(F.col("body"), KEY)))
-    return e.withColumn("signature", sig)
+    return as_input_table(e.withColumn("signature", sig), "envelopes")
 
 
 ADMIT_SQL = BATCH_OUTCOME_SQL + """
@@ -376,7 +393,7 @@ def q_ingest_fold(spark, sf_dir):
 
 
 def single_bodies(spark, sf_dir):
-    d = load_dirty_updates(spark, sf_dir)
+    d = load_dirty_updates(spark, sf_dir, spread_rows=True)
     body = F.to_json(F.struct("id", F.col("mtype").alias("type"), "delta", "value"))
     body = F.when(F.col("seq") % 41 == 0, F.lit(BAD_JSON)).otherwise(body)
     return d.select("seq", body.alias("body"))
@@ -473,7 +490,7 @@ FROM ({UPDATES_SQL}) u
 """)
 def q_scan_lookup_json(spark, sf_dir):
     """Lookup bodies; an undecodable body or an empty id/type is a 400."""
-    u = load_updates(spark, sf_dir)
+    u = load_updates(spark, sf_dir, spread_rows=True)
     body = F.to_json(F.struct(F.when(F.col("seq") % 7 == 0, F.lit("")).otherwise(F.col("id")).alias("id"),
                               F.col("mtype").alias("type")))
     body = F.when(F.col("seq") % 11 == 0, F.lit(BAD_JSON)).otherwise(body)

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import spread
 from ..schema import COUNTER, GAUGE
 
 # Which event types count as counters; the batch size.
@@ -25,8 +26,11 @@ COUNTER_EVENTS = ("click", "view", "signup")
 BATCH_SIZE = 100
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
+    """A given table. ``spread_rows`` deals a single-split input over the
+    cores, for heavy per-row work (payload decoding) before the first shuffle."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if spread_rows else df
 
 
 def props_k(props="props"):
@@ -52,8 +56,9 @@ def updates_from_events(events: DataFrame, wide: bool = False, with_ts: bool = F
     return events.select(*cols)
 
 
-def load_updates(spark: SparkSession, sf_dir: str, wide: bool = False, with_ts: bool = False) -> DataFrame:
-    return updates_from_events(read_table(spark, sf_dir, "events"), wide=wide, with_ts=with_ts)
+def load_updates(spark: SparkSession, sf_dir: str, wide: bool = False, with_ts: bool = False,
+                 spread_rows: bool = False) -> DataFrame:
+    return updates_from_events(read_table(spark, sf_dir, "events", spread_rows), wide=wide, with_ts=with_ts)
 
 
 # Rules that make some updates invalid, so validation and batch gating have
@@ -73,8 +78,8 @@ def dirty_updates_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def load_dirty_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_updates_from_events(read_table(spark, sf_dir, "events"))
+def load_dirty_updates(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
+    return dirty_updates_from_events(read_table(spark, sf_dir, "events", spread_rows))
 
 
 # The same mapping as SQL, for DuckDB oracles.

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codec import gunzip
 from ..functions.signing import verify
+from ..operators.common import materialize
 from ..schema import (BAD_CONTENT_TYPE, BAD_GZIP, BAD_SIGNATURE, PARSE_ERROR)
 
 # Allowed JSON types per field, as ``schema_of_variant`` spells them.
@@ -60,8 +61,8 @@ def parse_batches(df: DataFrame, body: str = "body", key: str = "batch_id") -> D
     arr = F.when(~F.col("parse_error"), F.try_variant_get(F.col("_v"), "$", "array<variant>"))
     d = d.select(key, "parse_error", F.posexplode_outer(arr).alias("pos", "_e"))
     d = d.filter(F.col("parse_error") | F.col("pos").isNotNull())
-    return d.select(key, F.col("pos").cast("int").alias("pos"), *_metric_fields(F.col("_e")),
-                    "parse_error")
+    return materialize(d.select(key, F.col("pos").cast("int").alias("pos"), *_metric_fields(F.col("_e")),
+                                "parse_error"))
 
 
 def parse_singles(df: DataFrame, body: str = "body") -> DataFrame:
@@ -72,7 +73,7 @@ def parse_singles(df: DataFrame, body: str = "body") -> DataFrame:
     shape_ok = (sv == "VOID") | sv.rlike(r"^OBJECT<.*>$")
     err = v.isNull() | ~(shape_ok & _fields_ok(sv))
     keep = [c for c in df.columns if c != body]
-    return df.select(*keep, *_metric_fields(v), err.alias("parse_error"))
+    return materialize(df.select(*keep, *_metric_fields(v), err.alias("parse_error")))
 
 
 def parse_lookups(df: DataFrame, body: str = "body") -> DataFrame:
@@ -82,8 +83,9 @@ def parse_lookups(df: DataFrame, body: str = "body") -> DataFrame:
     shape_ok = (sv == "VOID") | sv.rlike(r"^OBJECT<.*>$")
     err = v.isNull() | ~(shape_ok & _fields_ok(sv))
     keep = [c for c in df.columns if c != body]
-    return df.select(*keep, F.try_variant_get(v, "$.id", "string").alias("id"),
-                     F.try_variant_get(v, "$.type", "string").alias("mtype"), err.alias("parse_error"))
+    return materialize(df.select(*keep, F.try_variant_get(v, "$.id", "string").alias("id"),
+                                 F.try_variant_get(v, "$.type", "string").alias("mtype"),
+                                 err.alias("parse_error")))
 
 
 UPDATE_PATH = r"^/update/([^/]*)/([^/]*)/([^/]*)$"
@@ -127,8 +129,9 @@ def admit(envelopes: DataFrame, key: str, require_json: bool = True) -> DataFram
     status = F.when(F.col("admit_code") == BAD_CONTENT_TYPE, F.lit(415)) \
               .when(F.col("admit_code").isNotNull(), F.lit(400))
     d = d.withColumn("admit_code", code).withColumn("admit_status", status)
-    return d.withColumn("json", F.when(F.col("admit_code").isNull(), F.col("_raw").cast("string"))) \
-            .drop("_sig", "_raw")
+    return materialize(
+        d.withColumn("json", F.when(F.col("admit_code").isNull(), F.col("_raw").cast("string")))
+         .drop("_sig", "_raw"))
 
 
 __all__ = ["parse_batches", "parse_singles", "parse_lookups", "parse_paths",
