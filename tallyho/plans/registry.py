@@ -30,5 +30,5 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import (queries_core, queries_ingest, queries_misc, queries_state,  # noqa: F401
-                   queries_stream, queries_window)
+    from . import (queries_core, queries_functions, queries_ingest, queries_misc,  # noqa: F401
+                   queries_state, queries_stream, queries_window)
