@@ -53,3 +53,53 @@ FROM j GROUP BY tick_no, id, mtype
 def q_tick_snapshot(spark, sf_dir):
     """Daily snapshots of the state (the dump/report ticker, as a table)."""
     return wi.tick_snapshot(load_updates(spark, sf_dir, with_ts=True), DAY)
+
+
+# One key holds a third of all rows: the echo's window partitions are
+# (key, seq range), so the hot key is spread over many tasks.
+HOT_UPDATES_SQL = f"""
+SELECT seq, CASE WHEN seq % 3 = 0 THEN 'hot' ELSE id END AS id,
+       CASE WHEN seq % 3 = 0 THEN 'counter' ELSE mtype END AS mtype,
+       CASE WHEN seq % 3 = 0 THEN coalesce(delta, 1) ELSE delta END AS delta,
+       CASE WHEN seq % 3 = 0 THEN NULL ELSE value END AS value, hash
+FROM ({UPDATES_SQL}) u
+"""
+
+
+def hot_updates(spark, sf_dir):
+    from pyspark.sql import functions as F
+    u = load_updates(spark, sf_dir)
+    hot = F.col("seq") % 3 == 0
+    return u.select(
+        "seq",
+        F.when(hot, F.lit("hot")).otherwise(F.col("id")).alias("id"),
+        F.when(hot, F.lit("counter")).otherwise(F.col("mtype")).alias("mtype"),
+        F.when(hot, F.coalesce("delta", F.lit(1))).otherwise(F.col("delta")).alias("delta"),
+        F.when(hot, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"),
+        "hash")
+
+
+@query("batch_echo_hot", f"""
+SELECT seq, id, mtype,
+       CASE WHEN mtype = 'counter'
+            THEN CAST(sum(delta) OVER (PARTITION BY id, mtype ORDER BY seq
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+            ELSE delta END AS delta,
+       value
+FROM ({HOT_UPDATES_SQL}) h
+""")
+def q_batch_echo_hot(spark, sf_dir):
+    """Running totals when one counter receives a third of all updates."""
+    return wi.batch_echo(hot_updates(spark, sf_dir), range_size=1024)
+
+
+@query("fold_state_hot", f"""
+SELECT id, mtype,
+       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, seq) END AS delta,
+       arg_max_null(value, seq) AS value, arg_max_null(hash, seq) AS hash
+FROM ({HOT_UPDATES_SQL}) h GROUP BY id, mtype
+""")
+def q_fold_state_hot(spark, sf_dir):
+    """The fold when one key holds a third of all rows (partial aggregation
+    sends one row per task for it)."""
+    return fo.fold_state(hot_updates(spark, sf_dir))
