@@ -62,21 +62,27 @@ def patch_snapshot(old: DataFrame, patches: DataFrame, seq: str = "seq") -> Data
         F.max_by("hash", seq).alias("last_hash"),
     )
     is_c, is_g = F.col("mtype") == COUNTER, F.col("mtype") == GAUGE
-    patched = old.join(agg, KEY, "left").select(
-        *KEY,
-        F.when(F.col("last_hash").isNotNull() & is_c, F.col("last_delta")).otherwise(F.col("delta")).alias("delta"),
-        F.when(F.col("last_hash").isNotNull() & is_g, F.col("last_value")).otherwise(F.col("value")).alias("value"),
-        F.when(F.col("last_hash").isNotNull(), F.col("last_hash")).otherwise(F.col("hash")).alias("hash"),
-    )
-    appended = agg.join(old.select(*KEY), KEY, "left_anti").select(
+    o = old.select(*KEY, F.col("delta").alias("o_delta"), F.col("value").alias("o_value"),
+                   F.col("hash").alias("o_hash"), F.lit(True).alias("_old"))
+    # one full outer join: patched old rows, untouched old rows, appended keys
+    j = o.join(agg, KEY, "full")
+    hit, was = F.col("last_hash").isNotNull(), F.col("_old").isNotNull()
+    return j.select(
         *KEY,
-        F.when(is_c, F.col("last_delta")).otherwise(F.col("first_delta")).alias("delta"),
-        F.when(is_g, F.col("last_value")).otherwise(F.col("first_value")).alias("value"),
-        F.col("last_hash").alias("hash"),
+        F.when(was & hit & is_c, F.col("last_delta")).when(was, F.col("o_delta"))
+         .when(is_c, F.col("last_delta")).otherwise(F.col("first_delta")).alias("delta"),
+        F.when(was & hit & is_g, F.col("last_value")).when(was, F.col("o_value"))
+         .when(is_g, F.col("last_value")).otherwise(F.col("first_value")).alias("value"),
+        F.when(hit, F.col("last_hash")).otherwise(F.col("o_hash")).alias("hash"),
     )
-    return patched.unionByName(appended)
 
 
 def append_missing(old: DataFrame, rows: DataFrame) -> DataFrame:
-    """Old rows, plus the rows whose key the old table lacks."""
-    return old.unionByName(rows.join(old.select(*KEY), KEY, "left_anti"))
+    """Old rows, plus the rows whose key the old table lacks (one full outer
+    join on the key; ``rows`` is unique on the key)."""
+    vals = ["delta", "value", "hash"]
+    o = old.select(*KEY, *[F.col(c).alias(f"o_{c}") for c in vals], F.lit(True).alias("_old"))
+    n = rows.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in vals])
+    j = o.join(n, KEY, "full")
+    was = F.col("_old").isNotNull()
+    return j.select(*KEY, *[F.when(was, F.col(f"o_{c}")).otherwise(F.col(f"n_{c}")).alias(c) for c in vals])

@@ -40,15 +40,25 @@ def validate_text(df: DataFrame, raw: str = "raw_value") -> DataFrame:
                          .withColumn("value", F.when(F.col("reject_code").isNull() & is_g, v)))
 
 
+def element_code(m):
+    """Batch-route rule for one metric (a struct or a row's columns): empty
+    name, unknown (or empty) type, counter without delta, gauge without
+    value. A null array element fails as an empty name."""
+    mid, mt = F.coalesce(m["id"], F.lit("")), m["mtype"]
+    return (F.when(mid == "", F.lit(EMPTY_NAME))
+             .when(~F.coalesce(mt.isin(*KINDS), F.lit(False)), F.lit(UNKNOWN_TYPE))
+             .when((mt == COUNTER) & m["delta"].isNull(), F.lit(EMPTY_VALUE))
+             .when((mt == GAUGE) & m["value"].isNull(), F.lit(EMPTY_VALUE)))
+
+
+class _Cols:
+    def __getitem__(self, name):
+        return F.col(name)
+
+
 def validate_rows(df: DataFrame) -> DataFrame:
-    """Batch-route rule per row: empty name, unknown (or empty) type, counter
-    without delta, gauge without value. A null array element arrives as a
-    row of nulls and fails as an empty name."""
-    code = (F.when(_EMPTY("id"), F.lit(EMPTY_NAME))
-             .when(~F.coalesce(F.col("mtype").isin(*KINDS), F.lit(False)), F.lit(UNKNOWN_TYPE))
-             .when((F.col("mtype") == COUNTER) & F.col("delta").isNull(), F.lit(EMPTY_VALUE))
-             .when((F.col("mtype") == GAUGE) & F.col("value").isNull(), F.lit(EMPTY_VALUE)))
-    return df.withColumn("reject_code", code)
+    """Batch-route rule per row (see ``element_code``)."""
+    return df.withColumn("reject_code", element_code(_Cols()))
 
 
 def validate_single(df: DataFrame) -> DataFrame:

@@ -265,13 +265,6 @@ def q_scan_updates_json(spark, sf_dir):
     return pl.parse_batches(batch_bodies(spark, sf_dir))
 
 
-def _batch_outcome(rows):
-    """Per batch: parse error, or the first failing row (batch route)."""
-    checked = va.validate_rows(rows).withColumn(
-        "reject_code", F.when(F.col("parse_error"), F.lit(PARSE_ERROR)).otherwise(F.col("reject_code")))
-    return checked
-
-
 BATCH_OUTCOME_SQL = f"""
 WITH r AS ({PARSED_BATCH_SQL}),
 v AS (SELECT *, CASE WHEN parse_error THEN 'parse_error'
@@ -290,9 +283,9 @@ SELECT id, mtype,
 FROM v WHERE batch_id NOT IN (SELECT batch_id FROM bad) GROUP BY id, mtype
 """)
 def q_json_batch_fold(spark, sf_dir):
-    """Decoded batch bodies → batch gate → fold (order = batch, position)."""
-    accepted, _ = va.batch_gate(_batch_outcome(pl.parse_batches(batch_bodies(spark, sf_dir))))
-    return fo.fold_state(accepted.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")))
+    """Decoded and gated batch bodies → fold (order = batch, position)."""
+    rows = pl.accepted_rows(pl.decode_batches(batch_bodies(spark, sf_dir)))
+    return fo.fold_state(rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")))
 
 
 # --------------------------------------------------------------- envelopes
@@ -336,23 +329,20 @@ FROM b LEFT JOIN first_bad f ON b.batch_id = f.batch_id
 """
 
 
-def admitted_rows(spark, sf_dir):
+def admitted(spark, sf_dir):
+    """Every request admitted (signature, gzip, content type), its body
+    decoded and gated in the same pass."""
     a = pl.admit(envelopes(spark, sf_dir), KEY)
-    rows = pl.parse_batches(a.filter(F.col("admit_code").isNull()).select("batch_id", F.col("json").alias("body")))
-    return a, _batch_outcome(rows)
+    return pl.decode_batches(a.select("batch_id", "admit_code", "admit_status", F.col("json").alias("body")))
 
 
 @query("admit_envelope", ADMIT_SQL)
 def q_admit_envelope(spark, sf_dir):
     """Status of every request: signature → gzip → content type → body → rows."""
-    a, rows = admitted_rows(spark, sf_dir)
-    _, rejected = va.batch_gate(rows.withColumn("pos", F.coalesce(F.col("pos"), F.lit(-1))))
-    j = a.select("batch_id", "admit_code", "admit_status").join(
-        rejected.select("batch_id", F.col("reject_code").alias("row_code"), F.col("status").alias("row_status")),
-        "batch_id", "left")
-    return j.select("batch_id",
-                    F.coalesce("admit_code", "row_code").alias("reject_code"),
-                    F.coalesce("admit_status", "row_status", F.lit(200)).alias("status"))
+    d = admitted(spark, sf_dir)
+    return d.select("batch_id",
+                    F.coalesce("admit_code", "reject_code").alias("reject_code"),
+                    F.coalesce("admit_status", "status").alias("status"))
 
 
 @query("scan_gzip_payload", f"""
@@ -383,10 +373,11 @@ SELECT id, mtype,
 FROM v WHERE batch_id NOT IN (SELECT batch_id FROM bad) GROUP BY id, mtype
 """)
 def q_ingest_fold(spark, sf_dir):
-    """Raw requests → admitted → decoded → gated → folded state."""
-    _, rows = admitted_rows(spark, sf_dir)
-    accepted, _ = va.batch_gate(rows.withColumn("pos", F.coalesce(F.col("pos"), F.lit(-1))))
-    return fo.fold_state(accepted.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")))
+    """Raw requests → admitted → decoded and gated per body → folded state:
+    one pass over the requests and one shuffle (the fold)."""
+    d = admitted(spark, sf_dir).filter(F.col("admit_code").isNull())
+    rows = pl.accepted_rows(d)
+    return fo.fold_state(rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")))
 
 
 # ------------------------------------------------------------ single JSON

@@ -136,3 +136,47 @@ def admit(envelopes: DataFrame, key: str, require_json: bool = True) -> DataFram
 
 __all__ = ["parse_batches", "parse_singles", "parse_lookups", "parse_paths",
            "parse_lookup_paths", "admit", "PARSE_ERROR"]
+
+
+METRIC_ARRAY = "array<struct<id string, type string, delta bigint, value double, hash string>>"
+
+
+def decode_batches(df: DataFrame, body: str = "body") -> DataFrame:
+    """Batch bodies → one row per body with its decoded, gated metrics.
+
+    A batch is one request body, so the all-or-nothing rule (the first
+    failing element decides, nothing of the batch is applied) is evaluated
+    inside the row with array functions: no shuffle, and the body is decoded
+    once. Other columns are kept; adds ``parse_error``, ``metrics`` (array of
+    ``pos, id, mtype, delta, value, hash``), ``first_bad_pos``,
+    ``reject_code`` (null when the batch is accepted) and ``status``.
+    """
+    from ..operators.validate import element_code, route_status
+    from ..schema import ROUTE_UPDATES_JSON
+
+    keep = [F.col(f"`{c}`") for c in df.columns if c != body]
+    d = df.select(*keep, F.try_parse_json(F.col(body).cast("string")).alias("_v"))
+    sv = F.schema_of_variant(F.col("_v"))
+    shape_ok = (sv == "VOID") | sv.rlike(r"^ARRAY<(VOID|OBJECT<.*>)>$")
+    d = d.withColumn("parse_error", F.col("_v").isNull() | ~(shape_ok & _fields_ok(sv)))
+    typed = F.when(~F.col("parse_error"),
+                   F.coalesce(F.try_variant_get(F.col("_v"), "$", METRIC_ARRAY), F.array()))
+    metrics = F.transform(typed, lambda m, i: F.struct(
+        i.cast("int").alias("pos"), m["id"].alias("id"), m["type"].alias("mtype"),
+        m["delta"].alias("delta"), m["value"].alias("value"),
+        F.coalesce(m["hash"], F.lit("")).alias("hash")))
+    d = d.withColumn("metrics", metrics).drop("_v")
+    bad = F.filter(F.transform("metrics", lambda m: F.struct(m["pos"].alias("pos"),
+                                                             element_code(m).alias("code"))),
+                   lambda x: x["code"].isNotNull())
+    first = F.try_element_at(bad, F.lit(1))
+    d = d.withColumn("first_bad_pos", F.when(~F.col("parse_error"), first["pos"])) \
+         .withColumn("reject_code", F.when(F.col("parse_error"), F.lit(PARSE_ERROR)).otherwise(first["code"]))
+    return materialize(d.withColumn("status", route_status("reject_code", ROUTE_UPDATES_JSON)))
+
+
+def accepted_rows(decoded: DataFrame, key: str = "batch_id") -> DataFrame:
+    """Metric rows of the accepted batches (``key, pos, id, mtype, delta,
+    value, hash``)."""
+    ok = decoded.filter(F.col("reject_code").isNull())
+    return ok.select(key, F.inline("metrics"))
