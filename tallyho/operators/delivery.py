@@ -5,8 +5,10 @@ is retriable (a network error or an HTTP status >= 500); only status 200 is
 success. The roll-up keeps the attempts the sender would have made, and
 renders the retry message listing the failed ones.
 
-Attempts are grouped per report; a report has at most four attempts by that
-rule (later rows can never be sent), so each group is bounded.
+Attempts are first reduced to one row per (report, attempt number) with a
+partial aggregate, then grouped per report: only attempt numbers 1-4 can
+ever be sent, so each report's list holds at most four entries however many
+rows the input has for it.
 """
 
 from __future__ import annotations
@@ -39,11 +41,14 @@ def delivery_rollup(attempts: DataFrame) -> DataFrame:
     """``(report_id, attempt_no, kind, http_status, error)`` → ``report_id,
     succeeded, sends, failed_attempts, message`` (message null when the
     first send succeeded)."""
-    a = attempts.filter(F.col("attempt_no") <= MAX_SENDS).select(
+    a = attempts.filter((F.col("attempt_no") >= 1) & (F.col("attempt_no") <= MAX_SENDS)).select(
         "report_id", "attempt_no",
-        is_success(F.col("kind"), F.col("http_status")).alias("ok"),
-        is_retriable(F.col("kind"), F.col("http_status")).alias("retriable"),
+        F.coalesce(is_success(F.col("kind"), F.col("http_status")), F.lit(False)).alias("ok"),
+        F.coalesce(is_retriable(F.col("kind"), F.col("http_status")), F.lit(False)).alias("retriable"),
         attempt_error_text(F.col("kind"), F.col("http_status"), F.col("error")).alias("text"))
+    # one outcome per attempt number (duplicates, if any, resolve the same way everywhere)
+    a = a.groupBy("report_id", "attempt_no").agg(F.min(F.struct("ok", "retriable", "text")).alias("o")) \
+         .select("report_id", "attempt_no", "o.ok", "o.retriable", "o.text")
     g = a.groupBy("report_id").agg(
         F.min(F.when(F.col("ok") | ~F.col("retriable"), F.col("attempt_no"))).alias("stop_at"),
         F.array_sort(F.collect_list(F.struct("attempt_no", "ok", "text"))).alias("all"))
