@@ -114,3 +114,31 @@ def test_decode_batches_gates_in_row(spark):
                    (6, 0, "empty_metric_name", 400), (7, None, "parse_error", 400)]
     rows = rows_of(pl.accepted_rows(d), "batch_id", "pos", "id", "delta", "value")
     assert rows == [(0, 0, "hits", 5, None), (0, 1, "temp", None, 3.14)]
+
+
+def test_readme_ingest_path(spark):
+    from tallyho.operators.fold import fold_state, merge_state
+    from tallyho.schema import METRIC
+    from tallyho.session import scratch_path
+    from tallyho.sinks.snapshot import write_snapshot_table
+    from tallyho.sources.snapshot import read_snapshot_table
+
+    key = "k"
+    b1 = b'[{"id":"hits","type":"counter","delta":3},{"id":"hits","type":"counter","delta":7}]'
+    b2 = gzip.compress(b'[{"id":"temp","type":"gauge","value":1.5}]')
+    b3 = b'[{"id":"hits","type":"counter","delta":100},{"id":"","type":"gauge","value":1}]'
+    sig = lambda b: hmac.new(key.encode(), b, hashlib.sha256).hexdigest()
+    env = spark.createDataFrame(
+        [(1, bytearray(b1), "application/json", "", sig(b1)), (2, bytearray(b2), "application/json", "gzip", sig(b2)),
+         (3, bytearray(b3), "application/json", "", None), (4, bytearray(b1), "application/json", "", "00")],
+        "batch_id long, body binary, content_type string, content_encoding string, signature string")
+    base = scratch_path(spark, "readme")
+    write_snapshot_table(spark.createDataFrame([("hits", "counter", 5, None, "")], METRIC), base)
+    req = pl.admit(env, key)
+    dec = pl.decode_batches(req.select("batch_id", "admit_code", F.col("json").alias("body")))
+    rows = pl.accepted_rows(dec.filter("admit_code IS NULL"))
+    upd = rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos"))
+    state = merge_state(read_snapshot_table(spark, base), fold_state(upd))
+    write_snapshot_table(state, base)
+    assert rows_of(read_snapshot_table(spark, base)) == [("hits", "counter", 15, None, ""),
+                                                         ("temp", "gauge", None, 1.5, "")]
