@@ -33,9 +33,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool =
     return spread(df) if spread_rows else df
 
 
+# The flat form ``{"k": <int>}`` exactly (at most 18 digits, so no overflow).
+FLAT_K = r'^\{"k":\s*(-?[0-9]{1,18})\}$'
+
+
 def props_k(props="props"):
-    """``k`` from a ``{"k": n}`` props string, as BIGINT."""
-    return F.get_json_object(F.col(props), "$.k").cast("bigint")
+    """``k`` from a props JSON string, as BIGINT (null if absent or not an
+    integer). The flat one-key form is read with an anchored regex; any other
+    text goes through the JSON parser, so the result is the same either way."""
+    p = F.col(props)
+    flat = F.regexp_extract(p, FLAT_K, 1)
+    return F.when(flat != "", flat.cast("bigint")).otherwise(
+        F.get_json_object(p, "$.k").try_cast("bigint"))
 
 
 def updates_from_events(events: DataFrame, wide: bool = False, with_ts: bool = False) -> DataFrame:
@@ -90,7 +99,7 @@ SELECT event_id AS seq,
        event_type || '_' || CAST(user_id % 10 AS VARCHAR) AS id,
        CASE WHEN event_type IN ('click','view','signup') THEN 'counter' ELSE 'gauge' END AS mtype,
        CASE WHEN event_type IN ('click','view','signup')
-            THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS delta,
+            THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS delta,
        CASE WHEN event_type IN ('click','view','signup') THEN NULL ELSE value END AS value,
        '' AS hash,
        ts
