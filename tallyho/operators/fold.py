@@ -13,7 +13,9 @@ one. The string ``hash`` would force a sort-based aggregate over every row;
 instead it is folded from only the rows that carry a non-empty hash (usually
 none, and the Parquet filter skips row groups without one) and joined back on
 the key. Both sides are already hash-partitioned on the key by their own
-aggregation, so that join adds no exchange.
+aggregation, so that join adds no exchange. When the input is expensive to
+recompute (decoded request bodies), ``hash_pass="inline"`` folds everything
+in one pass instead, accepting the sort-based aggregate.
 """
 
 from __future__ import annotations
@@ -31,14 +33,35 @@ def _norm_hash(df: DataFrame) -> DataFrame:
     return df.withColumn("hash", F.lit(""))
 
 
-def fold_state(updates: DataFrame, keep_seq: bool = False) -> DataFrame:
+def fold_state(updates: DataFrame, keep_seq: bool = False, hash_pass: str = "separate") -> DataFrame:
     """Update rows ``(seq, id, mtype, delta, value[, hash])`` → state rows.
 
     Input is assumed validated (see ``operators.validate``). With
     ``keep_seq`` the result carries ``last_seq`` for later merges.
+
+    ``hash_pass`` picks how the string ``hash`` is folded:
+    ``"separate"`` (default, for stored tables) keeps the main aggregate a
+    ``HashAggregate`` and reads the rows carrying a hash in a second,
+    column-pruned pass; ``"inline"`` (for inputs that are expensive to
+    recompute, e.g. freshly decoded request bodies) folds it in the same
+    single pass, which Spark plans as a sort-based aggregate.
     """
     u = _norm_hash(updates.select("seq", "id", "mtype", "delta", "value",
                                   *(["hash"] if "hash" in updates.columns else [])))
+    if hash_pass == "inline":
+        out = u.groupBy("id", "mtype").agg(
+            *wrap_sum_aggs("delta", "d"),
+            F.max_by("delta", "seq").alias("last_delta"),
+            F.max_by("value", "seq").alias("value"),
+            F.max_by("hash", "seq").alias("hash"),
+            F.max("seq").alias("last_seq"),
+        ).select(
+            "id", "mtype",
+            F.when(F.col("mtype") == COUNTER, wrap_sum_result("d")).otherwise(F.col("last_delta")).alias("delta"),
+            "value", "hash", "last_seq")
+        return out if keep_seq else out.drop("last_seq")
+    if hash_pass != "separate":
+        raise ValueError(f"hash_pass must be 'separate' or 'inline', not {hash_pass!r}")
     core = u.groupBy("id", "mtype").agg(
         *wrap_sum_aggs("delta", "d"),
         F.max_by("delta", "seq").alias("last_delta"),

@@ -285,7 +285,7 @@ FROM v WHERE batch_id NOT IN (SELECT batch_id FROM bad) GROUP BY id, mtype
 def q_json_batch_fold(spark, sf_dir):
     """Decoded and gated batch bodies → fold (order = batch, position)."""
     rows = pl.accepted_rows(pl.decode_batches(batch_bodies(spark, sf_dir)))
-    return fo.fold_state(rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")))
+    return fo.fold_state(rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")), hash_pass="inline")
 
 
 # --------------------------------------------------------------- envelopes
@@ -377,7 +377,7 @@ def q_ingest_fold(spark, sf_dir):
     one pass over the requests and one shuffle (the fold)."""
     d = admitted(spark, sf_dir).filter(F.col("admit_code").isNull())
     rows = pl.accepted_rows(d)
-    return fo.fold_state(rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")))
+    return fo.fold_state(rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")), hash_pass="inline")
 
 
 # ------------------------------------------------------------ single JSON

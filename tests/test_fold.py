@@ -127,3 +127,10 @@ def test_fold_plan_is_hash_aggregate(updates):
     u = updates([dict(seq=1, id="a", mtype="counter", delta=1)])
     plan = fo.fold_state(u.withColumn("hash", F.lit("")))._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+def test_inline_hash_pass_matches_separate(updates):
+    rows = [dict(seq=i, id=f"k{i % 4}", mtype="counter" if i % 3 else "gauge", delta=i, value=float(i),
+                 hash=["", "a", "b"][i % 3]) for i in range(60)]
+    u = updates(rows)
+    assert st(fo.fold_state(u, hash_pass="inline")) == st(fo.fold_state(u))
