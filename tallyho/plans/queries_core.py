@@ -50,3 +50,27 @@ def q_gauge_last(spark, sf_dir):
 @query("filter_kind", f"SELECT * FROM ({FOLD_SQL}) s WHERE mtype = 'counter'")
 def q_filter_kind(spark, sf_dir):
     return fo.of_kind(fo.fold_state(load_updates(spark, sf_dir)), COUNTER)
+
+
+def lineitem_updates(spark, sf_dir):
+    """``lineitem`` as a counter log: each line adds its quantity to its
+    part's counter. (The table has no unique arrival order, so only counters,
+    whose totals do not depend on order, are taken from it.)"""
+    from ..sources.events import read_table
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
+        F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("id"),
+        F.lit(COUNTER).alias("mtype"),
+        F.floor("l_quantity").cast("bigint").alias("delta"),
+        F.lit(None).cast("double").alias("value"))
+
+
+@query("fold_lineitem", """
+SELECT 'part_' || CAST(l_partkey AS VARCHAR) AS id, 'counter' AS mtype,
+       CAST(sum(CAST(floor(l_quantity) AS BIGINT)) AS BIGINT) AS delta, CAST(NULL AS DOUBLE) AS value, '' AS hash
+FROM lineitem GROUP BY l_partkey
+""")
+def q_fold_lineitem(spark, sf_dir):
+    """The fold over the largest given table (6x the events at every scale)."""
+    return fo.fold_state(lineitem_updates(spark, sf_dir))
