@@ -2,13 +2,17 @@
 
 Layout of a snapshot location::
 
-    <base>/v=<n>/part-*.json|parquet     one directory per committed version
-    <base>/_CURRENT                      text: the newest committed version
-
-A write goes to a fresh version directory (Spark's output commit makes that
-directory appear whole), and only then the small pointer file is replaced.
-Readers follow the pointer, so they never see a half-written snapshot, and a
-replayed write of the same version rewrites the same directory.
+    <base>/v=<version>/part-*.json|parquet   one directory per version
+    <base>/_versions/<version>               empty marker: that version is committed
+
+A write goes to a fresh version directory (Spark's output commit makes it
+appear whole); only then is its marker created. The current version is the
+greatest committed one. Markers are only ever created, never renamed,
+overwritten or deleted, so a driver or executor lost at any point leaves
+either the old or the new version current, never none. Version names are
+zero-padded and start with the commit time, so they sort in commit order,
+across runs too; replaying a write of the same version rewrites the same
+directory.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_CURRENT"
+MARKERS = "_versions"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -28,31 +32,47 @@ def _fs(spark: SparkSession, path: str):
 
 
 def read_pointer(spark: SparkSession, base: str) -> str | None:
+    """The current (greatest committed) version of a location, or None."""
     fs, _, jvm = _fs(spark, base)
-    p = jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}")
+    d = jvm.org.apache.hadoop.fs.Path(f"{base}/{MARKERS}")
+    if not fs.exists(d):
+        return None
+    names = [st.getPath().getName() for st in fs.listStatus(d)]
+    names = [n for n in names if not n.startswith((".", "_"))]
+    return max(names) if names else None
+
+
+def is_committed(spark: SparkSession, base: str, version: str) -> bool:
+    fs, _, jvm = _fs(spark, base)
+    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{MARKERS}/{version}")))
+
+
+def write_pointer(spark: SparkSession, base: str, version: str) -> None:
+    """Commit ``version``: create its (empty) marker."""
+    fs, _, jvm = _fs(spark, base)
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{base}/{MARKERS}/{version}"), True).close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file through the cluster file system (None if missing)."""
+    fs, p, jvm = _fs(spark, path)
     if not fs.exists(p):
         return None
     stream = fs.open(p)
     try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
         stream.close()
     return line.strip() if line else None
 
 
-def write_pointer(spark: SparkSession, base: str, version: str) -> None:
-    fs, _, jvm = _fs(spark, base)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}.{version}.tmp")
-    dst = jvm.org.apache.hadoop.fs.Path(f"{base}/{POINTER}")
-    out = fs.create(tmp, True)
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, False)
     try:
-        out.write(bytearray(version.encode("utf-8")))
+        out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    fs.rename(tmp, dst)
 
 
 def current_path(spark: SparkSession, base: str) -> str | None:
@@ -61,7 +81,7 @@ def current_path(spark: SparkSession, base: str) -> str | None:
 
 
 def new_version() -> str:
-    return str(time.time_ns())
+    return f"{time.time_ns():020d}"
 
 
 def metric_json_columns(df: DataFrame) -> DataFrame:

@@ -7,9 +7,11 @@ published by moving the pointer. Why ``foreachBatch`` and not a stateful
 streaming aggregation: the state must start from a saved snapshot (restore),
 and batches are validated as wholes before they are applied.
 
-Exactly-once: versions are named ``<run>-<epoch>``. A replayed epoch whose
-version was already published is skipped; one that crashed before
-publishing rewrites its directory from the same previous version.
+Exactly-once: versions are named ``<run>-<epoch>`` with ``<run>`` the
+stream's start time, so they sort in commit order across restarts. A
+replayed epoch whose version was already committed is skipped; one that
+crashed before committing rewrites its directory from the same previous
+version.
 
 The trigger chooses the dump policy: the default trigger persists after every
 micro-batch (sync dump); ``processingTime='300 seconds'`` persists every
@@ -18,13 +20,11 @@ interval (periodic dump); ``availableNow`` drains what is there (tests).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.fold import fold_state, merge_state
-from ..sinks.snapshot import read_pointer, write_pointer
+from ..sinks.snapshot import is_committed, new_version, read_pointer, read_text, write_pointer, write_text
 from ..sources.snapshot import read_snapshot_table
 
 
@@ -44,8 +44,8 @@ def make_batch_writer(base: str, run_id: str, report_base: str | None = None):
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         version = f"{run_id}-{epoch_id:09d}"
-        if read_pointer(spark, base) == version:
-            return  # already published: a replay after the pointer moved
+        if is_committed(spark, base, version):
+            return  # already committed: a replay after the commit
         delta = fold_state(batch, keep_seq=True)
         prev = _state_with_seq(spark, base)
         state = delta if prev is None else merge_state(prev, delta)
@@ -60,14 +60,27 @@ def make_batch_writer(base: str, run_id: str, report_base: str | None = None):
     return apply_batch
 
 
+def run_id_for(spark: SparkSession, checkpoint: str) -> str:
+    """The run id of a checkpoint: made on its first start, stored next to
+    it, and read back on every restart (so replayed epochs keep their
+    version names)."""
+    path = checkpoint.rstrip("/") + ".run"
+    rid = read_text(spark, path)
+    if rid is None:
+        write_text(spark, path, new_version())
+        rid = read_text(spark, path)
+    return rid
+
+
 def start_fold_stream(updates: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
                       run_id: str | None = None, report_base: str | None = None):
     """Start the streaming fold of an update stream into ``base``.
 
     ``updates`` is a streaming DataFrame of validated update rows. Returns the
-    ``StreamingQuery``. ``run_id`` should stay the same for one checkpoint.
+    ``StreamingQuery``.
     """
-    run_id = run_id or uuid.uuid4().hex[:8]
+    spark = updates.sparkSession
+    run_id = run_id or run_id_for(spark, checkpoint)
     w = (updates.writeStream.foreachBatch(make_batch_writer(base, run_id, report_base))
          .option("checkpointLocation", checkpoint))
     if trigger:

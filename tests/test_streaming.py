@@ -34,3 +34,9 @@ def test_file_stream_and_restart(spark):
     q2 = fs.start_fold_stream(stream2, base, scratch_path(spark, "ckpt"), trigger={"availableNow": True})
     q2.awaitTermination()
     assert rows_of(fs.read_state(spark, base), "id", "delta") == [("k0", 10), ("k1", 10), ("k2", 10)]
+
+
+def test_restart_keeps_run_id(spark):
+    ckpt = scratch_path(spark, "ckpt")
+    assert fs.run_id_for(spark, ckpt) == fs.run_id_for(spark, ckpt)
+    assert fs.run_id_for(spark, scratch_path(spark, "ckpt")) >= fs.run_id_for(spark, ckpt)
