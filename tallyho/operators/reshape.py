@@ -57,3 +57,17 @@ def gauges_from_columns(df: DataFrame, names=RUNTIME_GAUGES, keys=("seq",)) -> D
 def poll_counts(samples: DataFrame, source: str = "source") -> DataFrame:
     """Samples taken per source (the agent's poll counter)."""
     return samples.groupBy(source).agg(F.count(F.lit(1)).alias("poll_count"))
+
+
+def poll_counts_running(samples: DataFrame, source: str = "source", seq: str = "seq",
+                        range_size: int | None = None) -> DataFrame:
+    """The poll counter as the agent reports it after each sample: the
+    running count per source. Each sample is a +1 on its source's counter,
+    folded with the skew-safe running echo (a busy source is split by seq
+    range, not held in one task)."""
+    from .window import DEFAULT_RANGE, batch_echo
+    u = samples.select(F.col(seq).alias("seq"), F.col(source).cast("string").alias("id"),
+                       F.lit(COUNTER).alias("mtype"), F.lit(1).cast("bigint").alias("delta"),
+                       F.lit(None).cast("double").alias("value"))
+    run = batch_echo(u, range_size=range_size or DEFAULT_RANGE)
+    return run.select(F.col("seq"), F.col("id").alias(source), F.col("delta").alias("poll_count"))

@@ -297,7 +297,7 @@ def envelopes(spark, sf_dir):
     b = _batch_bodies(spark, sf_dir)
     bid = F.col("batch_id")
     zipped = bid % 2 == 0
-    payload = F.when(zipped, gzip_compress(F.col("body"))).otherwise(F.col("body").cast("binary"))
+    payload = F.when(zipped, gzip_compress(F.when(zipped, F.col("body")))).otherwise(F.col("body").cast("binary"))
     payload = F.when(bid % 13 == 6, F.lit("not gzip at all").cast("binary")).otherwise(payload)
     e = b.select("batch_id", payload.alias("body"),
                  F.when(bid % 7 == 3, F.lit("text/plain"))

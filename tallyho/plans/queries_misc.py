@@ -98,6 +98,17 @@ def q_poll_count(spark, sf_dir):
     return rs.poll_counts(samples(spark, sf_dir))
 
 
+@query("poll_count_running", """
+SELECT event_id AS seq, CAST(user_id AS VARCHAR) AS source,
+       count(*) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         AS poll_count
+FROM events
+""")
+def q_poll_count_running(spark, sf_dir):
+    """PollCount after every sample, per source."""
+    return rs.poll_counts_running(samples(spark, sf_dir), range_size=512)
+
+
 def attempts(spark, sf_dir):
     """Each run of four events is what one report meets on its sends:
     view/click → 200, error → 500, signup → network error, purchase → 400."""

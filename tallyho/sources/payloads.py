@@ -119,7 +119,8 @@ def admit(envelopes: DataFrame, key: str, require_json: bool = True) -> DataFram
     """
     sig = verify(F.col("body"), key, F.col("signature"))
     zipped = F.coalesce(F.col("content_encoding"), F.lit("")).contains("gzip")
-    raw = F.when(zipped, gunzip(F.col("body"))).otherwise(F.col("body"))
+    # only gzip bodies reach the UDF; the others pass it a null
+    raw = F.when(zipped, gunzip(F.when(zipped, F.col("body")))).otherwise(F.col("body"))
     ct_ok = F.coalesce(F.col("content_type"), F.lit("")).contains("application/json")
     d = envelopes.withColumn("_sig", sig).withColumn("_raw", raw)
     code = (F.when(F.col("_sig") == "bad", F.lit(BAD_SIGNATURE))
