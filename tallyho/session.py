@@ -43,23 +43,30 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a fresh folder under the system temp dir is created
-    and registered, so later calls in the same session reuse it.
+    unset (local tests) a folder under the system temp dir is created once
+    per application and registered as the checkpoint dir (the setting itself
+    cannot be changed at runtime).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # pragma: no cover - not readable on some builds
+            d = None
     if not d:
-        d = tempfile.mkdtemp(prefix="tallyho-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
+        app = spark.sparkContext.applicationId
+        d = _LOCAL_DIRS.get(app)
+        if d is None:
+            d = _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tallyho-")
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - already set by the platform
-        pass
     return d.rstrip("/")
 
 
