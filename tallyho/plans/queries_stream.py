@@ -12,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources import payloads as pl
 from ..sources.events import read_table, updates_from_events
 from ..streaming import fold_stream as fs
 from .queries_core import FOLD_SQL
+from .queries_ingest import _batch_bodies
 from .queries_state import SPLIT_TS
 from .registry import query
 
@@ -87,3 +89,28 @@ def q_stream_report_ticks(spark, sf_dir):
     arrive in which tick depends on file arrival)."""
     _, reports = _run(spark, sf_dir, trigger={"availableNow": True}, report=True)
     return spark.read.parquet(reports)
+
+
+def _json_batch_fold_sql():
+    from .registry import ORACLES
+    return ORACLES["json_batch_fold"]
+
+
+@query("stream_ingest", _json_batch_fold_sql())
+def q_stream_ingest(spark, sf_dir):
+    """Raw batch bodies arriving as files: each micro-batch is decoded and
+    gated per body (row-local, so it runs inside the stream), and the
+    accepted rows are folded into the versioned state."""
+    bodies = _batch_bodies(spark, sf_dir)
+    path = scratch_path(spark, "bodies-stream")
+    bodies.repartitionByRange(FILES, "batch_id").write.parquet(path)
+    stream = spark.readStream.schema(bodies.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    rows = pl.accepted_rows(pl.decode_batches(stream))
+    rows = rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos"))
+    base = scratch_path(spark, "stream-state")
+    q = fs.start_fold_stream(rows, base, scratch_path(spark, "stream-ckpt"),
+                             trigger={"availableNow": True}, hash_pass="inline")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return fs.read_state(spark, base)

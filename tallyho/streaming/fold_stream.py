@@ -38,15 +38,18 @@ def _state_with_seq(spark: SparkSession, base: str) -> DataFrame | None:
     return df
 
 
-def make_batch_writer(base: str, run_id: str, report_base: str | None = None):
-    """The ``foreachBatch`` function for a state location."""
+def make_batch_writer(base: str, run_id: str, report_base: str | None = None,
+                      hash_pass: str = "separate"):
+    """The ``foreachBatch`` function for a state location. ``hash_pass`` is
+    passed to ``fold_state`` (``"inline"`` when the micro-batch is expensive
+    to recompute, e.g. decoded request bodies)."""
 
     def apply_batch(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         version = f"{run_id}-{epoch_id:09d}"
         if is_committed(spark, base, version):
             return  # already committed: a replay after the commit
-        delta = fold_state(batch, keep_seq=True)
+        delta = fold_state(batch, keep_seq=True, hash_pass=hash_pass)
         prev = _state_with_seq(spark, base)
         state = delta if prev is None else merge_state(prev, delta)
         path = f"{base}/v={version}"
@@ -73,7 +76,8 @@ def run_id_for(spark: SparkSession, checkpoint: str) -> str:
 
 
 def start_fold_stream(updates: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
-                      run_id: str | None = None, report_base: str | None = None):
+                      run_id: str | None = None, report_base: str | None = None,
+                      hash_pass: str = "separate"):
     """Start the streaming fold of an update stream into ``base``.
 
     ``updates`` is a streaming DataFrame of validated update rows. Returns the
@@ -81,7 +85,7 @@ def start_fold_stream(updates: DataFrame, base: str, checkpoint: str, trigger: d
     """
     spark = updates.sparkSession
     run_id = run_id or run_id_for(spark, checkpoint)
-    w = (updates.writeStream.foreachBatch(make_batch_writer(base, run_id, report_base))
+    w = (updates.writeStream.foreachBatch(make_batch_writer(base, run_id, report_base, hash_pass))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
