@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources import payloads as pl
-from ..sources.events import read_table, updates_from_events
+from ..sources.events import UPDATES_SQL, read_table, updates_from_events
 from ..streaming import fold_stream as fs
 from .queries_core import FOLD_SQL
 from .queries_ingest import _batch_bodies
@@ -83,12 +83,42 @@ def q_stream_restore(spark, sf_dir):
     return fs.read_state(spark, base)
 
 
-@query("stream_report_ticks")
+def _ordered_parts(spark, sf_dir):
+    """``events`` appended as FILES files, one per quarter of the id range,
+    by sequential jobs: the file source then takes them in that order, one
+    per micro-batch, so micro-batch k holds exactly quarter k."""
+    e = read_table(spark, sf_dir, "events")
+    top = e.agg(F.max("event_id")).first()[0]
+    path = scratch_path(spark, "events-ordered")
+    part = F.expr(f"(event_id * {FILES}) div ({int(top)} + 1)")
+    for k in range(FILES):
+        e.filter(part == k).coalesce(1).write.mode("append").parquet(path)
+    return path, e.schema
+
+
+@query("stream_report_ticks", f"""
+WITH u AS ({UPDATES_SQL}),
+f AS (SELECT *, (seq * {FILES}) // ((SELECT max(seq) FROM u) + 1) AS part FROM u),
+t AS (SELECT DISTINCT part AS tick FROM f),
+j AS (SELECT t.tick, f.* FROM t JOIN f ON f.part <= t.tick)
+SELECT id, mtype,
+       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, seq) END AS delta,
+       arg_max_null(value, seq) AS value, arg_max_null(hash, seq) AS hash, CAST(tick AS BIGINT) AS tick
+FROM j GROUP BY tick, id, mtype
+""")
 def q_stream_report_ticks(spark, sf_dir):
-    """Every tick reports all metrics known so far (no oracle: which rows
-    arrive in which tick depends on file arrival)."""
-    _, reports = _run(spark, sf_dir, trigger={"availableNow": True}, report=True)
-    return spark.read.parquet(reports)
+    """Every tick reports all metrics known so far: the report of tick k is
+    the state after the first k+1 micro-batches."""
+    path, schema = _ordered_parts(spark, sf_dir)
+    base = scratch_path(spark, "stream-state")
+    reports = scratch_path(spark, "stream-reports")
+    q = fs.start_fold_stream(_stream_updates(spark, path, schema), base, scratch_path(spark, "stream-ckpt"),
+                             trigger={"availableNow": True}, report_base=reports)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return spark.read.parquet(reports).select("id", "mtype", "delta", "value", "hash",
+                                              F.col("tick").cast("bigint").alias("tick"))
 
 
 def _json_batch_fold_sql():

@@ -54,11 +54,12 @@ def make_batch_writer(base: str, run_id: str, report_base: str | None = None,
         state = delta if prev is None else merge_state(prev, delta)
         path = f"{base}/v={version}"
         state.write.mode("overwrite").parquet(path)
-        write_pointer(spark, base, version)
         if report_base is not None:
-            # one report per tick: every metric known at this tick
-            (spark.read.parquet(path).drop("last_seq").withColumn("tick", F.lit(epoch_id).cast("bigint"))
-             .write.mode("overwrite").parquet(f"{report_base}/tick={epoch_id:09d}"))
+            # one report per tick (every metric known at this tick), written
+            # before the commit so a replay either skips both or redoes both
+            (spark.read.parquet(path).drop("last_seq")
+             .write.mode("overwrite").parquet(f"{report_base}/tick={epoch_id}"))
+        write_pointer(spark, base, version)
 
     return apply_batch
 
