@@ -49,6 +49,15 @@ def q_lookup_point(spark, sf_dir):
     return lk.lookup(fo.fold_state(load_updates(spark, sf_dir)), "click_3", COUNTER)
 
 
+@query("lookup_point_snapshot", f"SELECT * FROM ({FOLD_SQL}) s WHERE id = 'click_3' AND mtype = 'counter'")
+def q_lookup_point_snapshot(spark, sf_dir):
+    """The same point lookup against a persisted snapshot: the key filter is
+    pushed into the Parquet scan (row groups without the key are skipped)."""
+    base = scratch_path(spark, "snapshot-table")
+    sk.write_snapshot_table(fo.fold_state(load_updates(spark, sf_dir)), base)
+    return lk.lookup(src.read_snapshot_table(spark, base), "click_3", COUNTER)
+
+
 def lookup_requests(spark, sf_dir):
     """One lookup per event; every 7th asks for an unknown id, every 11th for
     an unknown kind."""

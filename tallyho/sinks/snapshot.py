@@ -113,11 +113,19 @@ def write_snapshot_json(state: DataFrame, base: str, version: str | None = None,
     return path
 
 
+def write_table_version(state: DataFrame, path: str) -> None:
+    """Parquet layout of a state version: one directory per kind, rows sorted
+    by id inside each file (a local sort, no shuffle), so a point lookup
+    reads one kind and skips row groups by their id min/max."""
+    (state.sortWithinPartitions("mtype", "id")
+     .write.mode("overwrite").partitionBy("mtype").parquet(path))
+
+
 def write_snapshot_table(state: DataFrame, base: str, version: str | None = None) -> str:
     """Persist the state as a Parquet version; returns the version path."""
     version = version or new_version()
     path = f"{base}/v={version}"
-    state.select("id", "mtype", "delta", "value", "hash").write.mode("overwrite").parquet(path)
+    write_table_version(state.select("id", "mtype", "delta", "value", "hash"), path)
     write_pointer(spark_of(state), base, version)
     return path
 

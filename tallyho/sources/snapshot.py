@@ -45,4 +45,4 @@ def read_snapshot_table(spark: SparkSession, path: str) -> DataFrame:
     if p is None:
         return empty_state(spark)
     df = spark.read.schema(METRIC).parquet(p)
-    return df.withColumn("hash", F.coalesce(F.col("hash"), F.lit("")))
+    return df.select("id", "mtype", "delta", "value", F.coalesce(F.col("hash"), F.lit("")).alias("hash"))

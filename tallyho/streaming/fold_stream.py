@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.fold import fold_state, merge_state
-from ..sinks.snapshot import is_committed, new_version, read_pointer, read_text, write_pointer, write_text
+from ..sinks.snapshot import (is_committed, new_version, read_pointer, read_text, write_pointer,
+                              write_table_version, write_text)
 from ..sources.snapshot import read_snapshot_table
 
 
@@ -53,7 +54,7 @@ def make_batch_writer(base: str, run_id: str, report_base: str | None = None,
         prev = _state_with_seq(spark, base)
         state = delta if prev is None else merge_state(prev, delta)
         path = f"{base}/v={version}"
-        state.write.mode("overwrite").parquet(path)
+        write_table_version(state, path)
         if report_base is not None:
             # one report per tick (every metric known at this tick), written
             # before the commit so a replay either skips both or redoes both
