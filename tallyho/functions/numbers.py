@@ -18,44 +18,64 @@ from ._util import col_of
 LIMBS = 4
 _MASK = 0xFFFF
 
+# The limb arithmetic is generated as SQL text: one expression is one call
+# into the JVM, however large, while composing it from Column objects costs a
+# round trip per operator. Inputs are SQL expressions (a column name is one).
 
-def limbs(c) -> list[Column]:
-    """Four limbs of a BIGINT: three unsigned 16-bit ones and a signed top."""
-    c = col_of(c)
-    low = [(c if i == 0 else F.shiftright(c, 16 * i)).bitwiseAND(F.lit(_MASK)) for i in range(LIMBS - 1)]
-    return low + [F.shiftright(c, 16 * (LIMBS - 1))]
 
+def limb_sql(x: str, i: int) -> str:
+    """Limb ``i`` of the BIGINT expression ``x``: three unsigned 16-bit
+    limbs and a signed top limb."""
+    if i == LIMBS - 1:
+        return f"shiftright({x}, {16 * i})"
+    return f"(({x}) & {_MASK})" if i == 0 else f"(shiftright({x}, {16 * i}) & {_MASK})"
 
-def combine_limbs(parts: list[Column]) -> Column:
-    """Limb sums → the int64 sum modulo 2^64, as a signed BIGINT."""
+
+def combine_sql(parts: list[str]) -> str:
+    """Limb sums → the int64 sum modulo 2^64 (carry propagation, then the
+    16-bit pieces shifted into place; bit operations never overflow)."""
     carry = None
     out = []
     for i, p in enumerate(parts):
-        t = p if carry is None else p + carry
-        out.append(t.bitwiseAND(F.lit(_MASK)))
-        if i < len(parts) - 1:
-            carry = F.shiftright(t, 16)
-    res = out[0]
-    for i in range(1, len(out)):
-        res = res.bitwiseOR(F.shiftleft(out[i], 16 * i))
-    return res
+        t = f"({p})" if carry is None else f"(({p}) + {carry})"
+        out.append(f"({t} & {_MASK})")
+        carry = f"shiftright({t}, 16)"
+    return " | ".join([out[0]] + [f"shiftleft({o}, {16 * i})" for i, o in enumerate(out) if i > 0])
+
+
+def _text(c) -> str:
+    if not isinstance(c, str):
+        raise TypeError("limb helpers take SQL text (a column name or expression)")
+    return c
+
+
+def limbs(c) -> list[Column]:
+    """Four limbs of a BIGINT: three unsigned 16-bit ones and a signed top."""
+    x = _text(c)
+    return [F.expr(limb_sql(x, i)) for i in range(LIMBS)]
+
+
+def combine_limbs(parts: list[str]) -> Column:
+    """Limb sums (SQL texts) → the int64 sum modulo 2^64, as a signed BIGINT."""
+    return F.expr(combine_sql([_text(p) for p in parts]))
 
 
 def wrap_sum_aggs(c, prefix: str) -> list[Column]:
     """Aggregate expressions (one per limb) for a wrapping sum of ``c``."""
-    return [F.sum(p).alias(f"{prefix}_l{i}") for i, p in enumerate(limbs(c))]
+    x = _text(c)
+    return [F.expr(f"sum({limb_sql(x, i)}) AS {prefix}_l{i}") for i in range(LIMBS)]
 
 
 def wrap_sum_result(prefix: str) -> Column:
-    return combine_limbs([F.col(f"{prefix}_l{i}") for i in range(LIMBS)])
+    return combine_limbs([f"{prefix}_l{i}" for i in range(LIMBS)])
 
 
 def wrap_add(a, b) -> Column:
-    """a + b with int64 wrap-around; null stays null only if both are null."""
-    a, b = col_of(a), col_of(b)
-    la, lb = limbs(F.coalesce(a, F.lit(0))), limbs(F.coalesce(b, F.lit(0)))
-    res = combine_limbs([x + y for x, y in zip(la, lb)])
-    return F.when(a.isNull() & b.isNull(), F.lit(None).cast("bigint")).otherwise(res)
+    """a + b with int64 wrap-around; null only if both are null."""
+    a, b = _text(a), _text(b)
+    res = combine_sql([f"{limb_sql(f'coalesce({a}, 0)', i)} + {limb_sql(f'coalesce({b}, 0)', i)}"
+                       for i in range(LIMBS)])
+    return F.expr(f"CASE WHEN ({a}) IS NULL AND ({b}) IS NULL THEN CAST(NULL AS BIGINT) ELSE {res} END")
 
 
 # Strict text parsers. Go's ParseInt(s, 10, 64) / ParseFloat(s, 64) reject

@@ -23,16 +23,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import wrap_sum_aggs, wrap_sum_result
+from ..functions.numbers import LIMBS, combine_sql, wrap_sum_aggs, wrap_sum_result
 from ..schema import COUNTER, GAUGE, NIL_DELTA, NIL_METRIC, NIL_VALUE, STATE_COLUMNS, UNKNOWN_TYPE
 
 
 def _norm_hash(df: DataFrame) -> DataFrame:
     if "hash" in df.columns:
-        return df.withColumn("hash", F.coalesce(F.col("hash"), F.lit("")))
+        return df.withColumn("hash", F.expr("coalesce(hash, '')"))
     return df.withColumn("hash", F.lit(""))
 
 
+_DELTA = f"CASE WHEN mtype = '{COUNTER}' THEN {combine_sql([f'd_l{i}' for i in range(LIMBS)])} ELSE last_delta END"
+
+
 def fold_state(updates: DataFrame, keep_seq: bool = False, hash_pass: str = "separate") -> DataFrame:
     """Update rows ``(seq, id, mtype, delta, value[, hash])`` → state rows.
 
@@ -46,41 +49,22 @@ def fold_state(updates: DataFrame, keep_seq: bool = False, hash_pass: str = "sep
     recompute, e.g. freshly decoded request bodies) folds it in the same
     single pass, which Spark plans as a sort-based aggregate.
     """
-    u = _norm_hash(updates.select("seq", "id", "mtype", "delta", "value",
-                                  *(["hash"] if "hash" in updates.columns else [])))
-    if hash_pass == "inline":
-        out = u.groupBy("id", "mtype").agg(
-            *wrap_sum_aggs("delta", "d"),
-            F.max_by("delta", "seq").alias("last_delta"),
-            F.max_by("value", "seq").alias("value"),
-            F.max_by("hash", "seq").alias("hash"),
-            F.max("seq").alias("last_seq"),
-        ).select(
-            "id", "mtype",
-            F.when(F.col("mtype") == COUNTER, wrap_sum_result("d")).otherwise(F.col("last_delta")).alias("delta"),
-            "value", "hash", "last_seq")
-        return out if keep_seq else out.drop("last_seq")
-    if hash_pass != "separate":
+    if hash_pass not in ("separate", "inline"):
         raise ValueError(f"hash_pass must be 'separate' or 'inline', not {hash_pass!r}")
-    core = u.groupBy("id", "mtype").agg(
-        *wrap_sum_aggs("delta", "d"),
-        F.max_by("delta", "seq").alias("last_delta"),
-        F.max_by("value", "seq").alias("value"),
-        F.max("seq").alias("last_seq"),
-    )
-    hashed = (u.filter(F.col("hash") != "")
-               .groupBy("id", "mtype")
-               .agg(F.max("seq").alias("hash_seq"), F.max_by("hash", "seq").alias("last_hash")))
-    out = core.join(hashed, ["id", "mtype"], "left").select(
-        "id", "mtype",
-        F.when(F.col("mtype") == COUNTER, wrap_sum_result("d"))
-         .otherwise(F.col("last_delta")).alias("delta"),
-        "value",
-        F.when(F.col("hash_seq") == F.col("last_seq"), F.col("last_hash"))
-         .otherwise(F.lit("")).alias("hash"),
-        "last_seq",
-    )
-    return out if keep_seq else out.drop("last_seq")
+    h = "coalesce(hash, '')" if "hash" in updates.columns else "''"
+    u = updates.selectExpr("seq", "id", "mtype", "delta", "value", f"{h} AS hash")
+    aggs = [*wrap_sum_aggs("delta", "d"), F.expr("max_by(delta, seq) AS last_delta"),
+            F.expr("max_by(value, seq) AS value"), F.expr("max(seq) AS last_seq")]
+    keep = ["last_seq"] if keep_seq else []
+    if hash_pass == "inline":
+        out = u.groupBy("id", "mtype").agg(*aggs, F.expr("max_by(hash, seq) AS hash"))
+        return out.selectExpr("id", "mtype", f"{_DELTA} AS delta", "value", "hash", *keep)
+    core = u.groupBy("id", "mtype").agg(*aggs)
+    hashed = (u.filter("hash != ''").groupBy("id", "mtype")
+               .agg(F.expr("max(seq) AS hash_seq"), F.expr("max_by(hash, seq) AS last_hash")))
+    return core.join(hashed, ["id", "mtype"], "left").selectExpr(
+        "id", "mtype", f"{_DELTA} AS delta", "value",
+        "CASE WHEN hash_seq = last_seq THEN last_hash ELSE '' END AS hash", *keep)
 
 
 def counter_totals(updates: DataFrame) -> DataFrame:

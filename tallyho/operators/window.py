@@ -44,7 +44,7 @@ def batch_echo(updates: DataFrame, prior: DataFrame | None = None,
                                 for i in range(LIMBS)])
     if prior is not None:
         p = prior.filter(F.col("mtype") == COUNTER).select(
-            *KEY, *[x.alias(f"p_l{i}") for i, x in enumerate(limbs(F.coalesce("delta", F.lit(0))))])
+            *KEY, *[x.alias(f"p_l{i}") for i, x in enumerate(limbs("coalesce(delta, 0)"))])
         t = t.join(p, KEY, "left").select(
             *KEY, "rng", *[(F.col(f"b_l{i}") + F.coalesce(F.col(f"p_l{i}"), F.lit(0))).alias(f"b_l{i}")
                            for i in range(LIMBS)])
@@ -54,7 +54,7 @@ def batch_echo(updates: DataFrame, prior: DataFrame | None = None,
                    *[F.sum(x).over(within).alias(f"w_l{i}") for i, x in enumerate(limbs("delta"))])
     echoed = run.join(t, [*KEY, "rng"], "left").select(
         "seq", *KEY,
-        combine_limbs([F.col(f"w_l{i}") + F.col(f"b_l{i}") for i in range(LIMBS)]).alias("delta"),
+        combine_limbs([f"w_l{i} + b_l{i}" for i in range(LIMBS)]).alias("delta"),
         "value")
     return echoed.unionByName(g)
 
@@ -102,7 +102,7 @@ def tick_snapshot(updates: DataFrame, interval_s: int, last_tick: int | None = N
     filled = run.withColumn("t", F.explode(F.sequence(F.col("tick"), F.col("until"))))
     return filled.select(
         tick_time("t", interval_s).alias("tick"), *KEY,
-        F.when(F.col("mtype") == COUNTER, combine_limbs([F.col(f"s_l{i}") for i in range(LIMBS)]))
+        F.when(F.col("mtype") == COUNTER, combine_limbs([f"s_l{i}" for i in range(LIMBS)]))
          .otherwise(F.col("last_delta")).alias("delta"),
         "value",
     )

@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no per-Column call-site capture on the driver (it costs several JVM
+    # round trips per expression built from Python)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -33,36 +33,44 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool =
     return spread(df) if spread_rows else df
 
 
-# The flat form ``{"k": <int>}`` exactly (at most 18 digits, so no overflow).
-FLAT_K = r'^\{"k":\s*(-?[0-9]{1,18})\}$'
+# The flat form ``{"k": <int>}`` exactly (spaces after the colon, at most 18
+# digits so no overflow). Anything else goes through the JSON parser, so the
+# result is the same either way.
+FLAT_K = '^[{]"k":[ ]*(-?[0-9]{1,18})[}]$'
 
 
-def props_k(props="props"):
+def props_k_sql(props: str = "props") -> str:
     """``k`` from a props JSON string, as BIGINT (null if absent or not an
-    integer). The flat one-key form is read with an anchored regex; any other
-    text goes through the JSON parser, so the result is the same either way."""
-    p = F.col(props)
-    flat = F.regexp_extract(p, FLAT_K, 1)
-    return F.when(flat != "", flat.cast("bigint")).otherwise(
-        F.get_json_object(p, "$.k").try_cast("bigint"))
+    integer): anchored regex for the flat one-key form, JSON parser otherwise."""
+    flat = f"regexp_extract({props}, '{FLAT_K}', 1)"
+    return (f"CASE WHEN {flat} != '' THEN CAST({flat} AS BIGINT) "
+            f"ELSE try_cast(get_json_object({props}, '$.k') AS BIGINT) END")
+
+
+def props_k(props: str = "props"):
+    return F.expr(props_k_sql(props))
+
+
+_COUNTER_SQL = "event_type IN (" + ", ".join(f"'{e}'" for e in COUNTER_EVENTS) + ")"
 
 
 def updates_from_events(events: DataFrame, wide: bool = False, with_ts: bool = False) -> DataFrame:
-    is_counter = F.col("event_type").isin(*COUNTER_EVENTS)
-    suffix = F.col("user_id") if wide else F.col("user_id") % 10
+    """One SQL projection (a single call into the JVM, pruned and pushed like
+    any other)."""
+    suffix = "user_id" if wide else "user_id % 10"
     cols = [
-        F.col("event_id").alias("seq"),
-        F.expr(f"event_id div {BATCH_SIZE}").alias("batch_id"),
-        (F.col("event_id") % F.lit(BATCH_SIZE)).cast("int").alias("pos"),
-        F.concat(F.col("event_type"), F.lit("_"), suffix.cast("string")).alias("id"),
-        F.when(is_counter, F.lit(COUNTER)).otherwise(F.lit(GAUGE)).alias("mtype"),
-        F.when(is_counter, props_k()).alias("delta"),
-        F.when(~is_counter, F.col("value")).alias("value"),
-        F.lit("").alias("hash"),
+        "event_id AS seq",
+        f"event_id div {BATCH_SIZE} AS batch_id",
+        f"CAST(event_id % {BATCH_SIZE} AS INT) AS pos",
+        f"concat(event_type, '_', CAST({suffix} AS STRING)) AS id",
+        f"CASE WHEN {_COUNTER_SQL} THEN '{COUNTER}' ELSE '{GAUGE}' END AS mtype",
+        f"CASE WHEN {_COUNTER_SQL} THEN {props_k_sql()} END AS delta",
+        f"CASE WHEN NOT {_COUNTER_SQL} THEN value END AS value",
+        "'' AS hash",
     ]
     if with_ts:
-        cols.insert(1, F.col("ts"))
-    return events.select(*cols)
+        cols.insert(1, "ts")
+    return events.selectExpr(*cols)
 
 
 def load_updates(spark: SparkSession, sf_dir: str, wide: bool = False, with_ts: bool = False,
@@ -74,15 +82,12 @@ def load_updates(spark: SparkSession, sf_dir: str, wide: bool = False, with_ts:
 # work on every row of the table (no row is dropped or sampled).
 def dirty_updates_from_events(events: DataFrame) -> DataFrame:
     u = updates_from_events(events)
-    nil_number = (F.col("seq") % 997) == 0
-    bad_type = (F.col("seq") % 1009) == 0
-    empty_id = (F.col("seq") % 1013) == 0
-    return u.select(
+    return u.selectExpr(
         "seq", "batch_id", "pos",
-        F.when(empty_id, F.lit("")).otherwise(F.col("id")).alias("id"),
-        F.when(bad_type, F.lit("unknown")).otherwise(F.col("mtype")).alias("mtype"),
-        F.when(nil_number, F.lit(None).cast("bigint")).otherwise(F.col("delta")).alias("delta"),
-        F.when(nil_number, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"),
+        "CASE WHEN seq % 1013 = 0 THEN '' ELSE id END AS id",
+        "CASE WHEN seq % 1009 = 0 THEN 'unknown' ELSE mtype END AS mtype",
+        "CASE WHEN seq % 997 = 0 THEN CAST(NULL AS BIGINT) ELSE delta END AS delta",
+        "CASE WHEN seq % 997 = 0 THEN CAST(NULL AS DOUBLE) ELSE value END AS value",
         "hash",
     )
 

@@ -31,6 +31,6 @@ def test_grouped_wrap_sum(spark, rows):
                 min_size=1, max_size=200))
 def test_wrap_add(spark, pairs):
     df = spark.createDataFrame(pairs, "a long, b long")
-    got = [r.s for r in df.select(wrap_add(F.col("a"), F.col("b")).alias("s")).collect()]
+    got = [r.s for r in df.select(wrap_add("a", "b").alias("s")).collect()]
     want = [None if a is None and b is None else wrap((a or 0) + (b or 0)) for a, b in pairs]
     assert got == want
