@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ._util import col_of
+from ._util import col_of, sql_str
 
 LIMBS = 4
 _MASK = 0xFFFF
@@ -86,22 +86,30 @@ GAUGE_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 GAUGE_SPECIAL = r"^([+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?)|[nN][aA][nN])$"
 
 
+def counter_sql(x: str) -> str:
+    """SQL: text → BIGINT, or null when it is not a base-10 int64."""
+    return f"CASE WHEN ({x}) RLIKE {sql_str(COUNTER_TEXT)} THEN try_cast({x} AS BIGINT) END"
+
+
+def gauge_sql(x: str) -> str:
+    """SQL: text → DOUBLE, or null when Go's ParseFloat would refuse it."""
+    num = f"try_cast({x} AS DOUBLE)"
+    low = f"lower({x})"
+    return (f"CASE WHEN ({x}) RLIKE {sql_str(GAUGE_TEXT)} AND NOT isnan({num}) AND abs({num}) != double('infinity') "
+            f"THEN {num} "
+            f"WHEN ({x}) RLIKE {sql_str(GAUGE_SPECIAL)} THEN "
+            f"CASE WHEN {low} RLIKE '^[+]?inf(inity)?$' THEN double('infinity') "
+            f"WHEN {low} RLIKE '^-inf(inity)?$' THEN double('-infinity') ELSE double('NaN') END END")
+
+
 def parse_counter(c) -> Column:
     """Text → BIGINT, or null when it is not a base-10 int64."""
-    c = col_of(c)
-    return F.when(c.rlike(COUNTER_TEXT), c.try_cast("bigint"))
+    return F.expr(counter_sql(_text(c)))
 
 
 def parse_gauge(c) -> Column:
     """Text → DOUBLE, or null when Go's ParseFloat would refuse it."""
-    c = col_of(c)
-    num = c.try_cast("double")
-    special = F.lower(c)
-    special_val = (F.when(special.rlike(r"^\+?inf(inity)?$"), F.lit(float("inf")))
-                   .when(special.rlike(r"^-inf(inity)?$"), F.lit(float("-inf")))
-                   .otherwise(F.lit(float("nan"))))
-    return (F.when(c.rlike(GAUGE_TEXT) & ~F.isnan(num) & (F.abs(num) != F.lit(float("inf"))), num)
-            .when(c.rlike(GAUGE_SPECIAL), special_val))
+    return F.expr(gauge_sql(_text(c)))
 
 
 def format_counter(c) -> Column:

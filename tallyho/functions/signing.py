@@ -33,8 +33,26 @@ def _binary(c) -> Column:
     return c.cast("binary")
 
 
+def sign_sql(body: str, key: str) -> str:
+    """SQL: lower-case hex HMAC-SHA256 of the expression ``body``."""
+    ipad, opad = _pads(key)
+    inner = f"unhex(sha2(concat(unhex('{ipad}'), CAST({body} AS BINARY)), 256))"
+    return f"sha2(concat(unhex('{opad}'), {inner}), 256)"
+
+
+def verify_sql(body: str, key: str, sig: str) -> str:
+    """SQL: 'skipped' (no key, or no signature sent), 'ok' or 'bad'."""
+    if not key:
+        return "'skipped'"
+    return (f"CASE WHEN {sig} IS NULL OR {sig} = '' THEN 'skipped' "
+            f"WHEN {sig} RLIKE '^([0-9a-fA-F]{{2}})*$' AND lower({sig}) = {sign_sql(body, key)} THEN 'ok' "
+            "ELSE 'bad' END")
+
+
 def sign(body, key: str) -> Column:
     """Lower-case hex HMAC-SHA256 of ``body`` (binary or UTF-8 text)."""
+    if isinstance(body, str):
+        return F.expr(sign_sql(body, key))
     ipad, opad = _pads(key)
     inner = F.unhex(F.sha2(F.concat(F.unhex(F.lit(ipad)), _binary(body)), 256))
     return F.sha2(F.concat(F.unhex(F.lit(opad)), inner), 256)
@@ -45,6 +63,8 @@ def verify(body, key: str, signature) -> Column:
 
     The signature is compared as bytes: upper-case hex passes, odd-length or
     non-hex text fails."""
+    if isinstance(body, str) and isinstance(signature, str):
+        return F.expr(verify_sql(body, key, signature))
     sig = col_of(signature)
     if not key:
         return F.lit("skipped")

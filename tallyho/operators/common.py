@@ -15,7 +15,7 @@ def materialize(df: DataFrame) -> DataFrame:
     runs the decoding twice or more per row. A one-element generator is a
     boundary filters on its output cannot cross, and costs a row copy.
     """
-    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    return df.selectExpr("inline(array(struct(*)))")
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -108,13 +108,11 @@ def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
 def store_check(rows: DataFrame) -> DataFrame:
     """Store-level rule (weaker than request validation): a missing row,
     unknown type, or a counter/gauge without its number. Empty ids pass."""
-    present = F.col("mtype").isNotNull() | F.col("id").isNotNull() \
-        | F.col("delta").isNotNull() | F.col("value").isNotNull()
-    code = (F.when(~present, F.lit(NIL_METRIC))
-            .when(F.col("mtype") == COUNTER, F.when(F.col("delta").isNull(), F.lit(NIL_DELTA)))
-            .when(F.col("mtype") == GAUGE, F.when(F.col("value").isNull(), F.lit(NIL_VALUE)))
-            .otherwise(F.lit(UNKNOWN_TYPE)))
-    return rows.withColumn("reject_code", code)
+    code = (f"CASE WHEN mtype IS NULL AND id IS NULL AND delta IS NULL AND value IS NULL THEN '{NIL_METRIC}' "
+            f"WHEN mtype = '{COUNTER}' THEN CASE WHEN delta IS NULL THEN '{NIL_DELTA}' END "
+            f"WHEN mtype = '{GAUGE}' THEN CASE WHEN value IS NULL THEN '{NIL_VALUE}' END "
+            f"ELSE '{UNKNOWN_TYPE}' END")
+    return rows.selectExpr("*", f"{code} AS reject_code")
 
 
 def restore_state(current: DataFrame, snapshot: DataFrame, order_col: str | None = None) -> DataFrame:

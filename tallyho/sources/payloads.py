@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codec import gunzip
-from ..functions.signing import verify
+from ..functions._util import sql_str
+from ..functions.signing import verify_sql
 from ..operators.common import materialize
 from ..schema import (BAD_CONTENT_TYPE, BAD_GZIP, BAD_SIGNATURE, PARSE_ERROR)
 
@@ -24,25 +25,38 @@ _INT = "(TINYINT|SMALLINT|INT|BIGINT|VOID)"
 _NUM = r"(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL\(\d+,\d+\)|VOID)"
 FIELD_TYPES = {"id": _STR, "type": _STR, "hash": _STR, "delta": _INT, "value": _NUM}
 
+# Everything below is SQL text: a projection is one call into the JVM.
 
-def _fields_ok(schema_col, fields=FIELD_TYPES):
-    """No listed field has a type outside its allowed set."""
-    ok = F.lit(True)
-    for name, allowed in fields.items():
-        # a field entry looks like "<name>: <TYPE>" after '<' or ', '
-        bad = schema_col.rlike(f"(<|, ){name}: (?!{allowed}[,>])")
-        ok = ok & ~bad
-    return ok
 
+def fields_ok_sql(sv: str) -> str:
+    """No listed field has a type outside its allowed set (a field entry
+    looks like ``<name>: <TYPE>`` after '<' or ', ')."""
+    return " AND ".join(f"NOT ({sv} RLIKE {sql_str(f'(<|, ){n}: (?!{t}[,>])')})"
+                        for n, t in FIELD_TYPES.items())
 
-def _metric_fields(e):
-    return [
-        F.try_variant_get(e, "$.id", "string").alias("id"),
-        F.try_variant_get(e, "$.type", "string").alias("mtype"),
-        F.try_variant_get(e, "$.delta", "bigint").alias("delta"),
-        F.try_variant_get(e, "$.value", "double").alias("value"),
-        F.coalesce(F.try_variant_get(e, "$.hash", "string"), F.lit("")).alias("hash"),
-    ]
+
+def _error_sql(shape: str) -> str:
+    return (f"_v IS NULL OR NOT ((_sv = 'VOID' OR _sv RLIKE {sql_str(shape)}) "
+            f"AND {fields_ok_sql('_sv')})")
+
+
+def _variant(df: DataFrame, body: str, shape: str) -> DataFrame:
+    keep = [f"`{c}`" for c in df.columns if c != body]
+    d = df.selectExpr(*keep, f"try_parse_json(CAST(`{body}` AS STRING)) AS _v")
+    d = d.selectExpr("*", "schema_of_variant(_v) AS _sv")
+    return d.selectExpr("*", f"{_error_sql(shape)} AS parse_error").drop("_sv")
+
+
+def _metric_fields_sql(e: str) -> list[str]:
+    return [f"try_variant_get({e}, '$.id', 'string') AS id",
+            f"try_variant_get({e}, '$.type', 'string') AS mtype",
+            f"try_variant_get({e}, '$.delta', 'bigint') AS delta",
+            f"try_variant_get({e}, '$.value', 'double') AS value",
+            f"coalesce(try_variant_get({e}, '$.hash', 'string'), '') AS hash"]
+
+
+ARRAY_SHAPE = r"^ARRAY<(VOID|OBJECT<.*>)>$"
+OBJECT_SHAPE = r"^OBJECT<.*>$"
 
 
 def parse_batches(df: DataFrame, body: str = "body", key: str = "batch_id") -> DataFrame:
@@ -53,39 +67,28 @@ def parse_batches(df: DataFrame, body: str = "body", key: str = "batch_id") -> D
     ``pos``; ``[]`` and ``null`` give no rows; a ``null`` element gives a row
     of nulls (it then fails validation as an empty name).
     """
-    v = F.try_parse_json(F.col(body).cast("string"))
-    d = df.select(key, v.alias("_v"))
-    sv = F.schema_of_variant(F.col("_v"))
-    shape_ok = (sv == "VOID") | sv.rlike(r"^ARRAY<(VOID|OBJECT<.*>)>$")
-    d = d.withColumn("parse_error", F.col("_v").isNull() | ~(shape_ok & _fields_ok(sv)))
-    arr = F.when(~F.col("parse_error"), F.try_variant_get(F.col("_v"), "$", "array<variant>"))
-    d = d.select(key, "parse_error", F.posexplode_outer(arr).alias("pos", "_e"))
-    d = d.filter(F.col("parse_error") | F.col("pos").isNotNull())
-    return materialize(d.select(key, F.col("pos").cast("int").alias("pos"), *_metric_fields(F.col("_e")),
-                                "parse_error"))
+    d = _variant(df.select(key, body), body, ARRAY_SHAPE)
+    d = d.selectExpr(key, "parse_error",
+                     "posexplode_outer(CASE WHEN NOT parse_error THEN "
+                     "try_variant_get(_v, '$', 'array<variant>') END) AS (pos, _e)")
+    d = d.filter("parse_error OR pos IS NOT NULL")
+    return materialize(d.selectExpr(key, "CAST(pos AS INT) AS pos", *_metric_fields_sql("_e"), "parse_error"))
 
 
 def parse_singles(df: DataFrame, body: str = "body") -> DataFrame:
     """Single-metric bodies (a JSON object) → ``id, mtype, delta, value, hash,
     parse_error``, other columns kept. ``null`` decodes to an empty metric."""
-    v = F.try_parse_json(F.col(body).cast("string"))
-    sv = F.schema_of_variant(v)
-    shape_ok = (sv == "VOID") | sv.rlike(r"^OBJECT<.*>$")
-    err = v.isNull() | ~(shape_ok & _fields_ok(sv))
-    keep = [c for c in df.columns if c != body]
-    return materialize(df.select(*keep, *_metric_fields(v), err.alias("parse_error")))
+    d = _variant(df, body, OBJECT_SHAPE)
+    keep = [f"`{c}`" for c in df.columns if c != body]
+    return materialize(d.selectExpr(*keep, *_metric_fields_sql("_v"), "parse_error"))
 
 
 def parse_lookups(df: DataFrame, body: str = "body") -> DataFrame:
     """Lookup bodies ``{"id":…, "type":…}`` → ``id, mtype, parse_error``."""
-    v = F.try_parse_json(F.col(body).cast("string"))
-    sv = F.schema_of_variant(v)
-    shape_ok = (sv == "VOID") | sv.rlike(r"^OBJECT<.*>$")
-    err = v.isNull() | ~(shape_ok & _fields_ok(sv))
-    keep = [c for c in df.columns if c != body]
-    return materialize(df.select(*keep, F.try_variant_get(v, "$.id", "string").alias("id"),
-                                 F.try_variant_get(v, "$.type", "string").alias("mtype"),
-                                 err.alias("parse_error")))
+    d = _variant(df, body, OBJECT_SHAPE)
+    keep = [f"`{c}`" for c in df.columns if c != body]
+    return materialize(d.selectExpr(*keep, "try_variant_get(_v, '$.id', 'string') AS id",
+                                    "try_variant_get(_v, '$.type', 'string') AS mtype", "parse_error"))
 
 
 UPDATE_PATH = r"^/update/([^/]*)/([^/]*)/([^/]*)$"
@@ -95,19 +98,16 @@ VALUE_PATH = r"^/value/([^/]*)/([^/]*)$"
 def parse_paths(df: DataFrame, path: str = "path") -> DataFrame:
     """``/update/{type}/{name}/{value}`` → ``mtype, id, raw_value, routed``;
     an empty segment is legal input, a path of another shape is not routed."""
-    p = F.col(path)
-    return df.select("*", p.rlike(UPDATE_PATH).alias("routed"),
-                     F.regexp_extract(p, UPDATE_PATH, 1).alias("mtype"),
-                     F.regexp_extract(p, UPDATE_PATH, 2).alias("id"),
-                     F.regexp_extract(p, UPDATE_PATH, 3).alias("raw_value"))
+    r = sql_str(UPDATE_PATH)
+    return df.selectExpr("*", f"`{path}` RLIKE {r} AS routed", f"regexp_extract(`{path}`, {r}, 1) AS mtype",
+                         f"regexp_extract(`{path}`, {r}, 2) AS id", f"regexp_extract(`{path}`, {r}, 3) AS raw_value")
 
 
 def parse_lookup_paths(df: DataFrame, path: str = "path") -> DataFrame:
     """``/value/{type}/{name}`` → ``mtype, id, routed``."""
-    p = F.col(path)
-    return df.select("*", p.rlike(VALUE_PATH).alias("routed"),
-                     F.regexp_extract(p, VALUE_PATH, 1).alias("mtype"),
-                     F.regexp_extract(p, VALUE_PATH, 2).alias("id"))
+    r = sql_str(VALUE_PATH)
+    return df.selectExpr("*", f"`{path}` RLIKE {r} AS routed", f"regexp_extract(`{path}`, {r}, 1) AS mtype",
+                         f"regexp_extract(`{path}`, {r}, 2) AS id")
 
 
 def admit(envelopes: DataFrame, key: str, require_json: bool = True) -> DataFrame:
@@ -117,26 +117,21 @@ def admit(envelopes: DataFrame, key: str, require_json: bool = True) -> DataFram
     Adds ``json`` (the decoded body text, null when refused), ``admit_code``
     and ``admit_status`` (400 / 415, null when admitted).
     """
-    sig = verify(F.col("body"), key, F.col("signature"))
-    zipped = F.coalesce(F.col("content_encoding"), F.lit("")).contains("gzip")
+    zipped = "contains(coalesce(content_encoding, ''), 'gzip')"
     # only gzip bodies reach the UDF; the others pass it a null
-    raw = F.when(zipped, gunzip(F.when(zipped, F.col("body")))).otherwise(F.col("body"))
-    ct_ok = F.coalesce(F.col("content_type"), F.lit("")).contains("application/json")
-    d = envelopes.withColumn("_sig", sig).withColumn("_raw", raw)
-    code = (F.when(F.col("_sig") == "bad", F.lit(BAD_SIGNATURE))
-             .when(zipped & F.col("_raw").isNull(), F.lit(BAD_GZIP)))
+    d = envelopes.withColumn("_unz", gunzip(F.expr(f"CASE WHEN {zipped} THEN body END")))
+    d = d.selectExpr("*", f"{verify_sql('body', key, 'signature')} AS _sig",
+                     f"CASE WHEN {zipped} THEN _unz ELSE body END AS _raw")
+    code = (f"CASE WHEN _sig = 'bad' THEN '{BAD_SIGNATURE}' "
+            f"WHEN {zipped} AND _raw IS NULL THEN '{BAD_GZIP}' ")
     if require_json:
-        code = code.when(~ct_ok, F.lit(BAD_CONTENT_TYPE))
-    status = F.when(F.col("admit_code") == BAD_CONTENT_TYPE, F.lit(415)) \
-              .when(F.col("admit_code").isNotNull(), F.lit(400))
-    d = d.withColumn("admit_code", code).withColumn("admit_status", status)
-    return materialize(
-        d.withColumn("json", F.when(F.col("admit_code").isNull(), F.col("_raw").cast("string")))
-         .drop("_sig", "_raw"))
-
-
-__all__ = ["parse_batches", "parse_singles", "parse_lookups", "parse_paths",
-           "parse_lookup_paths", "admit", "PARSE_ERROR"]
+        code += f"WHEN NOT contains(coalesce(content_type, ''), 'application/json') THEN '{BAD_CONTENT_TYPE}' "
+    code += "END"
+    d = d.selectExpr("*", f"{code} AS admit_code")
+    d = d.selectExpr("*", f"CASE WHEN admit_code = '{BAD_CONTENT_TYPE}' THEN 415 "
+                          "WHEN admit_code IS NOT NULL THEN 400 END AS admit_status",
+                     "CASE WHEN admit_code IS NULL THEN CAST(_raw AS STRING) END AS json")
+    return materialize(d.drop("_sig", "_raw", "_unz"))
 
 
 METRIC_ARRAY = "array<struct<id string, type string, delta bigint, value double, hash string>>"
@@ -152,32 +147,28 @@ def decode_batches(df: DataFrame, body: str = "body") -> DataFrame:
     ``pos, id, mtype, delta, value, hash``), ``first_bad_pos``,
     ``reject_code`` (null when the batch is accepted) and ``status``.
     """
-    from ..operators.validate import element_code, route_status
+    from ..operators.validate import element_code_sql, route_status_sql
     from ..schema import ROUTE_UPDATES_JSON
 
-    keep = [F.col(f"`{c}`") for c in df.columns if c != body]
-    d = df.select(*keep, F.try_parse_json(F.col(body).cast("string")).alias("_v"))
-    sv = F.schema_of_variant(F.col("_v"))
-    shape_ok = (sv == "VOID") | sv.rlike(r"^ARRAY<(VOID|OBJECT<.*>)>$")
-    d = d.withColumn("parse_error", F.col("_v").isNull() | ~(shape_ok & _fields_ok(sv)))
-    typed = F.when(~F.col("parse_error"),
-                   F.coalesce(F.try_variant_get(F.col("_v"), "$", METRIC_ARRAY), F.array()))
-    metrics = F.transform(typed, lambda m, i: F.struct(
-        i.cast("int").alias("pos"), m["id"].alias("id"), m["type"].alias("mtype"),
-        m["delta"].alias("delta"), m["value"].alias("value"),
-        F.coalesce(m["hash"], F.lit("")).alias("hash")))
-    d = d.withColumn("metrics", metrics).drop("_v")
-    bad = F.filter(F.transform("metrics", lambda m: F.struct(m["pos"].alias("pos"),
-                                                             element_code(m).alias("code"))),
-                   lambda x: x["code"].isNotNull())
-    first = F.try_element_at(bad, F.lit(1))
-    d = d.withColumn("first_bad_pos", F.when(~F.col("parse_error"), first["pos"])) \
-         .withColumn("reject_code", F.when(F.col("parse_error"), F.lit(PARSE_ERROR)).otherwise(first["code"]))
-    return materialize(d.withColumn("status", route_status("reject_code", ROUTE_UPDATES_JSON)))
+    d = _variant(df, body, ARRAY_SHAPE)
+    typed = f"CASE WHEN NOT parse_error THEN coalesce(try_variant_get(_v, '$', '{METRIC_ARRAY}'), array()) END"
+    metrics = (f"transform({typed}, (m, i) -> named_struct('pos', CAST(i AS INT), 'id', m.id, "
+               "'mtype', m.type, 'delta', m.delta, 'value', m.value, 'hash', coalesce(m.hash, '')))")
+    d = d.selectExpr("*", f"{metrics} AS metrics").drop("_v")
+    first = (f"try_element_at(filter(transform(metrics, m -> named_struct('pos', m.pos, 'code', "
+             f"{element_code_sql('m.')})), x -> x.code IS NOT NULL), 1)")
+    d = d.selectExpr("*", f"{first} AS _first")
+    d = d.selectExpr(*[f"`{c}`" for c in d.columns if c != "_first"],
+                     "CASE WHEN NOT parse_error THEN _first.pos END AS first_bad_pos",
+                     f"CASE WHEN parse_error THEN '{PARSE_ERROR}' ELSE _first.code END AS reject_code")
+    return materialize(d.selectExpr("*", f"{route_status_sql('reject_code', ROUTE_UPDATES_JSON)} AS status"))
 
 
 def accepted_rows(decoded: DataFrame, key: str = "batch_id") -> DataFrame:
     """Metric rows of the accepted batches (``key, pos, id, mtype, delta,
     value, hash``)."""
-    ok = decoded.filter(F.col("reject_code").isNull())
-    return ok.select(key, F.inline("metrics"))
+    return decoded.filter("reject_code IS NULL").selectExpr(key, "inline(metrics)")
+
+
+__all__ = ["parse_batches", "parse_singles", "parse_lookups", "parse_paths",
+           "parse_lookup_paths", "admit", "decode_batches", "accepted_rows", "PARSE_ERROR"]
