@@ -229,7 +229,7 @@ def as_input_table(df, name):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spread(spark.read.parquet(path))
+    return spread(spark.read.schema(df.schema).parquet(path))
 
 
 def batch_bodies(spark, sf_dir):

@@ -26,10 +26,21 @@ COUNTER_EVENTS = ("click", "view", "signup")
 BATCH_SIZE = 100
 
 
+# Schemas of the given (read-only) tables, learned on first read, like a
+# catalog would hold them: later reads skip the footer-based inference.
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
     """A given table. ``spread_rows`` deals a single-split input over the
     cores, for heavy per-row work (payload decoding) before the first shuffle."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
     return spread(df) if spread_rows else df
 
 
