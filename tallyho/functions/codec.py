@@ -7,15 +7,21 @@ in a BINARY column. A body that is not valid gzip decodes to null.
 from __future__ import annotations
 
 import gzip
+import sys as _sys
 import zlib
 
 import pandas as pd
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._util import col_of
 
+# The UDFs below travel to the Python workers by value (with the module's
+# helpers), so executors need only numpy/pandas, not this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 
 def _gunzip_one(b):
     if b is None:

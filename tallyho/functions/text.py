@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 import math
+import sys as _sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._util import col_of
 
+# The UDFs below travel to the Python workers by value (with the module's
+# helpers), so executors need only numpy/pandas, not this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 
 def _plain(x: float) -> str:
     # shortest round-trip digits in positional notation (never an exponent);
