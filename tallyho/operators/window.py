@@ -14,10 +14,10 @@ Both are computed so that no single task has to hold all rows of a hot key:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import LIMBS, combine_limbs, limbs, wrap_sum_aggs
+from ..functions.numbers import LIMBS, combine_sql, limb_sql, wrap_sum_aggs
 from ..schema import COUNTER
 
 KEY = ["id", "mtype"]
@@ -34,28 +34,26 @@ def batch_echo(updates: DataFrame, prior: DataFrame | None = None,
     span of one window partition (a tuning knob, no rows are dropped).
     """
     u = updates.select("seq", *KEY, "delta", "value")
-    c = u.filter(F.col("mtype") == COUNTER).withColumn("rng", F.expr(f"seq div {int(range_size)}"))
-    g = u.filter(F.col("mtype") != COUNTER)
+    c = u.filter(f"mtype = '{COUNTER}'").selectExpr("*", f"seq div {int(range_size)} AS rng")
+    g = u.filter(f"mtype != '{COUNTER}'")
 
     # per (key, range) limb totals → offset of each range = sum of earlier ranges
     t = c.groupBy(*KEY, "rng").agg(*wrap_sum_aggs("delta", "r"))
-    before = Window.partitionBy(*KEY).orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
-    t = t.select(*KEY, "rng", *[F.coalesce(F.sum(f"r_l{i}").over(before), F.lit(0)).alias(f"b_l{i}")
-                                for i in range(LIMBS)])
+    t = t.selectExpr(*KEY, "rng", *[
+        f"coalesce(sum(r_l{i}) OVER (PARTITION BY id, mtype ORDER BY rng "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b_l{i}" for i in range(LIMBS)])
     if prior is not None:
-        p = prior.filter(F.col("mtype") == COUNTER).select(
-            *KEY, *[x.alias(f"p_l{i}") for i, x in enumerate(limbs("coalesce(delta, 0)"))])
-        t = t.join(p, KEY, "left").select(
-            *KEY, "rng", *[(F.col(f"b_l{i}") + F.coalesce(F.col(f"p_l{i}"), F.lit(0))).alias(f"b_l{i}")
-                           for i in range(LIMBS)])
-
-    within = Window.partitionBy(*KEY, "rng").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
-    run = c.select("seq", *KEY, "rng", "delta", "value",
-                   *[F.sum(x).over(within).alias(f"w_l{i}") for i, x in enumerate(limbs("delta"))])
-    echoed = run.join(t, [*KEY, "rng"], "left").select(
-        "seq", *KEY,
-        combine_limbs([f"w_l{i} + b_l{i}" for i in range(LIMBS)]).alias("delta"),
-        "value")
+        p = prior.filter(f"mtype = '{COUNTER}'").selectExpr(
+            *KEY, *[f"{limb_sql('coalesce(delta, 0)', i)} AS p_l{i}" for i in range(LIMBS)])
+        t = t.join(p, KEY, "left").selectExpr(
+            *KEY, "rng", *[f"b_l{i} + coalesce(p_l{i}, 0) AS b_l{i}" for i in range(LIMBS)])
+
+    # running limb sums inside (key, range): the only window over all rows
+    run = c.selectExpr("seq", *KEY, "rng", "delta", "value", *[
+        f"sum({limb_sql('delta', i)}) OVER (PARTITION BY id, mtype, rng ORDER BY seq "
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS w_l{i}" for i in range(LIMBS)])
+    echoed = run.join(t, [*KEY, "rng"], "left").selectExpr(
+        "seq", *KEY, f"{combine_sql([f'w_l{i} + b_l{i}' for i in range(LIMBS)])} AS delta", "value")
     return echoed.unionByName(g)
 
 
@@ -89,20 +87,18 @@ def tick_snapshot(updates: DataFrame, interval_s: int, last_tick: int | None = N
         u = u.filter(F.col("tick") <= F.lit(int(last_tick)))
     per = u.groupBy(*KEY, "tick").agg(
         *wrap_sum_aggs("delta", "k"),
-        F.max_by("delta", "seq").alias("last_delta"),
-        F.max_by("value", "seq").alias("value"),
+        F.expr("max_by(delta, seq) AS last_delta"),
+        F.expr("max_by(value, seq) AS value"),
     )
-    w = Window.partitionBy(*KEY).orderBy("tick")
-    run = per.select(
+    w = "OVER (PARTITION BY id, mtype ORDER BY tick"
+    run = per.selectExpr(
         *KEY, "tick", "last_delta", "value",
-        *[F.sum(f"k_l{i}").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(f"s_l{i}")
-          for i in range(LIMBS)],
-        F.coalesce(F.lead("tick").over(w) - F.lit(1), F.lit(int(last_tick))).alias("until"),
-    )
-    filled = run.withColumn("t", F.explode(F.sequence(F.col("tick"), F.col("until"))))
+        *[f"sum(k_l{i}) {w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s_l{i}" for i in range(LIMBS)],
+        f"coalesce(lead(tick) {w}) - 1, {int(last_tick)}) AS until")
+    filled = run.selectExpr("*", "explode(sequence(tick, until)) AS t")
     return filled.select(
         tick_time("t", interval_s).alias("tick"), *KEY,
-        F.when(F.col("mtype") == COUNTER, combine_limbs([f"s_l{i}" for i in range(LIMBS)]))
-         .otherwise(F.col("last_delta")).alias("delta"),
+        F.expr(f"CASE WHEN mtype = '{COUNTER}' THEN {combine_sql([f's_l{i}' for i in range(LIMBS)])} "
+               "ELSE last_delta END").alias("delta"),
         "value",
     )
