@@ -21,47 +21,50 @@ from ..schema import NETWORK_TEXT, RETRIABLE_STATUS_TEXT, STATUS_TEXT
 MAX_SENDS = 4  # first send + three retries
 
 
-def is_success(kind, status) -> Column:
-    return (kind == "http") & (status == 200)
+def _success_sql(kind: str = "kind", status: str = "http_status") -> str:
+    return f"({kind} = 'http' AND {status} = 200)"
 
 
-def is_retriable(kind, status) -> Column:
-    return (kind == "network") | ((kind == "http") & (status >= 500))
+def _retriable_sql(kind: str = "kind", status: str = "http_status") -> str:
+    return f"({kind} = 'network' OR ({kind} = 'http' AND {status} >= 500))"
 
 
-def attempt_error_text(kind, status, error) -> Column:
+def _error_text_sql(kind: str = "kind", status: str = "http_status", error: str = "error") -> str:
     """How a failed attempt prints."""
-    return (F.when(kind == "network", F.concat(F.lit(NETWORK_TEXT + ": "), F.coalesce(error, F.lit(""))))
-             .when(status >= 500, F.concat(F.lit(f"{RETRIABLE_STATUS_TEXT}: {STATUS_TEXT} "),
-                                           status.cast("string")))
-             .otherwise(F.concat(F.lit(f"{STATUS_TEXT} "), status.cast("string"))))
+    return (f"CASE WHEN {kind} = 'network' THEN concat('{NETWORK_TEXT}: ', coalesce({error}, '')) "
+            f"WHEN {status} >= 500 THEN concat('{RETRIABLE_STATUS_TEXT}: {STATUS_TEXT} ', CAST({status} AS STRING)) "
+            f"ELSE concat('{STATUS_TEXT} ', CAST({status} AS STRING)) END")
+
+
+def is_success(kind: str = "kind", status: str = "http_status") -> Column:
+    """Only HTTP 200 is a success."""
+    return F.expr(_success_sql(kind, status))
+
+
+def is_retriable(kind: str = "kind", status: str = "http_status") -> Column:
+    """A network error or an HTTP status >= 500."""
+    return F.expr(_retriable_sql(kind, status))
 
 
 def delivery_rollup(attempts: DataFrame) -> DataFrame:
     """``(report_id, attempt_no, kind, http_status, error)`` → ``report_id,
     succeeded, sends, failed_attempts, message`` (message null when the
     first send succeeded)."""
-    a = attempts.filter((F.col("attempt_no") >= 1) & (F.col("attempt_no") <= MAX_SENDS)).select(
-        "report_id", "attempt_no",
-        F.coalesce(is_success(F.col("kind"), F.col("http_status")), F.lit(False)).alias("ok"),
-        F.coalesce(is_retriable(F.col("kind"), F.col("http_status")), F.lit(False)).alias("retriable"),
-        attempt_error_text(F.col("kind"), F.col("http_status"), F.col("error")).alias("text"))
+    a = attempts.filter(f"attempt_no >= 1 AND attempt_no <= {MAX_SENDS}").selectExpr(
+        "report_id", "attempt_no", f"coalesce({_success_sql()}, false) AS ok",
+        f"coalesce({_retriable_sql()}, false) AS retriable", f"{_error_text_sql()} AS text")
     # one outcome per attempt number (duplicates, if any, resolve the same way everywhere)
-    a = a.groupBy("report_id", "attempt_no").agg(F.min(F.struct("ok", "retriable", "text")).alias("o")) \
-         .select("report_id", "attempt_no", "o.ok", "o.retriable", "o.text")
+    a = (a.groupBy("report_id", "attempt_no").agg(F.expr("min(struct(ok, retriable, text)) AS o"))
+          .selectExpr("report_id", "attempt_no", "o.ok AS ok", "o.retriable AS retriable", "o.text AS text"))
     g = a.groupBy("report_id").agg(
-        F.min(F.when(F.col("ok") | ~F.col("retriable"), F.col("attempt_no"))).alias("stop_at"),
-        F.array_sort(F.collect_list(F.struct("attempt_no", "ok", "text"))).alias("all"))
-    sent = F.filter("all", lambda x: F.coalesce(x["attempt_no"] <= F.col("stop_at"), F.lit(True)))
-    g = g.select("report_id", sent.alias("sent"))
-    failed = F.filter("sent", lambda x: ~x["ok"])
-    succeeded = F.exists("sent", lambda x: x["ok"])
-    listing = F.array_join(F.transform(failed, lambda x, i: F.concat(
-        F.lit("attempt "), (i + 1).cast("string"), F.lit(": "), x["text"])), "; ")
-    message = F.concat(F.lit("retry "), F.when(succeeded, F.lit("succeeded")).otherwise(F.lit("failed")),
-                       F.lit(" after "), F.size(failed).cast("string"), F.lit(" attempts: "), listing)
-    first_ok = F.col("sent")[0]["ok"] & (F.col("sent")[0]["attempt_no"] == 1)
-    return g.select(
-        "report_id", succeeded.alias("succeeded"), F.size("sent").alias("sends"),
-        F.size(failed).alias("failed_attempts"),
-        F.when(first_ok, F.lit(None).cast("string")).otherwise(message).alias("message"))
+        F.expr("min(CASE WHEN ok OR NOT retriable THEN attempt_no END) AS stop_at"),
+        F.expr("array_sort(collect_list(struct(attempt_no, ok, text))) AS atts"))
+    g = g.selectExpr("report_id", "filter(atts, x -> coalesce(x.attempt_no <= stop_at, true)) AS sent")
+    failed = "filter(sent, x -> NOT x.ok)"
+    succeeded = "exists(sent, x -> x.ok)"
+    listing = f"array_join(transform({failed}, (x, i) -> concat('attempt ', CAST(i + 1 AS STRING), ': ', x.text)), '; ')"
+    message = (f"concat('retry ', CASE WHEN {succeeded} THEN 'succeeded' ELSE 'failed' END, ' after ', "
+               f"CAST(size({failed}) AS STRING), ' attempts: ', {listing})")
+    return g.selectExpr(
+        "report_id", f"{succeeded} AS succeeded", "size(sent) AS sends", f"size({failed}) AS failed_attempts",
+        f"CASE WHEN sent[0].ok AND sent[0].attempt_no = 1 THEN CAST(NULL AS STRING) ELSE {message} END AS message")

@@ -160,8 +160,8 @@ FROM events
 def q_is_retriable(spark, sf_dir):
     a = attempts(spark, sf_dir)
     return a.select("report_id", "attempt_no",
-                    F.coalesce(is_retriable(F.col("kind"), F.col("http_status")), F.lit(False)).alias("retriable"),
-                    F.coalesce(is_success(F.col("kind"), F.col("http_status")), F.lit(False)).alias("success"))
+                    F.coalesce(is_retriable("kind", "http_status"), F.lit(False)).alias("retriable"),
+                    F.coalesce(is_success("kind", "http_status"), F.lit(False)).alias("success"))
 
 
 @query("metric_line", """
