@@ -45,6 +45,14 @@ def format_gauge(c) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(_format_gauge_udf(c))
 
 
+def html_escape_sql(x: str) -> str:
+    """SQL text of ``html_escape`` for the expression ``x``."""
+    for ch, ent in HTML_ESCAPES:
+        q = ch.replace("'", "\\'")
+        x = f"replace({x}, '{q}', '{ent}')"
+    return x
+
+
 def metric_line(name, value) -> Column:
     """``name:\\tvalue``"""
     return F.concat(col_of(name), F.lit(":\t"), F.coalesce(col_of(value), F.lit("")))

@@ -13,8 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import format_counter
-from ..functions.text import format_gauge, html_escape, metric_line
+from ..functions.text import format_gauge, html_escape_sql
 from ..schema import (COUNTER, GAUGE, KINDS, NOT_FOUND, ROUTE_VALUE_JSON, ROUTE_VALUE_TEXT,
                       UNKNOWN_TYPE)
 
@@ -30,22 +29,21 @@ def lookup(state: DataFrame, id_: str, mtype: str) -> DataFrame:
 
 def with_value_text(state: DataFrame) -> DataFrame:
     """Adds ``value_text``: the number of the row's kind as text, '' if missing."""
-    text = (F.when(F.col("mtype") == GAUGE, format_gauge("value"))
-             .when(F.col("mtype") == COUNTER, format_counter("delta")))
-    return state.withColumn("value_text", F.coalesce(text, F.lit("")))
+    d = state.withColumn("_gt", format_gauge("value"))
+    keep = [f"`{c}`" for c in state.columns if c != "value_text"]
+    return d.selectExpr(*keep, f"coalesce(CASE WHEN mtype = '{GAUGE}' THEN _gt "
+                               f"WHEN mtype = '{COUNTER}' THEN CAST(delta AS STRING) END, '') AS value_text")
 
 
 def display_rows(state: DataFrame) -> DataFrame:
     """State → ``(id, mtype, name, value_text)``; a missing number gives ''."""
-    return with_value_text(state).select("id", "mtype", F.col("id").alias("name"), "value_text")
+    return with_value_text(state).selectExpr("id", "mtype", "id AS name", "value_text")
 
 
 def report_lines(state: DataFrame) -> DataFrame:
     """One ``<p>name:\\tvalue</p>`` line per metric, HTML-escaped."""
-    d = display_rows(state)
-    return d.select("id", "mtype",
-                    F.concat(F.lit("<p>"), html_escape(metric_line("name", "value_text")),
-                             F.lit("</p>")).alias("line"))
+    line = html_escape_sql("concat(name, ':\\t', value_text)")
+    return display_rows(state).selectExpr("id", "mtype", f"concat('<p>', {line}, '</p>') AS line")
 
 
 def all_metrics(gauges: DataFrame, counters: DataFrame) -> DataFrame:
@@ -53,6 +51,19 @@ def all_metrics(gauges: DataFrame, counters: DataFrame) -> DataFrame:
     return gauges.unionByName(counters)
 
 
+_KINDS_SQL = "(" + ", ".join(f"'{k}'" for k in KINDS) + ")"
+
+
+def lookup_status_sql(route: str) -> str:
+    """SQL: HTTP status of a lookup (columns ``outcome``, ``id``, ``mtype``)."""
+    if route == ROUTE_VALUE_TEXT:
+        return (f"CASE WHEN outcome = '{NOT_FOUND}' THEN 404 WHEN outcome = '{UNKNOWN_TYPE}' THEN 400 "
+                "WHEN outcome = 'nil_number' THEN 500 ELSE 200 END")
+    # JSON body route: empty id or type is refused first; no nil check
+    return (f"CASE WHEN coalesce(id, '') = '' OR coalesce(mtype, '') = '' THEN 400 "
+            f"WHEN outcome = '{NOT_FOUND}' THEN 404 WHEN outcome = '{UNKNOWN_TYPE}' THEN 400 ELSE 200 END")
+
+
 def lookup_bulk(requests: DataFrame, state: DataFrame) -> DataFrame:
     """Many ``(req_id, id, mtype)`` requests → outcome, number, text, statuses.
 
@@ -60,34 +71,23 @@ def lookup_bulk(requests: DataFrame, state: DataFrame) -> DataFrame:
     (row present but its number missing). The text form is formatted on the
     state (one row per key) before the join, not per request.
     """
-    shown = with_value_text(state).select(
-        "id", "mtype", "delta", "value", "value_text", F.lit(True).alias("_hit"))
+    shown = with_value_text(state).selectExpr("id", "mtype", "delta", "value", "value_text", "true AS _hit")
     j = requests.join(shown, ["id", "mtype"], "left")
-    nil = F.when(F.col("mtype") == COUNTER, F.col("delta").isNull()).otherwise(F.col("value").isNull())
-    outcome = (F.when(~F.col("mtype").isin(*KINDS) | F.col("mtype").isNull(), F.lit(UNKNOWN_TYPE))
-                .when(F.col("_hit").isNull(), F.lit(NOT_FOUND))
-                .when(nil, F.lit("nil_number"))
-                .otherwise(F.lit("ok")))
-    j = j.withColumn("outcome", outcome)
-    return j.select(
+    outcome = (f"CASE WHEN mtype IS NULL OR mtype NOT IN {_KINDS_SQL} THEN '{UNKNOWN_TYPE}' "
+               f"WHEN _hit IS NULL THEN '{NOT_FOUND}' "
+               f"WHEN CASE WHEN mtype = '{COUNTER}' THEN delta IS NULL ELSE value IS NULL END THEN 'nil_number' "
+               "ELSE 'ok' END")
+    j = j.selectExpr("*", f"{outcome} AS outcome")
+    return j.selectExpr(
         "req_id", "id", "mtype", "outcome",
-        F.when(F.col("outcome") == "ok", F.col("value_text")).alias("value_text"),
-        F.when(F.col("_hit").isNotNull(), F.col("delta")).alias("delta"),
-        F.when(F.col("_hit").isNotNull(), F.col("value")).alias("value"),
-        lookup_status(F.col("outcome"), F.col("id"), F.col("mtype"), ROUTE_VALUE_TEXT).alias("status_text"),
-        lookup_status(F.col("outcome"), F.col("id"), F.col("mtype"), ROUTE_VALUE_JSON).alias("status_json"),
-    )
+        "CASE WHEN outcome = 'ok' THEN value_text END AS value_text",
+        "CASE WHEN _hit IS NOT NULL THEN delta END AS delta",
+        "CASE WHEN _hit IS NOT NULL THEN value END AS value",
+        f"{lookup_status_sql(ROUTE_VALUE_TEXT)} AS status_text",
+        f"{lookup_status_sql(ROUTE_VALUE_JSON)} AS status_json")
 
 
 def lookup_status(outcome, id_, mtype, route: str):
-    """HTTP status of a lookup on the text route or the JSON route."""
-    if route == ROUTE_VALUE_TEXT:
-        return (F.when(outcome == NOT_FOUND, F.lit(404))
-                 .when(outcome == UNKNOWN_TYPE, F.lit(400))
-                 .when(outcome == "nil_number", F.lit(500))
-                 .otherwise(F.lit(200)))
-    # JSON body route: empty id or type is refused first; no nil check
-    return (F.when((F.coalesce(id_, F.lit("")) == "") | (F.coalesce(mtype, F.lit("")) == ""), F.lit(400))
-             .when(outcome == NOT_FOUND, F.lit(404))
-             .when(outcome == UNKNOWN_TYPE, F.lit(400))
-             .otherwise(F.lit(200)))
+    """HTTP status of a lookup on the text route or the JSON route (columns
+    named ``outcome``, ``id``, ``mtype``)."""
+    return F.expr(lookup_status_sql(route))
