@@ -15,14 +15,6 @@ from ..schema import COUNTER, GAUGE
 KEY = ["id", "mtype"]
 
 
-def _last_rows(rows: DataFrame, seq: str = "seq") -> DataFrame:
-    """Per key, the numbers of the last row (fixed-width ``max_by``)."""
-    return rows.groupBy(*KEY).agg(
-        F.max_by("delta", seq).alias("delta"),
-        F.max_by("value", seq).alias("value"),
-    )
-
-
 def upsert_snapshot(old: DataFrame, new: DataFrame, seq: str = "seq") -> DataFrame:
     """Insert-or-replace on ``(id, mtype)``.
 
@@ -31,17 +23,12 @@ def upsert_snapshot(old: DataFrame, new: DataFrame, seq: str = "seq") -> DataFra
     stored ``hash`` is kept on conflict and new rows get an empty hash, since
     the table write never carries one. An empty ``new`` leaves ``old`` as is.
     """
-    n = _last_rows(new, seq).withColumn("_new", F.lit(True))
-    o = old.select(*KEY, F.col("delta").alias("o_delta"), F.col("value").alias("o_value"),
-                   F.coalesce(F.col("hash"), F.lit("")).alias("o_hash"))
-    j = o.join(n, KEY, "full")
-    hit = F.col("_new").isNotNull()
-    return j.select(
-        *KEY,
-        F.when(hit, F.col("delta")).otherwise(F.col("o_delta")).alias("delta"),
-        F.when(hit, F.col("value")).otherwise(F.col("o_value")).alias("value"),
-        F.coalesce(F.col("o_hash"), F.lit("")).alias("hash"),
-    )
+    n = new.groupBy(*KEY).agg(F.expr(f"max_by(delta, {seq}) AS delta"), F.expr(f"max_by(value, {seq}) AS value"),
+                              F.expr("true AS _new"))
+    o = old.selectExpr(*KEY, "delta AS o_delta", "value AS o_value", "coalesce(hash, '') AS o_hash")
+    return o.join(n, KEY, "full").selectExpr(
+        *KEY, "CASE WHEN _new THEN delta ELSE o_delta END AS delta",
+        "CASE WHEN _new THEN value ELSE o_value END AS value", "coalesce(o_hash, '') AS hash")
 
 
 def patch_snapshot(old: DataFrame, patches: DataFrame, seq: str = "seq") -> DataFrame:
@@ -53,36 +40,29 @@ def patch_snapshot(old: DataFrame, patches: DataFrame, seq: str = "seq") -> Data
     and later patches of the same key then change only the kind's number and
     the hash.
     """
-    p = patches.withColumn("hash", F.coalesce(F.col("hash"), F.lit("")))
-    agg = p.groupBy(*KEY).agg(
-        F.min_by("delta", seq).alias("first_delta"),
-        F.min_by("value", seq).alias("first_value"),
-        F.max_by("delta", seq).alias("last_delta"),
-        F.max_by("value", seq).alias("last_value"),
-        F.max_by("hash", seq).alias("last_hash"),
-    )
-    is_c, is_g = F.col("mtype") == COUNTER, F.col("mtype") == GAUGE
-    o = old.select(*KEY, F.col("delta").alias("o_delta"), F.col("value").alias("o_value"),
-                   F.col("hash").alias("o_hash"), F.lit(True).alias("_old"))
+    p = patches.selectExpr(*KEY, seq, "delta", "value", "coalesce(hash, '') AS hash")
+    agg = p.groupBy(*KEY).agg(*[F.expr(e) for e in (
+        f"min_by(delta, {seq}) AS first_delta", f"min_by(value, {seq}) AS first_value",
+        f"max_by(delta, {seq}) AS last_delta", f"max_by(value, {seq}) AS last_value",
+        f"max_by(hash, {seq}) AS last_hash")])
+    o = old.selectExpr(*KEY, "delta AS o_delta", "value AS o_value", "hash AS o_hash", "true AS _old")
     # one full outer join: patched old rows, untouched old rows, appended keys
-    j = o.join(agg, KEY, "full")
-    hit, was = F.col("last_hash").isNotNull(), F.col("_old").isNotNull()
-    return j.select(
+    c, g = f"mtype = '{COUNTER}'", f"mtype = '{GAUGE}'"
+    hit, was = "last_hash IS NOT NULL", "_old IS NOT NULL"
+    return o.join(agg, KEY, "full").selectExpr(
         *KEY,
-        F.when(was & hit & is_c, F.col("last_delta")).when(was, F.col("o_delta"))
-         .when(is_c, F.col("last_delta")).otherwise(F.col("first_delta")).alias("delta"),
-        F.when(was & hit & is_g, F.col("last_value")).when(was, F.col("o_value"))
-         .when(is_g, F.col("last_value")).otherwise(F.col("first_value")).alias("value"),
-        F.when(hit, F.col("last_hash")).otherwise(F.col("o_hash")).alias("hash"),
-    )
+        f"CASE WHEN {was} AND {hit} AND {c} THEN last_delta WHEN {was} THEN o_delta "
+        f"WHEN {c} THEN last_delta ELSE first_delta END AS delta",
+        f"CASE WHEN {was} AND {hit} AND {g} THEN last_value WHEN {was} THEN o_value "
+        f"WHEN {g} THEN last_value ELSE first_value END AS value",
+        f"CASE WHEN {hit} THEN last_hash ELSE o_hash END AS hash")
 
 
 def append_missing(old: DataFrame, rows: DataFrame) -> DataFrame:
     """Old rows, plus the rows whose key the old table lacks (one full outer
     join on the key; ``rows`` is unique on the key)."""
     vals = ["delta", "value", "hash"]
-    o = old.select(*KEY, *[F.col(c).alias(f"o_{c}") for c in vals], F.lit(True).alias("_old"))
-    n = rows.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in vals])
-    j = o.join(n, KEY, "full")
-    was = F.col("_old").isNotNull()
-    return j.select(*KEY, *[F.when(was, F.col(f"o_{c}")).otherwise(F.col(f"n_{c}")).alias(c) for c in vals])
+    o = old.selectExpr(*KEY, *[f"{c} AS o_{c}" for c in vals], "true AS _old")
+    n = rows.selectExpr(*KEY, *[f"{c} AS n_{c}" for c in vals])
+    return o.join(n, KEY, "full").selectExpr(
+        *KEY, *[f"CASE WHEN _old IS NOT NULL THEN o_{c} ELSE n_{c} END AS {c}" for c in vals])
