@@ -29,17 +29,13 @@ KEY = "metrics-signing-key"
 def text_paths(spark, sf_dir):
     """One ``/update/{type}/{name}/{value}`` request per event."""
     u = load_updates(spark, sf_dir, spread_rows=True)
-    s = F.col("seq")
-    is_c = F.col("mtype") == COUNTER
-    good = F.when(is_c, F.col("delta").cast("string")).otherwise(F.format_string("%.2f", F.col("value")))
-    raw = (F.when(s % 23 == 0, F.lit(""))
-            .when(s % 29 == 0, F.lit("abc"))
-            .when(s % 31 == 0, F.when(is_c, F.lit("3.5")).otherwise(F.lit("1e400")))
-            .when((s % 37 == 0) & ~is_c, F.lit("Infinity"))
-            .otherwise(good))
-    mt = F.when(s % 13 == 0, F.lit("")).when(s % 19 == 0, F.lit("histogram")).otherwise(F.col("mtype"))
-    name = F.when(s % 17 == 0, F.lit("")).otherwise(F.col("id"))
-    return u.select("seq", F.concat(F.lit("/update/"), mt, F.lit("/"), name, F.lit("/"), raw).alias("path"))
+    good = f"CASE WHEN mtype = '{COUNTER}' THEN CAST(delta AS STRING) ELSE format_string('%.2f', value) END"
+    raw = ("CASE WHEN seq % 23 = 0 THEN '' WHEN seq % 29 = 0 THEN 'abc' "
+           f"WHEN seq % 31 = 0 THEN CASE WHEN mtype = '{COUNTER}' THEN '3.5' ELSE '1e400' END "
+           f"WHEN seq % 37 = 0 AND mtype != '{COUNTER}' THEN 'Infinity' ELSE {good} END")
+    mt = "CASE WHEN seq % 13 = 0 THEN '' WHEN seq % 19 = 0 THEN 'histogram' ELSE mtype END"
+    name = "CASE WHEN seq % 17 = 0 THEN '' ELSE id END"
+    return u.selectExpr("seq", f"concat('/update/', {mt}, '/', {name}, '/', {raw}) AS path")
 
 
 TEXT_PATHS_SQL = f"""
@@ -385,9 +381,8 @@ def q_ingest_fold(spark, sf_dir):
 
 def single_bodies(spark, sf_dir):
     d = load_dirty_updates(spark, sf_dir, spread_rows=True)
-    body = F.to_json(F.struct("id", F.col("mtype").alias("type"), "delta", "value"))
-    body = F.when(F.col("seq") % 41 == 0, F.lit(BAD_JSON)).otherwise(body)
-    return d.select("seq", body.alias("body"))
+    body = "to_json(named_struct('id', id, 'type', mtype, 'delta', delta, 'value', value))"
+    return d.selectExpr("seq", f"CASE WHEN seq % 41 = 0 THEN '{BAD_JSON}' ELSE {body} END AS body")
 
 
 SINGLE_SQL = f"""

@@ -12,7 +12,7 @@ from ..operators import reshape as rs
 from ..session import scratch_path
 from ..sinks import snapshot as sk
 from ..sources import snapshot as src
-from ..sources.events import UPDATES_SQL, load_updates, props_k, read_table
+from ..sources.events import UPDATES_SQL, load_updates, props_k_sql, read_table
 from .queries_core import FOLD_SQL
 from .queries_ingest import KEY
 from .queries_state import VALUE_TEXT_SQL
@@ -22,13 +22,12 @@ from .registry import query
 def samples(spark, sf_dir):
     """One host sample per event: a few gauges, the poll counter, per-core CPU."""
     e = read_table(spark, sf_dir, "events")
-    k = props_k().cast("double")
-    return e.select(
-        F.col("event_id").alias("seq"), F.col("user_id").alias("source"),
-        F.create_map(F.lit("Alloc"), F.col("value"), F.lit("HeapAlloc"), F.col("value") * 2,
-                     F.lit("RandomValue"), k / F.lit(100.0)).alias("gauge"),
-        F.create_map(F.lit(rs.POLL_COUNT), props_k()).alias("counter"),
-        F.array(F.col("value"), k, (F.col("user_id") % 100).cast("double")).alias("pct"))
+    k = props_k_sql()
+    return e.selectExpr(
+        "event_id AS seq", "user_id AS source",
+        f"map('Alloc', value, 'HeapAlloc', value * 2, 'RandomValue', CAST({k} AS DOUBLE) / 100.0) AS gauge",
+        f"map('{rs.POLL_COUNT}', {k}) AS counter",
+        f"array(value, CAST({k} AS DOUBLE), CAST(user_id % 100 AS DOUBLE)) AS pct")
 
 
 K_SQL = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -56,10 +55,9 @@ def q_cpu_array_to_rows(spark, sf_dir):
 def runtime_columns(spark, sf_dir):
     """A wide runtime-stats row per event: one numeric column per gauge name."""
     e = read_table(spark, sf_dir, "events")
-    k = props_k().cast("double")
-    return e.select(F.col("event_id").alias("seq"),
-                    *[(F.col("value") * F.lit(float(i + 1)) + k).alias(n)
-                      for i, n in enumerate(rs.RUNTIME_GAUGES)])
+    k = f"CAST({props_k_sql()} AS DOUBLE)"
+    return e.selectExpr("event_id AS seq",
+                        *[f"value * {float(i + 1)} + {k} AS {n}" for i, n in enumerate(rs.RUNTIME_GAUGES)])
 
 
 _NAMES_SQL = ", ".join(f"'{n}'" for n in rs.RUNTIME_GAUGES)
@@ -113,14 +111,12 @@ def attempts(spark, sf_dir):
     """Each run of four events is what one report meets on its sends:
     view/click → 200, error → 500, signup → network error, purchase → 400."""
     e = read_table(spark, sf_dir, "events")
-    t = F.col("event_type")
-    return e.select(
-        F.expr("event_id div 4").alias("report_id"),
-        (F.col("event_id") % 4 + 1).cast("int").alias("attempt_no"),
-        F.when(t == "signup", F.lit("network")).otherwise(F.lit("http")).alias("kind"),
-        F.when(t.isin("view", "click"), F.lit(200)).when(t == "error", F.lit(500))
-         .when(t == "purchase", F.lit(400)).cast("int").alias("http_status"),
-        F.when(t == "signup", F.lit("connection refused")).alias("error"))
+    return e.selectExpr(
+        "event_id div 4 AS report_id", "CAST(event_id % 4 + 1 AS INT) AS attempt_no",
+        "CASE WHEN event_type = 'signup' THEN 'network' ELSE 'http' END AS kind",
+        "CAST(CASE WHEN event_type IN ('view', 'click') THEN 200 WHEN event_type = 'error' THEN 500 "
+        "WHEN event_type = 'purchase' THEN 400 END AS INT) AS http_status",
+        "CASE WHEN event_type = 'signup' THEN 'connection refused' END AS error")
 
 
 DELIVERY_SQL = """

@@ -7,7 +7,6 @@ the time filter is pushed into the Parquet scan.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators import fold as fo
 from ..operators import lookup as lk
@@ -25,8 +24,8 @@ SPLIT_TS = "2024-01-16 00:00:00"
 
 def _halves(spark, sf_dir, wide=False):
     u = load_updates(spark, sf_dir, wide=wide, with_ts=True)
-    cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    return u.filter(F.col("ts") < cut).drop("ts"), u.filter(F.col("ts") >= cut).drop("ts")
+    cut = f"TIMESTAMP_NTZ'{SPLIT_TS}'"
+    return u.filter(f"ts < {cut}").drop("ts"), u.filter(f"ts >= {cut}").drop("ts")
 
 
 def _fold_sql(where: str) -> str:
@@ -62,11 +61,9 @@ def lookup_requests(spark, sf_dir):
     """One lookup per event; every 7th asks for an unknown id, every 11th for
     an unknown kind."""
     u = load_updates(spark, sf_dir)
-    return u.select(
-        F.col("seq").alias("req_id"),
-        F.when(F.col("seq") % 7 == 0, F.concat("id", F.lit("_missing"))).otherwise(F.col("id")).alias("id"),
-        F.when(F.col("seq") % 11 == 0, F.lit("histogram")).otherwise(F.col("mtype")).alias("mtype"),
-    )
+    return u.selectExpr("seq AS req_id",
+                        "CASE WHEN seq % 7 = 0 THEN concat(id, '_missing') ELSE id END AS id",
+                        "CASE WHEN seq % 11 = 0 THEN 'histogram' ELSE mtype END AS mtype")
 
 
 LOOKUP_BULK_SQL = f"""

@@ -67,15 +67,12 @@ FROM ({UPDATES_SQL}) u
 
 
 def hot_updates(spark, sf_dir):
-    from pyspark.sql import functions as F
-    u = load_updates(spark, sf_dir)
-    hot = F.col("seq") % 3 == 0
-    return u.select(
+    return load_updates(spark, sf_dir).selectExpr(
         "seq",
-        F.when(hot, F.lit("hot")).otherwise(F.col("id")).alias("id"),
-        F.when(hot, F.lit("counter")).otherwise(F.col("mtype")).alias("mtype"),
-        F.when(hot, F.coalesce("delta", F.lit(1))).otherwise(F.col("delta")).alias("delta"),
-        F.when(hot, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"),
+        "CASE WHEN seq % 3 = 0 THEN 'hot' ELSE id END AS id",
+        "CASE WHEN seq % 3 = 0 THEN 'counter' ELSE mtype END AS mtype",
+        "CASE WHEN seq % 3 = 0 THEN coalesce(delta, 1) ELSE delta END AS delta",
+        "CASE WHEN seq % 3 = 0 THEN CAST(NULL AS DOUBLE) ELSE value END AS value",
         "hash")
 
 

@@ -2,7 +2,6 @@
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tallyho.functions.numbers import wrap_add, wrap_sum_aggs, wrap_sum_result
 
