@@ -25,7 +25,9 @@ def spread(df: DataFrame) -> DataFrame:
     this costs nothing at scale; on a one-split input it lets the per-row
     work before the first shuffle use every core instead of one.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave it alone
         return df
-    return df.repartition(cores)
+    return df if parts >= cores else df.repartition(cores)
