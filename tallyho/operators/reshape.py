@@ -29,34 +29,32 @@ def sample_to_rows(samples: DataFrame, keys=("seq",), gauge: str = "gauge",
     """``(keys…, gauge MAP<STRING,DOUBLE>, counter MAP<STRING,BIGINT>)`` →
     update rows: gauges carry only ``value``, counters only ``delta``."""
     k = list(keys)
-    g = samples.select(*k, F.explode(gauge).alias("id", "value")).select(
-        *k, "id", F.lit(GAUGE).alias("mtype"), F.lit(None).cast("bigint").alias("delta"), "value")
-    c = samples.select(*k, F.explode(counter).alias("id", "delta")).select(
-        *k, "id", F.lit(COUNTER).alias("mtype"), "delta", F.lit(None).cast("double").alias("value"))
+    g = samples.selectExpr(*k, f"explode({gauge}) AS (id, value)").selectExpr(
+        *k, "id", f"'{GAUGE}' AS mtype", "CAST(NULL AS BIGINT) AS delta", "value")
+    c = samples.selectExpr(*k, f"explode({counter}) AS (id, delta)").selectExpr(
+        *k, "id", f"'{COUNTER}' AS mtype", "delta", "CAST(NULL AS DOUBLE) AS value")
     return g.unionByName(c)
 
 
 def indexed_gauges(df: DataFrame, array_col: str, prefix: str = CPU_PREFIX, keys=("seq",)) -> DataFrame:
     """Array of per-core numbers → gauges ``{prefix}1``, ``{prefix}2``, …"""
     k = list(keys)
-    return df.select(*k, F.posexplode(array_col).alias("pos", "value")).select(
-        *k, F.concat(F.lit(prefix), (F.col("pos") + 1).cast("string")).alias("id"),
-        F.lit(GAUGE).alias("mtype"), F.lit(None).cast("bigint").alias("delta"),
-        F.col("value").cast("double").alias("value"))
+    return df.selectExpr(*k, f"posexplode({array_col}) AS (pos, value)").selectExpr(
+        *k, f"concat('{prefix}', CAST(pos + 1 AS STRING)) AS id", f"'{GAUGE}' AS mtype",
+        "CAST(NULL AS BIGINT) AS delta", "CAST(value AS DOUBLE) AS value")
 
 
 def gauges_from_columns(df: DataFrame, names=RUNTIME_GAUGES, keys=("seq",)) -> DataFrame:
     """Named numeric columns → one gauge row per column, cast to double."""
     k = list(keys)
-    wide = df.select(*k, *[F.col(n).cast("double").alias(n) for n in names])
+    wide = df.selectExpr(*k, *[f"CAST({n} AS DOUBLE) AS {n}" for n in names])
     long = wide.unpivot(k, list(names), "id", "value")
-    return long.select(*k, "id", F.lit(GAUGE).alias("mtype"), F.lit(None).cast("bigint").alias("delta"),
-                       "value")
+    return long.selectExpr(*k, "id", f"'{GAUGE}' AS mtype", "CAST(NULL AS BIGINT) AS delta", "value")
 
 
 def poll_counts(samples: DataFrame, source: str = "source") -> DataFrame:
     """Samples taken per source (the agent's poll counter)."""
-    return samples.groupBy(source).agg(F.count(F.lit(1)).alias("poll_count"))
+    return samples.groupBy(source).agg(F.expr("count(1) AS poll_count"))
 
 
 def poll_counts_running(samples: DataFrame, source: str = "source", seq: str = "seq",
@@ -66,8 +64,7 @@ def poll_counts_running(samples: DataFrame, source: str = "source", seq: str = "
     folded with the skew-safe running echo (a busy source is split by seq
     range, not held in one task)."""
     from .window import DEFAULT_RANGE, batch_echo
-    u = samples.select(F.col(seq).alias("seq"), F.col(source).cast("string").alias("id"),
-                       F.lit(COUNTER).alias("mtype"), F.lit(1).cast("bigint").alias("delta"),
-                       F.lit(None).cast("double").alias("value"))
+    u = samples.selectExpr(f"{seq} AS seq", f"CAST({source} AS STRING) AS id", f"'{COUNTER}' AS mtype",
+                           "CAST(1 AS BIGINT) AS delta", "CAST(NULL AS DOUBLE) AS value")
     run = batch_echo(u, range_size=range_size or DEFAULT_RANGE)
-    return run.select(F.col("seq"), F.col("id").alias(source), F.col("delta").alias("poll_count"))
+    return run.selectExpr("seq", f"id AS {source}", "delta AS poll_count")
