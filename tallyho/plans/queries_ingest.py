@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.codec import gzip_compress
-from ..functions.signing import sign
+from ..functions.signing import sign_sql
 from ..operators import fold as fo
 from ..operators import validate as va
 from ..operators.common import spread
@@ -236,14 +236,13 @@ def _batch_bodies(spark, sf_dir):
     """One JSON array body per batch of 100 events (bounded groups), in
     position order; some bodies replaced by broken ones."""
     d = load_dirty_updates(spark, sf_dir)
-    elem = F.struct(F.col("pos"), F.struct(F.col("id"), F.col("mtype").alias("type"), "delta", "value")
-                    .alias("m"))
-    b = d.groupBy("batch_id").agg(F.array_sort(F.collect_list(elem)).alias("ms"))
-    body = F.to_json(F.transform("ms", lambda x: x["m"]))
-    body = (F.when(F.col("batch_id") % 17 == 8, F.lit(BAD_JSON))
-             .when(F.col("batch_id") % 19 == 9, F.lit(WRONG_TYPE))
-             .otherwise(body))
-    return b.select("batch_id", body.alias("body"))
+    b = d.groupBy("batch_id").agg(F.expr(
+        "array_sort(collect_list(struct(pos, named_struct('id', id, 'type', mtype, "
+        "'delta', delta, 'value', value) AS m))) AS ms"))
+    return b.selectExpr(
+        "batch_id",
+        f"CASE WHEN batch_id % 17 = 8 THEN '{BAD_JSON}' WHEN batch_id % 19 = 9 THEN '{WRONG_TYPE}' "
+        "ELSE to_json(transform(ms, x -> x.m)) END AS body")
 
 
 PARSED_BATCH_SQL = f"""
@@ -291,20 +290,19 @@ def envelopes(spark, sf_dir):
     """Requests carrying the batch bodies: gzip on even batches, a signature
     on most; some with a wrong signature, broken gzip or wrong content type."""
     b = _batch_bodies(spark, sf_dir)
-    bid = F.col("batch_id")
-    zipped = bid % 2 == 0
-    payload = F.when(zipped, gzip_compress(F.when(zipped, F.col("body")))).otherwise(F.col("body").cast("binary"))
-    payload = F.when(bid % 13 == 6, F.lit("not gzip at all").cast("binary")).otherwise(payload)
-    e = b.select("batch_id", payload.alias("body"),
-                 F.when(bid % 7 == 3, F.lit("text/plain"))
-                  .when(bid % 3 == 1, F.lit("application/json; charset=utf-8"))
-                  .otherwise(F.lit("application/json")).alias("content_type"),
-                 F.when(zipped | (bid % 13 == 6), F.lit("gzip")).otherwise(F.lit("")).alias("content_encoding"))
-    sig = (F.when(bid % 11 == 5, F.lit("00"))
-            .when(bid % 5 == 4, F.lit(None).cast("string"))
-            .when(bid % 9 == 2, F.upper(sign(F.col("body"), KEY)))
-            .otherwise(sign(F.col("body"), KEY)))
-    return as_input_table(e.withColumn("signature", sig), "envelopes")
+    zipped = "batch_id % 2 = 0"
+    b = b.withColumn("_gz", gzip_compress(F.expr(f"CASE WHEN {zipped} THEN body END")))
+    e = b.selectExpr(
+        "batch_id",
+        f"CASE WHEN batch_id % 13 = 6 THEN CAST('not gzip at all' AS BINARY) "
+        f"WHEN {zipped} THEN _gz ELSE CAST(body AS BINARY) END AS body",
+        "CASE WHEN batch_id % 7 = 3 THEN 'text/plain' WHEN batch_id % 3 = 1 "
+        "THEN 'application/json; charset=utf-8' ELSE 'application/json' END AS content_type",
+        f"CASE WHEN {zipped} OR batch_id % 13 = 6 THEN 'gzip' ELSE '' END AS content_encoding")
+    h = sign_sql("body", KEY)
+    e = e.selectExpr("*", f"CASE WHEN batch_id % 11 = 5 THEN '00' WHEN batch_id % 5 = 4 THEN CAST(NULL AS STRING) "
+                          f"WHEN batch_id % 9 = 2 THEN upper({h}) ELSE {h} END AS signature")
+    return as_input_table(e, "envelopes")
 
 
 ADMIT_SQL = BATCH_OUTCOME_SQL + """
