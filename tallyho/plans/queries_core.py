@@ -58,12 +58,9 @@ def lineitem_updates(spark, sf_dir):
     whose totals do not depend on order, are taken from it.)"""
     from ..sources.events import read_table
     li = read_table(spark, sf_dir, "lineitem")
-    return li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),
-        F.concat(F.lit("part_"), F.col("l_partkey").cast("string")).alias("id"),
-        F.lit(COUNTER).alias("mtype"),
-        F.floor("l_quantity").cast("bigint").alias("delta"),
-        F.lit(None).cast("double").alias("value"))
+    return li.selectExpr(
+        "l_orderkey * 8 + l_linenumber AS seq", "concat('part_', CAST(l_partkey AS STRING)) AS id",
+        f"'{COUNTER}' AS mtype", "CAST(floor(l_quantity) AS BIGINT) AS delta", "CAST(NULL AS DOUBLE) AS value")
 
 
 @query("fold_lineitem", """

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.numbers import format_counter, parse_counter, parse_gauge
-from ..functions.signing import hmac_sql, sign, verify
+from ..functions.signing import hmac_sql, sign, sign_sql, verify
 from ..functions.text import format_gauge, html_escape, metric_line
 from ..operators.delivery import is_retriable, is_success
 from ..sources.events import read_table
@@ -42,15 +42,12 @@ FROM (SELECT event_id, {COUNTER_TEXT_SQL} AS t FROM events) x
 """)
 def q_parse_counter(spark, sf_dir):
     e = _events(spark, sf_dir)
-    k = F.get_json_object("props", "$.k")
-    i = F.col("event_id")
-    t = (F.when(i % 5 == 0, F.concat(k, F.lit(".5")))
-          .when(i % 7 == 0, F.concat(F.lit(" "), k))
-          .when(i % 11 == 0, F.concat(F.lit("+"), k))
-          .when(i % 13 == 0, F.concat(F.lit("-"), k, F.lit("0000000000000000000")))
-          .when(i % 17 == 0, F.concat(k, F.lit("x")))
-          .otherwise(k))
-    return e.select(i.alias("seq"), t.alias("text")).withColumn("delta", parse_counter("text"))
+    k = "get_json_object(props, '$.k')"
+    t = (f"CASE WHEN event_id % 5 = 0 THEN concat({k}, '.5') WHEN event_id % 7 = 0 THEN concat(' ', {k}) "
+         f"WHEN event_id % 11 = 0 THEN concat('+', {k}) "
+         f"WHEN event_id % 13 = 0 THEN concat('-', {k}, '0000000000000000000') "
+         f"WHEN event_id % 17 = 0 THEN concat({k}, 'x') ELSE {k} END")
+    return e.selectExpr("event_id AS seq", f"{t} AS text").withColumn("delta", parse_counter("text"))
 
 
 GAUGE_TEXT_SQL = """
@@ -74,19 +71,12 @@ FROM (SELECT event_id, {GAUGE_TEXT_SQL} AS t FROM events) x
 """)
 def q_parse_gauge(spark, sf_dir):
     e = _events(spark, sf_dir)
-    v = F.format_string("%.2f", F.col("value"))
-    i = F.col("event_id")
-    t = (F.when(i % 5 == 0, F.concat(v, F.lit("e3")))
-          .when(i % 7 == 0, F.lit("1e400"))
-          .when(i % 11 == 0, F.lit("-inf"))
-          .when(i % 13 == 0, F.lit("Infinity"))
-          .when(i % 17 == 0, F.lit(".5"))
-          .when(i % 19 == 0, F.lit("5."))
-          .when(i % 23 == 0, F.lit("1_000"))
-          .when(i % 29 == 0, F.concat(F.lit(" "), v))
-          .when(i % 31 == 0, F.concat(v, F.lit("f")))
-          .otherwise(v))
-    return e.select(i.alias("seq"), t.alias("text")).withColumn("value", parse_gauge("text"))
+    v = "format_string('%.2f', value)"
+    t = (f"CASE WHEN event_id % 5 = 0 THEN concat({v}, 'e3') WHEN event_id % 7 = 0 THEN '1e400' "
+         "WHEN event_id % 11 = 0 THEN '-inf' WHEN event_id % 13 = 0 THEN 'Infinity' "
+         "WHEN event_id % 17 = 0 THEN '.5' WHEN event_id % 19 = 0 THEN '5.' WHEN event_id % 23 = 0 THEN '1_000' "
+         f"WHEN event_id % 29 = 0 THEN concat(' ', {v}) WHEN event_id % 31 = 0 THEN concat({v}, 'f') ELSE {v} END")
+    return e.selectExpr("event_id AS seq", f"{t} AS text").withColumn("value", parse_gauge("text"))
 
 
 @query("format_counter", f"""
@@ -138,17 +128,13 @@ def q_verify(spark, sf_dir):
     """Three-valued signature check of each event's ``props``: skipped when
     no signature came, ok when it matches as bytes, bad otherwise."""
     e = _events(spark, sf_dir)
-    h = sign(F.col("props"), KEY)
-    i = F.col("event_id")
-    sig = (F.when(i % 3 == 0, F.upper(h))
-            .when(i % 5 == 0, F.lit(None).cast("string"))
-            .when(i % 7 == 0, F.lit(""))
-            .when(i % 11 == 0, F.substring(h, 2, 64))
-            .when(i % 13 == 0, F.concat(F.lit("zz"), F.substring(h, 3, 64)))
-            .when(i % 17 == 0, F.concat(F.lit("00"), F.substring(h, 3, 64)))
-            .otherwise(h))
-    d = e.select(i.alias("seq"), "props", sig.alias("signature"))
-    return d.select("seq", "signature", verify(F.col("props"), KEY, F.col("signature")).alias("verdict"))
+    h = sign_sql("props", KEY)
+    sig = (f"CASE WHEN event_id % 3 = 0 THEN upper({h}) WHEN event_id % 5 = 0 THEN CAST(NULL AS STRING) "
+           f"WHEN event_id % 7 = 0 THEN '' WHEN event_id % 11 = 0 THEN substring({h}, 2, 64) "
+           f"WHEN event_id % 13 = 0 THEN concat('zz', substring({h}, 3, 64)) "
+           f"WHEN event_id % 17 = 0 THEN concat('00', substring({h}, 3, 64)) ELSE {h} END")
+    d = e.selectExpr("event_id AS seq", "props", f"{sig} AS signature")
+    return d.select("seq", "signature", verify("props", KEY, "signature").alias("verdict"))
 
 
 @query("is_retriable", """
