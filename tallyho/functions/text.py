@@ -63,6 +63,8 @@ HTML_ESCAPES = (("&", "&amp;"), ("'", "&#39;"), ("<", "&lt;"), (">", "&gt;"), ('
 
 
 def html_escape(c) -> Column:
+    if isinstance(c, str):
+        return F.expr(html_escape_sql(c))
     out = col_of(c)
     for ch, ent in HTML_ESCAPES:  # '&' first, so entities are not escaped twice
         out = F.replace(out, F.lit(ch), F.lit(ent))

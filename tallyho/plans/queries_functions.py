@@ -155,7 +155,7 @@ SELECT event_id AS seq, event_type || ':' || chr(9) || props AS line FROM events
 """)
 def q_metric_line(spark, sf_dir):
     e = _events(spark, sf_dir)
-    return e.select(F.col("event_id").alias("seq"), metric_line(F.col("event_type"), F.col("props")).alias("line"))
+    return e.select(F.col("event_id").alias("seq"), metric_line("event_type", "props").alias("line"))
 
 
 @query("html_escape", """
