@@ -53,7 +53,7 @@ def _terms() -> np.ndarray:
     """n log2 n in units of 1/65536, so that sliding sums stay exact."""
     n = np.arange(WINDOW + 2, dtype=np.float64)
     n[0] = 1
-    return np.round(np.arange(WINDOW + 2) * np.log2(n) * 65536).astype(np.int64)
+    return np.round(np.arange(WINDOW + 2) * np.log2(n) * 65536).astype(np.int32)
 
 
 TERMS = _terms()
@@ -68,27 +68,25 @@ def entropy_steps(x: np.ndarray) -> np.ndarray:
     occurs in its window is counted by comparing ``x`` with itself shifted."""
     n = len(x) - WINDOW + 1
     if n <= 0:
-        return np.empty(0, np.int32)
-    total = np.empty(n, np.int64)
+        return np.empty(0, np.int16)
+    total = np.empty(n, np.int32)
     total[0] = TERMS[np.bincount(x[:WINDOW], minlength=256)].sum()
     for at in range(0, n - 1, _BLOCK):
         stop = min(n - 1, at + _BLOCK)
         part = x[at:stop + WINDOW]
         size = stop - at
-        leaving = np.ones(size, np.uint8)   # the count of x[i] in window i
-        coming = np.ones(size, np.uint8)    # the count of x[i + WINDOW] in window i + 1
-        first, last = part[:size], part[WINDOW:WINDOW + size]
-        same = np.empty(size, bool)
+        leaving = np.zeros(size, np.uint8)  # other bytes equal to x[i] in window i
+        coming = np.zeros(size, np.uint8)   # other bytes equal to x[i + WINDOW] in window i + 1
+        same = np.empty(size + WINDOW, bool)
         one = same.view(np.uint8)
         for k in range(1, WINDOW):
-            np.equal(first, part[k:k + size], out=same)
-            np.add(leaving, one, out=leaving)
-            np.equal(last, part[WINDOW - k:WINDOW - k + size], out=same)
-            np.add(coming, one, out=coming)
-        total[at + 1:stop + 1] = GROWTH[coming - 1] - GROWTH[leaving - 1]
+            np.equal(part[:-k], part[k:], out=same[:size + WINDOW - k])
+            np.add(leaving, one[:size], out=leaving)
+            np.add(coming, one[WINDOW - k:WINDOW - k + size], out=coming)
+        np.subtract(GROWTH[coming], GROWTH[leaving], out=total[at + 1:stop + 1])
     np.cumsum(total, out=total)
-    entropy = np.log2(WINDOW) - total / (65536.0 * WINDOW)
-    return np.clip(entropy * (STEPS / np.log2(WINDOW)), 0, STEPS - 1).astype(np.int32)
+    steps = (np.float32(TERMS[WINDOW]) - total) * np.float32(STEPS / TERMS[WINDOW])
+    return np.minimum(steps, STEPS - 1).astype(np.int16)
 
 
 def each_steps(texts: list[bytes]) -> Iterator[np.ndarray]:
@@ -118,11 +116,11 @@ def precedence(counts: np.ndarray) -> np.ndarray:
 
 def features(steps: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Starts of the windows with enough votes."""
-    r = rank[steps]
-    n = len(r)
+    n = len(steps)
     if n == 0:
         return np.empty(0, np.int64)
-    key = (r << 40) + np.arange(n)
+    kind, shift = (np.uint32, 22) if n < 1 << 22 else (np.int64, 40)
+    key = (rank.astype(kind) << kind(shift))[steps] + np.arange(n, dtype=kind)
     if n <= WINDOW:
         return np.array([key.argmin()])
     low, width = key, 1
@@ -130,7 +128,7 @@ def features(steps: np.ndarray, rank: np.ndarray) -> np.ndarray:
         step = min(width, WINDOW - width)
         low = np.minimum(low[:-step], low[step:])
         width += step
-    votes = np.bincount(low & ((1 << 40) - 1))
+    votes = np.bincount(low & kind((1 << shift) - 1))
     return np.flatnonzero(votes >= min(VOTES, votes.max()))
 
 
