@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import digest, langid, packing, shards, token_counts, toxicity, url_rules
+from . import cover_tree, digest, langid, packing, shards, token_counts, toxicity, url_rules
 
 QUERIES = {
     "op2_shard_interleave": shards.query,
     "op4_language_codes": langid.query,
     "op5_rarity_digest": digest.query,
     "op6_pack_powers": packing.query,
+    "op7_cover_tree": cover_tree.query,
     "op8_toxic_segments": toxicity.query,
     "op9_url_rules": url_rules.query,
     "op10_token_counts": token_counts.query,
