@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import cover_tree, digest, langid, packing, shards, token_counts, toxicity, url_rules
+from . import cover_tree, digest, jaccard_groups, langid, packing, shards, token_counts, toxicity, url_rules
 
 QUERIES = {
+    "op1_jaccard_groups": jaccard_groups.query,
     "op2_shard_interleave": shards.query,
     "op4_language_codes": langid.query,
     "op5_rarity_digest": digest.query,
