@@ -1,19 +1,68 @@
-"""Corpus pipeline: the stages of a training-data preparation over ``documents``."""
+"""Corpus pipeline: toxic documents go, then those of no clear language, then all
+but one of each group of near-duplicates; what stays is packed for training.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before
+kept; all but the last return the columns they were given, whatever their
+names (the rows travel as one struct beside the id and the text). Stages give
+defined results on null ids, texts, languages and labels, on empty tables and
+repeated rows (see the operators' own docstrings).
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: No DuckDB SQL: the stages learn models and run tokenizers.
-ORACLE_SQL = None
+from tallyho.llm import jaccard_groups, langid, packing, toxicity
+from tallyho.llm.common import saved, table
+
+
+def _whole(docs: DataFrame) -> DataFrame:
+    """(_row, doc_id, text): no column of ``docs`` can clash with an operator's."""
+    return docs.select(F.struct("*").alias("_row"), "doc_id", "text")
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that toxicity (segments of token log-odds) does not predict as toxic."""
+    model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return toxicity.score(_whole(docs), model, keep=["_row"]).where("predicted = 0").select("_row.*")
+
+
+def language_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a clear language: not without a letter, not ambiguous. Without any
+    labelled language nothing is learned and all documents stay."""
+    model = langid.train(docs.select("doc_id", "text", "lang"))
+    if not model.langs:
+        return docs
+    found = langid.predict(_whole(docs), model, keep=["_row"])
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous")).select("_row.*")
 
 
-def run(spark, sf_dir: str):
-    from tallyho.llm.common import saved, table
+def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by a 5-gram Jaccard similarity of 0.8 or more."""
+    return jaccard_groups.keep_one(_whole(docs), n=5, percent=80).select("_row.*")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document that stayed, by their sequence."""
+    return packing.pack(docs.select("doc_id", "text"), packing.tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", toxic_out),
+    ("language_id", language_out),
+    ("ngram_jaccard_join", near_duplicates_out),
+    ("packing", packed),
+]
+
+#: The stages learn models, compare sets by hashes and run a tokenizer: no SQL.
+ORACLE_SQL = None
+
 
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = saved(docs, f"stage-{i}")
+            docs = saved(docs, f"stage-{name}")
     return docs

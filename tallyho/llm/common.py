@@ -49,6 +49,25 @@ def worker_state(key: str, make: Callable[[], object]):
     return getattr(mod, key)
 
 
+class Memo(dict):
+    """Remembered results of ``make(key)``, at most about twice ``most`` of them: the
+    older half is dropped at once, and what is used again moves to the newer one."""
+
+    def __init__(self, make: Callable, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """True for the documents kept out of all training: crc32(doc_id as text) mod 5 = 0.
     A null id is not held out and is never trained on."""

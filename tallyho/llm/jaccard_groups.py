@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import connected_components, saved, small_batches, table, worker_state
+from .common import Memo, connected_components, saved, small_batches, table, worker_state
 
 #: Buckets of a size class that become signatures, at most.
 MOST = 64
@@ -49,8 +49,8 @@ MOST = 64
 FEW = 16
 #: Nodes of a group, about.
 GROUP = 256
-#: Words whose hash a worker remembers; beyond it starts anew.
-REMEMBERED = 300_000
+#: Words whose hash a worker remembers, twice at most.
+REMEMBERED = 200_000
 
 LONGS = T.ArrayType(T.LongType())
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -62,17 +62,13 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+def word_hashes() -> Memo:
+    import xxhash
 
-        if len(self) > REMEMBERED:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+    return Memo(xxhash.xxh3_64_intdigest, REMEMBERED)
 
 
-def shingles(text: str | None, n: int, words: dict[bytes, int]) -> np.ndarray:
+def shingles(text: str | None, n: int, words: Memo) -> np.ndarray:
     """The distinct hashed n-grams, sorted: words are runs without ASCII white space,
     A-Z lower-cased; fewer than n words are one shingle."""
     parts = (text or "").encode("utf-8").lower().split()
@@ -133,7 +129,7 @@ def sketches(docs: DataFrame, id_col: str, text: str, n: int, percent: int) -> D
         .add("sigs", LONGS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, classes = worker_state("shingle words", _Words), size_classes(percent)
+        words, classes = worker_state("shingle words", word_hashes), size_classes(percent)
         seen: set[int] = set()
         for b in batches:
             size, node, sigs = [], [], []
@@ -159,7 +155,7 @@ def sets_of(docs: DataFrame, id_col: str, text: str, wanted: DataFrame, n: int)
     schema = found.select(*rest).schema.add("tokens", LONGS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = worker_state("shingle words", _Words)
+        words = worker_state("shingle words", word_hashes)
         for b in batches:
             tokens = [shingles(t.as_py(), n, words).view(np.int64) for t in b.column(len(rest))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(tokens, pa.list_(pa.int64()))], [*rest, "tokens"])

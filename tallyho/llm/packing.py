@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rank_in_order, saved, small_batches, table, worker_state
+from .common import Memo, rank_in_order, saved, small_batches, table, worker_state
 from .token_counts import BEYOND, byte_letters
 
 WIDTH = 2048
 END_ID = 1
-#: Words and pre-tokens that a worker remembers; beyond it starts anew.
-REMEMBERED = 150_000
+#: Words, and pre-tokens, that a worker remembers, twice at most.
+REMEMBERED = 100_000
 #: Rows of one bucket of the numbering, on average, at most.
 BUCKET_ROWS = 50_000
 
@@ -60,19 +60,15 @@ class WordEncoder:
         self.merge = self.whole.model.tokenize
         self.special = tuple(t["content"] for t in json.load(open(path, encoding="utf-8"))["added_tokens"])
         self.letters = byte_letters()
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pres: dict[str, tuple[int, ...]] = {}
+        self.words = Memo(self.word, REMEMBERED)
+        self.pres = Memo(self.pre, REMEMBERED)
 
     def by_library(self, text: str) -> tuple[int, ...]:
         return tuple(self.whole.encode(text, add_special_tokens=False).ids)
 
     def pre(self, pre: str) -> tuple[int, ...]:
-        ids = self.pres.get(pre)
-        if ids is None:
-            letters = self.letters
-            ids = tuple([t.id for t in self.merge("".join([letters[b] for b in pre.encode("utf-8")]))])
-            self.pres[pre] = ids
-        return ids
+        letters = self.letters
+        return tuple([t.id for t in self.merge("".join([letters[b] for b in pre.encode("utf-8")]))])
 
     def word(self, word: str) -> tuple[int, ...]:
         if any(s in word for s in self.special) or not word.isascii() and BEYOND.search(word):
@@ -80,25 +76,14 @@ class WordEncoder:
         low = word.lower()
         if not low.isascii() and BEYOND.search(low):  # a letter whose lower case is beyond
             return self.by_library(word)
-        return tuple(chain.from_iterable([self.pre(p) for p in PRE_TOKEN.findall(low)]))
+        return tuple(chain.from_iterable([self.pres[p] for p in PRE_TOKEN.findall(low)]))
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, np.uint32)
         if any(s in text for s in SEPARATORS):
             return np.array(self.by_library(text), np.uint32)
-        words = self.words
-        if len(words) > REMEMBERED:
-            words.clear()
-        if len(self.pres) > REMEMBERED:
-            self.pres.clear()
-        found = []
-        for w in text.split():
-            ids = words.get(w)
-            if ids is None:
-                ids = words[w] = self.word(w)
-            found.append(ids)
-        return np.fromiter(chain.from_iterable(found), np.uint32)
+        return np.fromiter(chain.from_iterable(map(self.words.__getitem__, text.split())), np.uint32)
 
 
 def piece_lengths(n: int, width: int = WIDTH) -> list[int]:

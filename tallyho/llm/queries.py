@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import cover_tree, digest, jaccard_groups, langid, packing, shards, token_counts, toxicity, url_rules
+from . import cover_tree, digest, jaccard_groups, langid, packing, pieces, shards, token_counts, toxicity, url_rules
 
 QUERIES = {
     "op1_jaccard_groups": jaccard_groups.query,
     "op2_shard_interleave": shards.query,
+    "op3_sentencepiece": pieces.query,
     "op4_language_codes": langid.query,
     "op5_rarity_digest": digest.query,
     "op6_pack_powers": packing.query,

@@ -20,18 +20,17 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, worker_state
+from .common import Memo, small_batches, table, worker_state
 
 LIMIT = 512
-#: Merged pre-tokens that a worker remembers; beyond it starts anew.
-REMEMBERED = 200_000
+#: Pre-tokens that a worker remembers, twice at most.
+REMEMBERED = 150_000
 
 # The pre-tokenizer's pattern for characters below U+0250: letters, numbers
 # and white space written out (fixed values of the tokenizer and Unicode).
@@ -70,7 +69,7 @@ class TokenCounter:
                     self.base[bytes(back[c] for c in piece).decode("utf-8")] = 1
                 except (KeyError, UnicodeDecodeError):
                     pass  # a part of a character: never a whole pre-token
-        self.cost = _Costs(self)
+        self.cost = Memo(lambda pre: self.base.get(pre) or self.merged(pre), REMEMBERED)
 
     def merged(self, pre: str) -> int:
         letters = self.letters
@@ -81,22 +80,10 @@ class TokenCounter:
             return 0
         if any(s in text for s in self.special) or not text.isascii() and BEYOND.search(text):
             return len(self.whole.encode(text, add_special_tokens=False).ids)
-        if len(self.cost) > len(self.base) + REMEMBERED:
-            self.cost = _Costs(self)
         cost = self.cost
         return sum([cost[p] for p in PRE_TOKEN.findall(text)])
 
 
-class _Costs(dict):
-    def __init__(self, counter: TokenCounter):
-        super().__init__(counter.base)
-        self.counter = counter
-
-    def __missing__(self, pre: str) -> int:
-        n = self[pre] = self.counter.merged(pre)
-        return n
-
-
 def count_tokens(docs: DataFrame, id_col: str, text: str, path: str, limit: int = LIMIT) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) for every row: row-local, no shuffle."""
     small_batches(docs.sparkSession)

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, saved, small_batches, table
+from .common import Memo, held_out, saved, small_batches, table
 
 #: Training documents of either label, at most about.
 SAMPLE = 8000
@@ -50,8 +50,8 @@ PRIOR = 0.1
 Z = 3.0
 NEUTRAL = 0.1
 STEMS = (4, 5, 6)
-#: Tokens whose score a worker remembers; beyond it starts anew.
-REMEMBERED = 200_000
+#: Tokens whose score a worker remembers, twice at most.
+REMEMBERED = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 _CAP = 40.0
 PASSAGES = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
@@ -64,21 +64,12 @@ def word_features(word: str) -> list[str]:
     return [f"={word}", *(f"^{word[:n]}" for n in sorted(STEMS, reverse=True) if len(word) >= n)]
 
 
-class TokenScores(dict):
+def token_score(token: str, odds: dict[str, float]) -> float:
     """Score of a white-space token: its best word's."""
-
-    def __init__(self, odds: dict[str, float]):
-        super().__init__()
-        self.odds = odds
-
-    def __missing__(self, token: str) -> float:
-        if len(self) > REMEMBERED:
-            self.clear()
-        best = -NEUTRAL
-        for w in WORD.findall(token.lower()):
-            best = max(best, next((s for f in word_features(w) if (s := self.odds.get(f)) is not None), best))
-        self[token] = best
-        return best
+    best = -NEUTRAL
+    for w in WORD.findall(token.lower()):
+        best = max(best, next((s for f in word_features(w) if (s := odds.get(f)) is not None), best))
+    return best
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -109,13 +100,13 @@ def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 class Model:
     def __init__(self, odds: dict[str, float], lam: float = 1.0, log_k: float = 0.0, slope: float = 0.0, at: float = 0.0):
         self.odds, self.lam, self.log_k, self.slope, self.at = odds, lam, log_k, slope, at
-        self.scores = TokenScores(odds)
+        self.scores = Memo(lambda token: token_score(token, odds), REMEMBERED)
 
     def passages(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of tokens, and every maximal segment over them."""
         tokens = (text or "").split()
         scores = self.scores
-        return len(tokens), maximal_segments(np.fromiter((scores[t] for t in tokens), np.float64, len(tokens)))
+        return len(tokens), maximal_segments(np.fromiter(map(scores.__getitem__, tokens), np.float64, len(tokens)))
 
     def significance(self, m: int, segments: list[tuple[int, int, float]]) -> float:
         base = self.log_k + np.log(max(m, 1))
