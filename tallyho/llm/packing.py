@@ -36,7 +36,7 @@ from .token_counts import BEYOND, byte_letters
 WIDTH = 2048
 END_ID = 1
 #: Words, and pre-tokens, that a worker remembers, twice at most.
-REMEMBERED = 100_000
+REMEMBERED = 150_000
 #: Rows of one bucket of the numbering, on average, at most.
 BUCKET_ROWS = 50_000
 
@@ -45,6 +45,7 @@ BUCKET_ROWS = 50_000
 _L = "a-zªµºß-öø-ɏÀ-ÖØ-ÞA-Z"
 _N = "0-9²³¹¼-¾"
 PRE_TOKEN = re.compile(f"'(?:[stmd]|re|ve|ll)|[{_L}]+|[{_N}]|[^{_N}{_L}]+")
+MARKS = frozenset(".,;:!?")
 #: White space to Python, but not to the tokenizer's pattern.
 SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
@@ -59,7 +60,9 @@ class WordEncoder:
         self.whole = Tokenizer.from_file(path)
         self.merge = self.whole.model.tokenize
         self.special = tuple(t["content"] for t in json.load(open(path, encoding="utf-8"))["added_tokens"])
-        self.letters = byte_letters()
+        letters = byte_letters()
+        # each character below U+0250 as the byte letters of its UTF-8 form
+        self.letters = {c: "".join(letters[b] for b in chr(c).encode("utf-8")) for c in range(0x250)}
         self.words = Memo(self.word, REMEMBERED)
         self.pres = Memo(self.pre, REMEMBERED)
 
@@ -67,15 +70,18 @@ class WordEncoder:
         return tuple(self.whole.encode(text, add_special_tokens=False).ids)
 
     def pre(self, pre: str) -> tuple[int, ...]:
-        letters = self.letters
-        return tuple([t.id for t in self.merge("".join([letters[b] for b in pre.encode("utf-8")]))])
+        return tuple([t.id for t in self.merge(pre.translate(self.letters))])
 
     def word(self, word: str) -> tuple[int, ...]:
-        if any(s in word for s in self.special) or not word.isascii() and BEYOND.search(word):
-            return self.by_library(word)
         low = word.lower()
-        if not low.isascii() and BEYOND.search(low):  # a letter whose lower case is beyond
+        # (a letter's lower case may be beyond what the written-out classes cover)
+        if not word.isascii() and (BEYOND.search(word) or BEYOND.search(low)) or "<" in word and any(s in word for s in self.special):
             return self.by_library(word)
+        # letters, and letters before one mark, are their own pre-tokens
+        if low.isalpha():
+            return self.pres[low]
+        if low[-1] in MARKS and low[:-1].isalpha():
+            return self.pres[low[:-1]] + self.pres[low[-1]]
         return tuple(chain.from_iterable([self.pres[p] for p in PRE_TOKEN.findall(low)]))
 
     def ids(self, text: str | None) -> np.ndarray:
