@@ -72,10 +72,11 @@ class Codec:
         self.automaton.make_automaton()
         self.worst = min((self.score[i] for i in self.id_of.values()), default=0.0) - _UNKNOWN_COST
         self.words = Memo(self.word, REMEMBERED)
+        self.spaced = Memo(self.after_space, REMEMBERED)
+        self.marks = {m for m in ".,;:!?" if not any(p[i] == m and p[i - 1].isalpha() for p in self.id_of for i in range(1, len(p)))}
         self.valid = Memo(lambda ab: self.pair(*ab), REMEMBERED)
-        self.text_of = [("" if s else p.replace(SPACE, " ")) for p, s in zip(self.pieces, special)]
+        self.text_of = [(None if s else p.replace(SPACE, " ")) for p, s in zip(self.pieces, special)]
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.special = {i for i in ids if special[i]}
 
     # encoding
 
@@ -152,9 +153,18 @@ class Codec:
             return []
         if not self.plain:
             return self.library.encode(text)
+        if self.identity and "  " not in text and SPACE not in text and text[0] != " " and text[-1] != " ":
+            return list(chain.from_iterable(map(self.spaced.__getitem__, text.split(" "))))
         norm = SPACE + text.replace(" ", SPACE) if self.identity else self.library.normalize(text)
         return list(chain.from_iterable(map(self.words.__getitem__, CUT.findall(norm))))
 
+    def after_space(self, word: str) -> list[int]:
+        """Ids of a space and the word after it. Where no piece goes on from a letter to a
+        mark (proven when the model is loaded), letters and the mark after them are apart."""
+        if word[-1] in self.marks and word[:-1].isalpha():
+            return self.spaced[word[:-1]] + self.words[word[-1]]
+        return self.word(SPACE + word)
+
     # decoding
 
     def decode(self, ids: list[int] | None) -> str:
@@ -163,10 +173,10 @@ class Codec:
             return ""
         if not self.identity or self.unknown in ids:
             return self.library.decode(ids)
-        text_of, special = self.text_of, self.special
-        if special.isdisjoint(ids):
-            text = "".join([text_of[i] for i in ids])
-        else:
+        text_of = self.text_of
+        try:
+            text = "".join(map(text_of.__getitem__, ids))
+        except TypeError:  # bytes or control pieces among them
             parts, run = [], bytearray()
             for i in ids:
                 if i in self.byte_of:
@@ -175,7 +185,7 @@ class Codec:
                 if run:
                     parts.append(run.decode("utf-8", "replace"))
                     run.clear()
-                parts.append(text_of[i])
+                parts.append(text_of[i] or "")
             parts.append(run.decode("utf-8", "replace"))
             text = "".join(parts)
         return text[1:] if text[:1] == " " else text
