@@ -70,20 +70,24 @@ def wrap_sum_result(prefix: str) -> Column:
     return combine_limbs([f"{prefix}_l{i}" for i in range(LIMBS)])
 
 
-def wrap_add(a, b) -> Column:
-    """a + b with int64 wrap-around; null only if both are null."""
-    a, b = _text(a), _text(b)
+def wrap_add_sql(a: str, b: str) -> str:
+    """SQL: a + b with int64 wrap-around; null only if both are null."""
     res = combine_sql([f"{limb_sql(f'coalesce({a}, 0)', i)} + {limb_sql(f'coalesce({b}, 0)', i)}"
                        for i in range(LIMBS)])
-    return F.expr(f"CASE WHEN ({a}) IS NULL AND ({b}) IS NULL THEN CAST(NULL AS BIGINT) ELSE {res} END")
+    return f"CASE WHEN ({a}) IS NULL AND ({b}) IS NULL THEN CAST(NULL AS BIGINT) ELSE {res} END"
+
+
+def wrap_add(a, b) -> Column:
+    return F.expr(wrap_add_sql(_text(a), _text(b)))
 
 
 # Strict text parsers. Go's ParseInt(s, 10, 64) / ParseFloat(s, 64) reject
 # blanks, suffixes and out-of-range numbers; Spark's casts are laxer, so a
 # regex guards the cast and infinite results of a numeric form are refused.
-COUNTER_TEXT = r"^[+-]?[0-9]+$"
-GAUGE_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-GAUGE_SPECIAL = r"^([+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?)|[nN][aA][nN])$"
+# ``\\z`` is the end of the text: ``$`` would also match before a final line break.
+COUNTER_TEXT = r"^[+-]?[0-9]+\z"
+GAUGE_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+GAUGE_SPECIAL = r"^([+-]?([iI][nN][fF]([iI][nN][iI][tT][yY])?)|[nN][aA][nN])\z"
 
 
 def counter_sql(x: str) -> str:
@@ -98,8 +102,8 @@ def gauge_sql(x: str) -> str:
     return (f"CASE WHEN ({x}) RLIKE {sql_str(GAUGE_TEXT)} AND NOT isnan({num}) AND abs({num}) != double('infinity') "
             f"THEN {num} "
             f"WHEN ({x}) RLIKE {sql_str(GAUGE_SPECIAL)} THEN "
-            f"CASE WHEN {low} RLIKE '^[+]?inf(inity)?$' THEN double('infinity') "
-            f"WHEN {low} RLIKE '^-inf(inity)?$' THEN double('-infinity') ELSE double('NaN') END END")
+            f"CASE WHEN {low} RLIKE '^[+]?inf(inity)?' THEN double('infinity') "
+            f"WHEN {low} RLIKE '^-inf(inity)?' THEN double('-infinity') ELSE double('NaN') END END")
 
 
 def parse_counter(c) -> Column:

@@ -16,18 +16,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     return df.selectExpr("inline(array(struct(*)))")
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows round-robin over the session's cores when the input has
-    fewer partitions than cores (a single file or row group).
-
-    Large inputs already come in many splits and are returned unchanged, so
-    this costs nothing at scale; on a one-split input it lets the per-row
-    work before the first shuffle use every core instead of one.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a remote session): leave it alone
-        return df
-    return df if parts >= cores else df.repartition(cores)

@@ -1,14 +1,14 @@
 """Delivery attempts of reports → one outcome per report.
 
-A sender tries once, then retries up to three more times while the failure
-is retriable (a network error or an HTTP status >= 500); only status 200 is
-success. The roll-up keeps the attempts the sender would have made, and
-renders the retry message listing the failed ones.
+A sender tries again while the failure is retriable (a network error or an
+HTTP status >= 500); only status 200 is success. How often it tries is its own
+setting: the log's attempts are taken as they are, however many. The roll-up
+keeps the attempts up to the first success or final failure (a cancelled send
+is one) and renders the retry message listing the failed ones.
 
 Attempts are first reduced to one row per (report, attempt number) with a
-partial aggregate, then grouped per report: only attempt numbers 1-4 can
-ever be sent, so each report's list holds at most four entries however many
-rows the input has for it.
+partial aggregate, then grouped per report, whose list the message holds.
+``max_sends``, a sender's limit, only labels the reports that went beyond it.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from ..schema import NETWORK_TEXT, RETRIABLE_STATUS_TEXT, STATUS_TEXT
 
-MAX_SENDS = 4  # first send + three retries
-
 
 def _success_sql(kind: str = "kind", status: str = "http_status") -> str:
     return f"({kind} = 'http' AND {status} = 200)"
@@ -32,8 +30,9 @@ def _retriable_sql(kind: str = "kind", status: str = "http_status") -> str:
 def _error_text_sql(kind: str = "kind", status: str = "http_status", error: str = "error") -> str:
     """How a failed attempt prints."""
     return (f"CASE WHEN {kind} = 'network' THEN concat('{NETWORK_TEXT}: ', coalesce({error}, '')) "
-            f"WHEN {status} >= 500 THEN concat('{RETRIABLE_STATUS_TEXT}: {STATUS_TEXT} ', CAST({status} AS STRING)) "
-            f"ELSE concat('{STATUS_TEXT} ', CAST({status} AS STRING)) END")
+            f"WHEN {kind} = 'http' AND {status} >= 500 THEN concat('{RETRIABLE_STATUS_TEXT}: {STATUS_TEXT} ', CAST({status} AS STRING)) "
+            f"WHEN {kind} = 'http' AND {status} IS NOT NULL THEN concat('{STATUS_TEXT} ', CAST({status} AS STRING)) "
+            f"ELSE coalesce({error}, {kind}, '') END")
 
 
 def is_success(kind: str = "kind", status: str = "http_status") -> Column:
@@ -46,11 +45,11 @@ def is_retriable(kind: str = "kind", status: str = "http_status") -> Column:
     return F.expr(_retriable_sql(kind, status))
 
 
-def delivery_rollup(attempts: DataFrame) -> DataFrame:
+def delivery_rollup(attempts: DataFrame, max_sends: int | None = None) -> DataFrame:
     """``(report_id, attempt_no, kind, http_status, error)`` → ``report_id,
     succeeded, sends, failed_attempts, message`` (message null when the
-    first send succeeded)."""
-    a = attempts.filter(f"attempt_no >= 1 AND attempt_no <= {MAX_SENDS}").selectExpr(
+    first send succeeded), and ``over_limit`` when ``max_sends`` is given."""
+    a = attempts.selectExpr(
         "report_id", "attempt_no", f"coalesce({_success_sql()}, false) AS ok",
         f"coalesce({_retriable_sql()}, false) AS retriable", f"{_error_text_sql()} AS text")
     # one outcome per attempt number (duplicates, if any, resolve the same way everywhere)
@@ -67,4 +66,5 @@ def delivery_rollup(attempts: DataFrame) -> DataFrame:
                f"CAST(size({failed}) AS STRING), ' attempts: ', {listing})")
     return g.selectExpr(
         "report_id", f"{succeeded} AS succeeded", "size(sent) AS sends", f"size({failed}) AS failed_attempts",
-        f"CASE WHEN sent[0].ok AND sent[0].attempt_no = 1 THEN CAST(NULL AS STRING) ELSE {message} END AS message")
+        f"CASE WHEN sent[0].ok AND size(sent) = 1 THEN CAST(NULL AS STRING) ELSE {message} END AS message",
+        *([] if max_sends is None else [f"size(sent) > {int(max_sends)} AS over_limit"]))

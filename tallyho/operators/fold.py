@@ -23,48 +23,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import LIMBS, combine_sql, wrap_sum_aggs, wrap_sum_result
-from ..schema import COUNTER, GAUGE, NIL_DELTA, NIL_METRIC, NIL_VALUE, STATE_COLUMNS, UNKNOWN_TYPE
-
-
-def _norm_hash(df: DataFrame) -> DataFrame:
-    if "hash" in df.columns:
-        return df.withColumn("hash", F.expr("coalesce(hash, '')"))
-    return df.withColumn("hash", F.lit(""))
+from ..functions.numbers import LIMBS, combine_sql, wrap_add_sql, wrap_sum_aggs, wrap_sum_result
+from ..schema import COUNTER, GAUGE, METRIC, NIL_DELTA, NIL_METRIC, NIL_VALUE, STATE_COLUMNS, UNKNOWN_TYPE
 
 
+KEY = ("id", "mtype")
 _DELTA = f"CASE WHEN mtype = '{COUNTER}' THEN {combine_sql([f'd_l{i}' for i in range(LIMBS)])} ELSE last_delta END"
 
 
-def fold_state(updates: DataFrame, keep_seq: bool = False, hash_pass: str = "separate") -> DataFrame:
+def fold_state(updates: DataFrame, keep_seq: bool = False, hash_pass: str = "separate",
+               order: tuple[str, ...] = ("seq",), keys: tuple[str, ...] = KEY) -> DataFrame:
     """Update rows ``(seq, id, mtype, delta, value[, hash])`` → state rows.
 
-    Input is assumed validated (see ``operators.validate``). With
-    ``keep_seq`` the result carries ``last_seq`` for later merges.
+    Input is assumed validated (see ``operators.validate``). ``order`` names
+    the columns of the arrival order (``("batch_id", "pos")`` for decoded
+    bodies, however many items a body has); with ``keep_seq`` the result
+    carries the order of the last row as ``last_seq`` for later merges.
 
     ``hash_pass`` picks how the string ``hash`` is folded:
     ``"separate"`` (default, for stored tables) keeps the main aggregate a
     ``HashAggregate`` and reads the rows carrying a hash in a second,
     column-pruned pass; ``"inline"`` (for inputs that are expensive to
-    recompute, e.g. freshly decoded request bodies) folds it in the same
-    single pass, which Spark plans as a sort-based aggregate.
+    recompute, e.g. freshly decoded request bodies, and for orders of several
+    columns) folds it in the same single pass, which Spark plans as a
+    sort-based aggregate.
+
+    The last row is always one whole row. The order should be total; of rows
+    with equal order ``"inline"`` takes one whole, and ``"separate"`` takes the
+    numbers of one and its hash only if no other hashed row shares its order.
     """
     if hash_pass not in ("separate", "inline"):
         raise ValueError(f"hash_pass must be 'separate' or 'inline', not {hash_pass!r}")
     h = "coalesce(hash, '')" if "hash" in updates.columns else "''"
-    u = updates.selectExpr("seq", "id", "mtype", "delta", "value", f"{h} AS hash")
-    aggs = [*wrap_sum_aggs("delta", "d"), F.expr("max_by(delta, seq) AS last_delta"),
-            F.expr("max_by(value, seq) AS value"), F.expr("max(seq) AS last_seq")]
+    last = order[0] if len(order) == 1 else f"struct({', '.join(order)})"
+    u = updates.selectExpr(f"{last} AS _at", *keys, "delta", "value", f"{h} AS hash")
+    sums = wrap_sum_aggs("delta", "d")
     keep = ["last_seq"] if keep_seq else []
     if hash_pass == "inline":
-        out = u.groupBy("id", "mtype").agg(*aggs, F.expr("max_by(hash, seq) AS hash"))
-        return out.selectExpr("id", "mtype", f"{_DELTA} AS delta", "value", "hash", *keep)
-    core = u.groupBy("id", "mtype").agg(*aggs)
-    hashed = (u.filter("hash != ''").groupBy("id", "mtype")
-               .agg(F.expr("max(seq) AS hash_seq"), F.expr("max_by(hash, seq) AS last_hash")))
-    return core.join(hashed, ["id", "mtype"], "left").selectExpr(
-        "id", "mtype", f"{_DELTA} AS delta", "value",
-        "CASE WHEN hash_seq = last_seq THEN last_hash ELSE '' END AS hash", *keep)
+        out = u.groupBy(*keys).agg(*sums, F.expr("max(_at) AS last_seq"),
+                                   F.expr("max_by(struct(delta AS last_delta, value, hash), _at) AS _row"))
+        out = out.selectExpr("* EXCEPT (_row)", "_row.*")
+        return out.selectExpr(*keys, f"{_DELTA} AS delta", "value", "hash", *keep)
+    core = u.groupBy(*keys).agg(*sums, F.expr("max_by(delta, _at) AS last_delta"),
+                                F.expr("max_by(value, _at) AS value"), F.expr("max(_at) AS last_seq"))
+    hashed = (u.filter("hash != ''").groupBy(*keys)
+               .agg(F.expr("max_by(struct(_at, delta, value, hash), _at) AS _h")))
+    same = "_h._at = last_seq AND _h.delta <=> last_delta AND _h.value <=> value"
+    return core.join(hashed, list(keys), "left").selectExpr(
+        *keys, f"{_DELTA} AS delta", "value", f"CASE WHEN {same} THEN _h.hash ELSE '' END AS hash", *keep)
 
 
 def counter_totals(updates: DataFrame) -> DataFrame:
@@ -84,25 +90,26 @@ def of_kind(state: DataFrame, kind: str) -> DataFrame:
     return state.filter(F.col("mtype") == kind)
 
 
-def _as_updates(state: DataFrame, seq) -> DataFrame:
-    cols = [c for c in STATE_COLUMNS if c in state.columns]
-    return state.select(F.lit(seq).cast("bigint").alias("seq") if not isinstance(seq, str)
-                        else F.col(seq).alias("seq"), *cols)
-
-
-def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
+def merge_state(old: DataFrame, new: DataFrame, keys: tuple[str, ...] = KEY) -> DataFrame:
     """State + a newer state (e.g. one batch folded) → state.
 
     Same rules as applying ``new``'s rows one by one: counters add, all other
     fields come from ``new`` where it has the key. When both sides carry
-    ``last_seq`` the larger one wins for gauges (safe for out-of-order
-    batches) and the result keeps it. Expressed as union + fold rather than a
-    full outer join: one shuffle of per-task partial aggregates.
+    ``last_seq`` the larger one wins for them (safe for out-of-order batches;
+    ``new`` on ties) and the result keeps it. One full outer join on the key:
+    each side has a row a key, and a side that was just folded is already
+    partitioned by it.
     """
-    if "last_seq" in old.columns and "last_seq" in new.columns:
-        return fold_state(_as_updates(old, "last_seq").unionByName(_as_updates(new, "last_seq")),
-                          keep_seq=True)
-    return fold_state(_as_updates(old, 0).unionByName(_as_updates(new, 1)))
+    carry = "last_seq" in old.columns and "last_seq" in new.columns
+    side = lambda df, p: df.selectExpr(
+        *keys, f"delta AS {p}_delta", f"value AS {p}_value", f"coalesce(hash, '') AS {p}_hash",
+        *([f"last_seq AS {p}_seq"] if carry else []), f"true AS {p}_in")
+    both = side(old, "o").join(side(new, "n"), list(keys), "full")
+    wins = "n_in AND NOT coalesce(o_seq > n_seq, false)" if carry else "n_in"
+    pick = lambda c: f"CASE WHEN {wins} THEN n_{c} ELSE o_{c} END"
+    return both.selectExpr(
+        *keys, f"CASE WHEN mtype = '{COUNTER}' THEN {wrap_add_sql('o_delta', 'n_delta')} ELSE {pick('delta')} END AS delta",
+        f"{pick('value')} AS value", f"{pick('hash')} AS hash", *([f"{pick('seq')} AS last_seq"] if carry else []))
 
 
 def store_check(rows: DataFrame) -> DataFrame:
@@ -119,18 +126,17 @@ def restore_state(current: DataFrame, snapshot: DataFrame, order_col: str | None
     """Replay snapshot rows through the fold onto the current state.
 
     Counters present in both add up; the snapshot's rows come after the
-    current state. The first bad snapshot row aborts: the returned plan
-    raises when it runs (checked on the executors, nothing is collected).
+    current state, in the order of ``order_col`` (default: as they are read,
+    taken in a single pass). The first bad snapshot row aborts: the returned
+    plan raises when it runs (checked on the executors, nothing is collected).
     """
-    snap = snapshot
-    if order_col is None:
-        snap = snap.withColumn("_ord", F.monotonically_increasing_id())
-        order_col = "_ord"
-    checked = store_check(snap).filter(
+    checked = store_check(snapshot).filter(
         F.when(F.col("reject_code").isNotNull(),
                F.raise_error(F.concat(F.lit("restore aborted: "), F.col("reject_code"))))
          .otherwise(F.lit(True)))
-    # current rows first (seq 0), snapshot rows after, in their own order
-    snap_u = checked.select((F.col(order_col) + F.lit(1)).cast("bigint").alias("seq"),
-                            *[c for c in STATE_COLUMNS if c in snapshot.columns])
-    return fold_state(_as_updates(current, 0).unionByName(snap_u, allowMissingColumns=True))
+    if order_col is None:
+        checked, order_col = checked.withColumn("_ord", F.monotonically_increasing_id()), "_ord"
+    for c in STATE_COLUMNS:
+        if c not in checked.columns:
+            checked = checked.withColumn(c, F.lit(None).cast(METRIC[c].dataType))
+    return merge_state(current, fold_state(checked, hash_pass="inline", order=(order_col,)))

@@ -15,18 +15,26 @@ from pyspark.sql import functions as F
 
 from ..functions.text import format_gauge, html_escape_sql
 from ..schema import (COUNTER, GAUGE, KINDS, NOT_FOUND, ROUTE_VALUE_JSON, ROUTE_VALUE_TEXT,
-                      UNKNOWN_TYPE)
+                      STATE_COLUMNS, UNKNOWN_TYPE)
 
 
 def lookup(state: DataFrame, id_: str, mtype: str) -> DataFrame:
     """Rows for one key; the filter reaches the Parquet scan when ``state``
-    is a snapshot. An unknown kind yields no rows (the caller reports
-    ``unknown_metric_type``, see ``lookup_bulk``)."""
+    is a snapshot. Unknown kinds and missing keys both yield no rows;
+    ``lookup_outcome`` tells them apart."""
     if mtype not in KINDS:
         return state.limit(0)
     return state.filter((F.col("id") == F.lit(id_)) & (F.col("mtype") == F.lit(mtype)))
 
 
+def lookup_outcome(state: DataFrame, id_: str, mtype: str) -> DataFrame:
+    """One row for one key: ``outcome`` (``ok``, ``not_found``, ``unknown_metric_type``,
+    ``nil_number``), numbers, text and statuses, as ``lookup_bulk`` gives them.
+    Only the key's row is read from a snapshot."""
+    asked = state.sparkSession.range(1).select(F.col("id").alias("req_id"), F.lit(id_).alias("id"), F.lit(mtype).alias("mtype"))
+    return lookup_bulk(asked, lookup(state, id_, mtype)).drop("req_id")
+
+
 def with_value_text(state: DataFrame) -> DataFrame:
     """Adds ``value_text``: the number of the row's kind as text, '' if missing."""
     d = state.withColumn("_gt", format_gauge("value"))
@@ -46,9 +54,9 @@ def report_lines(state: DataFrame) -> DataFrame:
     return display_rows(state).selectExpr("id", "mtype", f"concat('<p>', {line}, '</p>') AS line")
 
 
-def all_metrics(gauges: DataFrame, counters: DataFrame) -> DataFrame:
-    """All gauges and all counters, as one bag (order unspecified)."""
-    return gauges.unionByName(counters)
+def all_rows(state: DataFrame) -> DataFrame:
+    """All gauges and all counters, as one bag (order unspecified): the state as it is."""
+    return state.select(*STATE_COLUMNS)
 
 
 _KINDS_SQL = "(" + ", ".join(f"'{k}'" for k in KINDS) + ")"

@@ -24,16 +24,20 @@ POLL_COUNT = "PollCount"
 CPU_PREFIX = "CPUutilization"
 
 
-def sample_to_rows(samples: DataFrame, keys=("seq",), gauge: str = "gauge",
-                   counter: str = "counter") -> DataFrame:
+def sample_to_rows(samples: DataFrame, keys=("seq",), gauge: str = "gauge", counter: str = "counter",
+                   indexed: str | None = None, prefix: str = CPU_PREFIX) -> DataFrame:
     """``(keys…, gauge MAP<STRING,DOUBLE>, counter MAP<STRING,BIGINT>)`` →
-    update rows: gauges carry only ``value``, counters only ``delta``."""
-    k = list(keys)
-    g = samples.selectExpr(*k, f"explode({gauge}) AS (id, value)").selectExpr(
-        *k, "id", f"'{GAUGE}' AS mtype", "CAST(NULL AS BIGINT) AS delta", "value")
-    c = samples.selectExpr(*k, f"explode({counter}) AS (id, delta)").selectExpr(
-        *k, "id", f"'{COUNTER}' AS mtype", "delta", "CAST(NULL AS DOUBLE) AS value")
-    return g.unionByName(c)
+    update rows: gauges carry only ``value``, counters only ``delta``.
+    ``indexed`` names an array whose elements become gauges ``{prefix}1``, …
+    One generator over one scan: all rows of a sample are one array."""
+    row = "named_struct('id', {0}, 'mtype', '{1}', 'delta', {2}, 'value', {3})"
+    parts = [f"transform(map_entries({gauge}), e -> {row.format('e.key', GAUGE, 'CAST(NULL AS BIGINT)', 'e.value')})",
+             f"transform(map_entries({counter}), e -> {row.format('e.key', COUNTER, 'e.value', 'CAST(NULL AS DOUBLE)')})"]
+    if indexed:
+        name = f"concat('{prefix}', CAST(i + 1 AS STRING))"
+        parts.append(f"transform({indexed}, (v, i) -> {row.format(name, GAUGE, 'CAST(NULL AS BIGINT)', 'CAST(v AS DOUBLE)')})")
+    rows = ", ".join(f"coalesce({p}, array())" for p in parts)
+    return samples.selectExpr(*keys, f"inline(concat({rows}))")
 
 
 def indexed_gauges(df: DataFrame, array_col: str, prefix: str = CPU_PREFIX, keys=("seq",)) -> DataFrame:
@@ -60,11 +64,7 @@ def poll_counts(samples: DataFrame, source: str = "source") -> DataFrame:
 def poll_counts_running(samples: DataFrame, source: str = "source", seq: str = "seq",
                         range_size: int | None = None) -> DataFrame:
     """The poll counter as the agent reports it after each sample: the
-    running count per source. Each sample is a +1 on its source's counter,
-    folded with the skew-safe running echo (a busy source is split by seq
-    range, not held in one task)."""
-    from .window import DEFAULT_RANGE, batch_echo
-    u = samples.selectExpr(f"{seq} AS seq", f"CAST({source} AS STRING) AS id", f"'{COUNTER}' AS mtype",
-                           "CAST(1 AS BIGINT) AS delta", "CAST(NULL AS DOUBLE) AS value")
-    run = batch_echo(u, range_size=range_size or DEFAULT_RANGE)
-    return run.selectExpr("seq", f"id AS {source}", "delta AS poll_count")
+    running count per source (a busy source is split by seq range, not held
+    in one task)."""
+    from .window import running_counts
+    return running_counts(samples.selectExpr(f"{seq} AS seq", f"CAST({source} AS STRING) AS {source}"), source, range_size)

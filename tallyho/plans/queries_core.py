@@ -11,7 +11,7 @@ from .registry import query
 FOLD_SQL = f"""
 WITH u AS ({UPDATES_SQL})
 SELECT id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT)
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta))
             ELSE arg_max_null(delta, seq) END AS delta,
        arg_max_null(value, seq) AS value,
        arg_max_null(hash, seq) AS hash
@@ -32,7 +32,7 @@ def q_fold_state_wide(spark, sf_dir):
 
 @query("counter_total", f"""
 WITH u AS ({UPDATES_SQL})
-SELECT id, CAST(sum(delta) AS BIGINT) AS delta FROM u WHERE mtype = 'counter' GROUP BY id
+SELECT id, wrap64(sum(delta)) AS delta FROM u WHERE mtype = 'counter' GROUP BY id
 """)
 def q_counter_total(spark, sf_dir):
     return fo.counter_totals(load_updates(spark, sf_dir))

@@ -23,7 +23,7 @@ K_TEXT_SQL = "json_extract_string(props, '$.k')"
 
 
 def _events(spark, sf_dir):
-    return read_table(spark, sf_dir, "events", spread_rows=True)
+    return read_table(spark, sf_dir, "events")
 
 
 COUNTER_TEXT_SQL = f"""
@@ -138,9 +138,10 @@ def q_verify(spark, sf_dir):
 
 
 @query("is_retriable", """
-SELECT event_id // 4 AS report_id, CAST(event_id % 4 + 1 AS INTEGER) AS attempt_no,
-       event_type IN ('signup', 'error') AS retriable,
-       event_type IN ('view', 'click') AS success
+SELECT event_id // 8 AS report_id, CAST(event_id % 8 + 1 AS INTEGER) AS attempt_no,
+       event_type IN ('signup', 'error') OR (event_type IN ('view', 'click') AND event_id % 5 <> 0)
+         OR (event_type = 'purchase' AND event_id % 9 <> 0 AND event_id % 7 <> 0) AS retriable,
+       event_type IN ('view', 'click') AND event_id % 5 = 0 AS success
 FROM events
 """)
 def q_is_retriable(spark, sf_dir):

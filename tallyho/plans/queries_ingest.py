@@ -9,28 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.codec import gzip_compress
+from ..functions.codec import gunzip, gzip_compress
 from ..functions.signing import sign_sql
 from ..operators import fold as fo
 from ..operators import validate as va
-from ..operators.common import spread
+from ..operators.common import materialize
 from ..schema import COUNTER, PARSE_ERROR, ROUTE_UPDATE_JSON, ROUTE_UPDATE_TEXT, ROUTE_UPDATES_JSON
 from ..session import scratch_path
 from ..sources import payloads as pl
 from ..sources.events import DIRTY_UPDATES_SQL, UPDATES_SQL, load_dirty_updates, load_updates
-from .queries_core import FOLD_SQL
 from .registry import query
 
-KEY = "metrics-signing-key"
+KEY = "payload-signing-key"
 
 # ---------------------------------------------------------------- text paths
 
 
 def text_paths(spark, sf_dir):
     """One ``/update/{type}/{name}/{value}`` request per event."""
-    u = load_updates(spark, sf_dir, spread_rows=True)
+    u = load_updates(spark, sf_dir)
     good = f"CASE WHEN mtype = '{COUNTER}' THEN CAST(delta AS STRING) ELSE format_string('%.2f', value) END"
-    raw = ("CASE WHEN seq % 23 = 0 THEN '' WHEN seq % 29 = 0 THEN 'abc' "
+    raw = (f"CASE WHEN seq % 23 = 0 THEN '' WHEN seq % 29 = 0 THEN 'abc' WHEN seq % 43 = 0 THEN concat({good}, chr(10)) "
            f"WHEN seq % 31 = 0 THEN CASE WHEN mtype = '{COUNTER}' THEN '3.5' ELSE '1e400' END "
            f"WHEN seq % 37 = 0 AND mtype != '{COUNTER}' THEN 'Infinity' ELSE {good} END")
     mt = "CASE WHEN seq % 13 = 0 THEN '' WHEN seq % 19 = 0 THEN 'histogram' ELSE mtype END"
@@ -43,6 +42,7 @@ SELECT seq,
   '/update/' || CASE WHEN seq % 13 = 0 THEN '' WHEN seq % 19 = 0 THEN 'histogram' ELSE mtype END
   || '/' || CASE WHEN seq % 17 = 0 THEN '' ELSE id END || '/' ||
   CASE WHEN seq % 23 = 0 THEN '' WHEN seq % 29 = 0 THEN 'abc'
+       WHEN seq % 43 = 0 THEN CASE WHEN mtype = 'counter' THEN CAST(delta AS VARCHAR) ELSE printf('%.2f', value) END || chr(10)
        WHEN seq % 31 = 0 THEN CASE WHEN mtype = 'counter' THEN '3.5' ELSE '1e400' END
        WHEN seq % 37 = 0 AND mtype <> 'counter' THEN 'Infinity'
        WHEN mtype = 'counter' THEN CAST(delta AS VARCHAR) ELSE printf('%.2f', value) END AS path
@@ -125,7 +125,7 @@ def q_route_status(spark, sf_dir):
 
 @query("text_update_fold", f"""
 SELECT id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, seq) END AS delta,
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta)) ELSE arg_max_null(delta, seq) END AS delta,
        arg_max_null(value, seq) AS value, '' AS hash
 FROM ({VALIDATE_TEXT_SQL}) v WHERE reject_code IS NULL GROUP BY id, mtype
 """)
@@ -168,7 +168,7 @@ WITH v AS ({VALIDATE_ROW_SQL}),
 bad AS (SELECT DISTINCT batch_id FROM v WHERE reject_code IS NOT NULL),
 d AS (SELECT * FROM ({DIRTY_UPDATES_SQL}) d0 WHERE batch_id NOT IN (SELECT batch_id FROM bad))
 SELECT id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, seq) END AS delta,
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta)) ELSE arg_max_null(delta, seq) END AS delta,
        arg_max_null(value, seq) AS value, arg_max_null(hash, seq) AS hash
 FROM d GROUP BY id, mtype
 """
@@ -202,7 +202,7 @@ f AS (SELECT batch_id, min(pos) AS first_bad FROM c WHERE reject_code IS NOT NUL
 d AS (SELECT d0.* FROM ({DIRTY_UPDATES_SQL}) d0 LEFT JOIN f ON d0.batch_id = f.batch_id
       WHERE f.first_bad IS NULL OR d0.pos < f.first_bad)
 SELECT id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, seq) END AS delta,
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta)) ELSE arg_max_null(delta, seq) END AS delta,
        arg_max_null(value, seq) AS value, arg_max_null(hash, seq) AS hash
 FROM d GROUP BY id, mtype
 """)
@@ -215,6 +215,7 @@ def q_prefix_apply(spark, sf_dir):
 
 BAD_JSON = "not json"
 WRONG_TYPE = '[{"id":"x","type":"counter","delta":1.5}]'
+TOO_LARGE = '[{"id":"x","type":"gauge","value":1e400}]'
 
 
 def as_input_table(df, name):
@@ -225,7 +226,7 @@ def as_input_table(df, name):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spread(spark.read.schema(df.schema).parquet(path))
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def batch_bodies(spark, sf_dir):
@@ -234,24 +235,27 @@ def batch_bodies(spark, sf_dir):
 
 def _batch_bodies(spark, sf_dir):
     """One JSON array body per batch of 100 events (bounded groups), in
-    position order; some bodies replaced by broken ones."""
+    position order; some bodies replaced by broken ones, some with field names
+    in other cases, and an unknown nested field on every third element."""
     d = load_dirty_updates(spark, sf_dir)
     b = d.groupBy("batch_id").agg(F.expr(
         "array_sort(collect_list(struct(pos, named_struct('id', id, 'type', mtype, "
-        "'delta', delta, 'value', value) AS m))) AS ms"))
+        "'delta', delta, 'value', value, 'meta', CASE WHEN pos % 3 = 0 THEN named_struct('id', pos, 'value', 'x') END) AS m))) AS ms"))
+    body = "to_json(transform(ms, x -> x.m))"
+    cased = f"""replace(replace(replace({body}, '"id":"', '"ID":"'), '"type":"', '"Type":"'), '"delta":', '"DELTA":')"""
     return b.selectExpr(
         "batch_id",
         f"CASE WHEN batch_id % 17 = 8 THEN '{BAD_JSON}' WHEN batch_id % 19 = 9 THEN '{WRONG_TYPE}' "
-        "ELSE to_json(transform(ms, x -> x.m)) END AS body")
+        f"WHEN batch_id % 29 = 11 THEN '{TOO_LARGE}' WHEN batch_id % 5 = 1 THEN {cased} ELSE {body} END AS body")
 
 
 PARSED_BATCH_SQL = f"""
 SELECT batch_id, pos, id, mtype, delta, value, '' AS hash, false AS parse_error
-FROM ({DIRTY_UPDATES_SQL}) d WHERE batch_id % 17 <> 8 AND batch_id % 19 <> 9
+FROM ({DIRTY_UPDATES_SQL}) d WHERE batch_id % 17 <> 8 AND batch_id % 19 <> 9 AND batch_id % 29 <> 11
 UNION ALL
 SELECT DISTINCT batch_id, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
        CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), '', true
-FROM ({DIRTY_UPDATES_SQL}) d WHERE batch_id % 17 = 8 OR batch_id % 19 = 9
+FROM ({DIRTY_UPDATES_SQL}) d WHERE batch_id % 17 = 8 OR batch_id % 19 = 9 OR batch_id % 29 = 11
 """
 
 
@@ -273,14 +277,33 @@ v AS (SELECT *, CASE WHEN parse_error THEN 'parse_error'
 @query("json_batch_fold", BATCH_OUTCOME_SQL + """
 , bad AS (SELECT DISTINCT batch_id FROM v WHERE reject_code IS NOT NULL)
 SELECT id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, batch_id * 1000 + pos) END AS delta,
-       arg_max_null(value, batch_id * 1000 + pos) AS value, '' AS hash
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta)) ELSE arg_max_null(delta, (batch_id, pos)) END AS delta,
+       arg_max_null(value, (batch_id, pos)) AS value, '' AS hash
 FROM v WHERE batch_id NOT IN (SELECT batch_id FROM bad) GROUP BY id, mtype
 """)
 def q_json_batch_fold(spark, sf_dir):
     """Decoded and gated batch bodies → fold (order = batch, position)."""
     rows = pl.accepted_rows(pl.decode_batches(batch_bodies(spark, sf_dir)))
-    return fo.fold_state(rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")), hash_pass="inline")
+    return fo.fold_state(rows, hash_pass="inline", order=("batch_id", "pos"))
+
+
+BIG = 2500
+
+
+@query("json_big_batch_fold", f"""
+SELECT id, mtype,
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta)) ELSE arg_max_null(delta, seq) END AS delta,
+       arg_max_null(value, seq) AS value, arg_max_null(hash, seq) AS hash
+FROM ({UPDATES_SQL}) u GROUP BY id, mtype
+""")
+def q_json_big_batch_fold(spark, sf_dir):
+    """Bodies of thousands of items, with hashes: the order is (batch, position)."""
+    u = load_updates(spark, sf_dir).selectExpr(f"seq div {BIG} AS batch_id", f"seq % {BIG} AS pos", "id", "mtype", "delta", "value", "hash")
+    b = u.groupBy("batch_id").agg(F.expr(
+        "to_json(transform(array_sort(collect_list(struct(pos, named_struct('id', id, 'type', mtype, 'delta', delta, "
+        "'value', value, 'hash', hash) AS m))), x -> x.m)) AS body"))
+    rows = pl.accepted_rows(pl.decode_batches(as_input_table(b, "big-bodies")))
+    return fo.fold_state(rows, hash_pass="inline", order=("batch_id", "pos"))
 
 
 # --------------------------------------------------------------- envelopes
@@ -342,19 +365,18 @@ def q_admit_envelope(spark, sf_dir):
 @query("scan_gzip_payload", f"""
 SELECT batch_id, pos, id, mtype, delta, value, '' AS hash, false AS parse_error
 FROM ({DIRTY_UPDATES_SQL}) d
-WHERE batch_id % 2 = 0 AND batch_id % 17 <> 8 AND batch_id % 19 <> 9 AND batch_id % 13 <> 6
+WHERE batch_id % 2 = 0 AND batch_id % 17 <> 8 AND batch_id % 19 <> 9 AND batch_id % 29 <> 11 AND batch_id % 13 <> 6
 UNION ALL
 SELECT DISTINCT batch_id, CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
        CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), '', true
 FROM ({DIRTY_UPDATES_SQL}) d
-WHERE batch_id % 2 = 0 AND batch_id % 13 <> 6 AND (batch_id % 17 = 8 OR batch_id % 19 = 9)
+WHERE batch_id % 2 = 0 AND batch_id % 13 <> 6 AND (batch_id % 17 = 8 OR batch_id % 19 = 9 OR batch_id % 29 = 11)
 """)
 def q_scan_gzip_payload(spark, sf_dir):
     """gzip bodies decoded and parsed (the broken gzip bodies decode to null
     and are refused before parsing)."""
-    from ..functions.codec import gunzip
     e = envelopes(spark, sf_dir).filter(F.col("content_encoding") == "gzip")
-    g = e.select("batch_id", gunzip(F.col("body")).cast("string").alias("body"))
+    g = materialize(e.select("batch_id", gunzip(F.col("body")).cast("string").alias("body")))
     return pl.parse_batches(g.filter(F.col("body").isNotNull()))
 
 
@@ -362,8 +384,8 @@ def q_scan_gzip_payload(spark, sf_dir):
 , bad AS (SELECT DISTINCT batch_id FROM v WHERE reject_code IS NOT NULL
           OR batch_id % 11 = 5 OR batch_id % 13 = 6 OR batch_id % 7 = 3)
 SELECT id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, batch_id * 1000 + pos) END AS delta,
-       arg_max_null(value, batch_id * 1000 + pos) AS value, '' AS hash
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta)) ELSE arg_max_null(delta, (batch_id, pos)) END AS delta,
+       arg_max_null(value, (batch_id, pos)) AS value, '' AS hash
 FROM v WHERE batch_id NOT IN (SELECT batch_id FROM bad) GROUP BY id, mtype
 """)
 def q_ingest_fold(spark, sf_dir):
@@ -371,16 +393,17 @@ def q_ingest_fold(spark, sf_dir):
     one pass over the requests and one shuffle (the fold)."""
     d = admitted(spark, sf_dir).filter(F.col("admit_code").isNull())
     rows = pl.accepted_rows(d)
-    return fo.fold_state(rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos")), hash_pass="inline")
+    return fo.fold_state(rows, hash_pass="inline", order=("batch_id", "pos"))
 
 
 # ------------------------------------------------------------ single JSON
 
 
 def single_bodies(spark, sf_dir):
-    d = load_dirty_updates(spark, sf_dir, spread_rows=True)
-    body = "to_json(named_struct('id', id, 'type', mtype, 'delta', delta, 'value', value))"
-    return d.selectExpr("seq", f"CASE WHEN seq % 41 = 0 THEN '{BAD_JSON}' ELSE {body} END AS body")
+    d = load_dirty_updates(spark, sf_dir)
+    body = "to_json(named_struct('id', id, 'type', mtype, 'delta', delta, 'value', value, 'meta', array(named_struct('id', seq))))"
+    cased = f"""replace(replace({body}, '"id":"', '"Id":"'), '"value":', '"VALUE":')"""
+    return d.selectExpr("seq", f"CASE WHEN seq % 41 = 0 THEN '{BAD_JSON}' WHEN seq % 4 = 1 THEN {cased} ELSE {body} END AS body")
 
 
 SINGLE_SQL = f"""
@@ -440,7 +463,7 @@ def q_single_echo(spark, sf_dir):
 
 @query("single_json_fold", VALIDATE_SINGLE_SQL + """
 SELECT id, mtype,
-  CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) END AS delta,
+  CASE WHEN mtype = 'counter' THEN wrap64(sum(delta)) END AS delta,
   CASE WHEN mtype = 'gauge' THEN arg_max_null(value, seq) END AS value, '' AS hash
 FROM c WHERE reject_code IS NULL GROUP BY id, mtype
 """)
@@ -474,7 +497,7 @@ FROM ({UPDATES_SQL}) u
 """)
 def q_scan_lookup_json(spark, sf_dir):
     """Lookup bodies; an undecodable body or an empty id/type is a 400."""
-    u = load_updates(spark, sf_dir, spread_rows=True)
+    u = load_updates(spark, sf_dir)
     body = F.to_json(F.struct(F.when(F.col("seq") % 7 == 0, F.lit("")).otherwise(F.col("id")).alias("id"),
                               F.col("mtype").alias("type")))
     body = F.when(F.col("seq") % 11 == 0, F.lit(BAD_JSON)).otherwise(body)
@@ -482,5 +505,3 @@ def q_scan_lookup_json(spark, sf_dir):
     bad = F.col("parse_error") | (F.coalesce("id", F.lit("")) == "") | (F.coalesce("mtype", F.lit("")) == "")
     return p.withColumn("status", F.when(bad, F.lit(400)))
 
-
-__all__ = ["FOLD_SQL"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from ..operators import fold as fo
 from ..operators import lookup as lk
 from ..operators import merge as mg
-from ..schema import COUNTER, GAUGE
+from ..schema import COUNTER
 from ..session import scratch_path
 from ..sinks import snapshot as sk
 from ..sources import snapshot as src
@@ -57,6 +57,29 @@ def q_lookup_point_snapshot(spark, sf_dir):
     return lk.lookup(src.read_snapshot_table(spark, base), "click_3", COUNTER)
 
 
+@query("lookup_point_outcome", f"""
+WITH r AS (SELECT unnest(['click_3', 'purchase_1', 'click_missing', 'click_3']) AS id,
+                  unnest(['counter', 'gauge', 'counter', 'histogram']) AS mtype),
+s AS ({FOLD_SQL})
+SELECT r.id, r.mtype,
+       CASE WHEN r.mtype = 'histogram' THEN 'unknown_metric_type' WHEN s.id IS NULL THEN 'not_found' ELSE 'ok' END AS outcome,
+       CASE WHEN s.mtype = 'gauge' THEN regexp_replace(CAST(s.value AS VARCHAR), '\\.0$', '')
+            WHEN s.mtype = 'counter' THEN CAST(s.delta AS VARCHAR) END AS value_text,
+       s.delta, s.value,
+       CASE WHEN r.mtype = 'histogram' THEN 400 WHEN s.id IS NULL THEN 404 ELSE 200 END AS status_text,
+       CASE WHEN r.mtype = 'histogram' THEN 400 WHEN s.id IS NULL THEN 404 ELSE 200 END AS status_json
+FROM r LEFT JOIN s ON r.id = s.id AND r.mtype = s.mtype
+""")
+def q_lookup_point_outcome(spark, sf_dir):
+    """Four single lookups: two hits, a missing key and an unknown kind."""
+    base = scratch_path(spark, "snapshot-table")
+    sk.write_snapshot_table(fo.fold_state(load_updates(spark, sf_dir)), base)
+    state = src.read_snapshot_table(spark, base)
+    asked = [("click_3", COUNTER), ("purchase_1", "gauge"), ("click_missing", COUNTER), ("click_3", "histogram")]
+    found = [lk.lookup_outcome(state, *key) for key in asked]
+    return found[0].union(found[1]).union(found[2]).union(found[3])
+
+
 def lookup_requests(spark, sf_dir):
     """One lookup per event; every 7th asks for an unknown id, every 11th for
     an unknown kind."""
@@ -116,10 +139,9 @@ def q_state_merge_seq(spark, sf_dir):
     return merged.drop("last_seq")
 
 
-@query("all_metrics", FOLD_SQL)
-def q_all_metrics(spark, sf_dir):
-    s = fo.fold_state(load_updates(spark, sf_dir))
-    return lk.all_metrics(fo.of_kind(s, GAUGE), fo.of_kind(s, COUNTER))
+@query("all_rows", FOLD_SQL)
+def q_all_rows(spark, sf_dir):
+    return lk.all_rows(fo.fold_state(load_updates(spark, sf_dir)))
 
 
 @query("scan_snapshot_file", OLD_SQL)
@@ -174,9 +196,10 @@ def q_sink_upsert_table(spark, sf_dir):
     old, new = _halves(spark, sf_dir, wide=True)
     base = scratch_path(spark, "snapshot-table")
     sk.write_snapshot_table(fo.fold_state(old), base)
+    start = sk.read_commit(spark, base)
     merged = mg.upsert_snapshot(src.read_snapshot_table(spark, base),
                                 fo.fold_state(new, keep_seq=True), seq="last_seq")
-    sk.write_snapshot_table(merged, base)
+    sk.write_snapshot_table(merged, base, start=start)
     return src.read_snapshot_table(spark, base)
 
 

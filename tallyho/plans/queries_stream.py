@@ -1,10 +1,10 @@
 """Streaming queries: the events table replayed as a stream of files.
 
-Spark first writes ``events`` into several files below the shared folder
-(range-partitioned on ``event_id``); a file stream then reads one file per
-micro-batch. File arrival order is not guaranteed, which the fold tolerates
-(gauges are decided by ``seq``). Each query returns the state (or reports)
-the stream leaves behind.
+Spark first writes ``events`` below the shared folder, in its own partitions
+and a directory a day, like the landing zone of an event log; a file stream
+then takes a quarter of the files per micro-batch. File arrival order is not
+guaranteed, which the fold tolerates (gauges are decided by ``seq``). The
+queries return the state, the dumps or the ticks that the stream leaves behind.
 """
 
 from __future__ import annotations
@@ -13,36 +13,36 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources import payloads as pl
-from ..sources.events import UPDATES_SQL, read_table, updates_from_events
+from ..sources.events import read_table, updates_from_events
 from ..streaming import fold_stream as fs
 from .queries_core import FOLD_SQL
 from .queries_ingest import _batch_bodies
 from .queries_state import SPLIT_TS
+from .queries_window import DAY, TICK_SQL
 from .registry import query
 
-FILES = 4
+BATCHES = 4
 
 
-def _split_events(spark, sf_dir, where=None):
-    e = read_table(spark, sf_dir, "events")
-    if where is not None:
-        e = e.filter(where)
-    path = scratch_path(spark, "events-stream")
-    e.repartitionByRange(FILES, "event_id").write.parquet(path)
-    return path, e.schema
+def _files(df) -> int:
+    """How many files a written table has (a directory listing)."""
+    return len(df.inputFiles())
 
 
-def _stream_updates(spark, path, schema):
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    return updates_from_events(s)
+def _land(spark, df, name, day=None):
+    """Write ``df`` as a landing zone; returns (path, schema, files per micro-batch)."""
+    path = scratch_path(spark, name)
+    w = df.withColumn("day", F.to_date(day)) if day else df
+    (w.write.partitionBy("day") if day else w.write).parquet(path)
+    return path, df.schema, max(1, -(-_files(spark.read.schema(df.schema).parquet(path)) // BATCHES))
 
 
-def _run(spark, sf_dir, trigger=None, report=False, where=None, base=None):
-    path, schema = _split_events(spark, sf_dir, where)
-    base = base or scratch_path(spark, "stream-state")
-    reports = scratch_path(spark, "stream-reports") if report else None
-    q = fs.start_fold_stream(_stream_updates(spark, path, schema), base,
-                             scratch_path(spark, "stream-ckpt"), trigger=trigger, report_base=reports)
+def _stream(spark, landed):
+    path, schema, per_batch = landed
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path)
+
+
+def _finish(q, trigger):
     if trigger and trigger.get("availableNow"):
         q.awaitTermination()
     else:
@@ -50,75 +50,74 @@ def _run(spark, sf_dir, trigger=None, report=False, where=None, base=None):
         q.stop()
     if q.exception() is not None:
         raise q.exception()
-    return base, reports
+
+
+def _run(spark, sf_dir, trigger=None, where=None, base=None, interval_s=None, keep=None):
+    e = read_table(spark, sf_dir, "events")
+    if where is not None:
+        e = e.filter(where)
+    base = base or scratch_path(spark, "stream-state")
+    rows = updates_from_events(_stream(spark, _land(spark, e, "events-stream", "ts")), with_ts=interval_s is not None)
+    _finish(fs.start_fold_stream(rows, base, scratch_path(spark, "stream-ckpt"), trigger=trigger, interval_s=interval_s,
+                                 keep=keep), trigger)
+    return base
 
 
 @query("stream_fold", FOLD_SQL)
 def q_stream_fold(spark, sf_dir):
-    base, _ = _run(spark, sf_dir, trigger={"availableNow": True})
-    return fs.read_state(spark, base)
+    """One version is kept: a location does not grow with its micro-batches."""
+    return fs.read_state(spark, _run(spark, sf_dir, trigger={"availableNow": True}, keep=1))
 
 
-@query("stream_sync_dump", FOLD_SQL)
+DUMPS_SQL = f"""
+SELECT s.*, true AS steady, (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) >= {BATCHES} AS several
+FROM ({FOLD_SQL}) s
+"""
+
+
+def _dumps(spark, base, least):
+    """The last dump, whether every key stays in all later dumps with an order that
+    never goes back (``steady``), and whether there were as many dumps as expected."""
+    d = fs.read_dumps(spark, base)
+    n = d.agg(F.countDistinct("dump").alias("n"), F.max("dump").alias("last"))
+    by_key = d.groupBy("id", "mtype").agg(
+        F.expr("count(DISTINCT dump) = max(dump) - min(dump) + 1 AS no_gap"),
+        F.expr("max(dump) AS until"),
+        F.expr("transform(array_sort(collect_list(struct(dump, last_seq))), x -> x.last_seq) AS seqs"))
+    by_key = by_key.join(F.broadcast(n)).selectExpr(  # n: one row
+        "id", "mtype", "no_gap AND until = last AND seqs = array_sort(seqs) AS steady", f"n >= {least} AS several")
+    return fs.read_state(spark, base).join(by_key, ["id", "mtype"])
+
+
+@query("stream_sync_dump", DUMPS_SQL)
 def q_stream_sync_dump(spark, sf_dir):
-    """Default trigger: the state is persisted after every micro-batch."""
-    base, _ = _run(spark, sf_dir)
-    return fs.read_state(spark, base)
+    """Default trigger: a dump after every micro-batch, each holding all before it."""
+    return _dumps(spark, _run(spark, sf_dir), BATCHES)
 
 
-@query("stream_periodic_dump", FOLD_SQL)
+@query("stream_periodic_dump", DUMPS_SQL.replace(
+    f"(SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) >= {BATCHES}", "true"))
 def q_stream_periodic_dump(spark, sf_dir):
-    """Processing-time trigger: one dump per interval (1 s here, 300 s by
-    default in a deployment)."""
-    base, _ = _run(spark, sf_dir, trigger={"processingTime": "1 second"})
-    return fs.read_state(spark, base)
+    """Processing-time trigger: one dump per interval (1 s here, 300 s by default in a
+    deployment) in which something arrived, each holding all before it."""
+    return _dumps(spark, _run(spark, sf_dir, trigger={"processingTime": "1 second"}), 1)
 
 
 @query("stream_restore", FOLD_SQL)
 def q_stream_restore(spark, sf_dir):
     """A second stream (new checkpoint) resumes from the first one's state."""
     cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    base, _ = _run(spark, sf_dir, trigger={"availableNow": True}, where=F.col("ts") < cut)
+    base = _run(spark, sf_dir, trigger={"availableNow": True}, where=F.col("ts") < cut)
     _run(spark, sf_dir, trigger={"availableNow": True}, where=F.col("ts") >= cut, base=base)
     return fs.read_state(spark, base)
 
 
-def _ordered_parts(spark, sf_dir):
-    """``events`` appended as FILES files, one per quarter of the id range,
-    by sequential jobs: the file source then takes them in that order, one
-    per micro-batch, so micro-batch k holds exactly quarter k."""
-    e = read_table(spark, sf_dir, "events")
-    top = e.agg(F.max("event_id")).first()[0]
-    path = scratch_path(spark, "events-ordered")
-    part = F.expr(f"(event_id * {FILES}) div ({int(top)} + 1)")
-    for k in range(FILES):
-        e.filter(part == k).coalesce(1).write.mode("append").parquet(path)
-    return path, e.schema
-
-
-@query("stream_report_ticks", f"""
-WITH u AS ({UPDATES_SQL}),
-f AS (SELECT *, (seq * {FILES}) // ((SELECT max(seq) FROM u) + 1) AS part FROM u),
-t AS (SELECT DISTINCT part AS tick FROM f),
-j AS (SELECT t.tick, f.* FROM t JOIN f ON f.part <= t.tick)
-SELECT id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, seq) END AS delta,
-       arg_max_null(value, seq) AS value, arg_max_null(hash, seq) AS hash, CAST(tick AS BIGINT) AS tick
-FROM j GROUP BY tick, id, mtype
-""")
+@query("stream_report_ticks", TICK_SQL)
 def q_stream_report_ticks(spark, sf_dir):
-    """Every tick reports all metrics known so far: the report of tick k is
-    the state after the first k+1 micro-batches."""
-    path, schema = _ordered_parts(spark, sf_dir)
-    base = scratch_path(spark, "stream-state")
-    reports = scratch_path(spark, "stream-reports")
-    q = fs.start_fold_stream(_stream_updates(spark, path, schema), base, scratch_path(spark, "stream-ckpt"),
-                             trigger={"availableNow": True}, report_base=reports)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return spark.read.parquet(reports).select("id", "mtype", "delta", "value", "hash",
-                                              F.col("tick").cast("bigint").alias("tick"))
+    """Reports by time: the stream folds per key and tick, and the report of a tick
+    is the state at its time, also of ticks when nothing arrived."""
+    base = _run(spark, sf_dir, trigger={"availableNow": True}, interval_s=DAY)
+    return fs.read_ticks(spark, base, DAY).drop("hash")
 
 
 def _json_batch_fold_sql():
@@ -131,16 +130,9 @@ def q_stream_ingest(spark, sf_dir):
     """Raw batch bodies arriving as files: each micro-batch is decoded and
     gated per body (row-local, so it runs inside the stream), and the
     accepted rows are folded into the versioned state."""
-    bodies = _batch_bodies(spark, sf_dir)
-    path = scratch_path(spark, "bodies-stream")
-    bodies.repartitionByRange(FILES, "batch_id").write.parquet(path)
-    stream = spark.readStream.schema(bodies.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    rows = pl.accepted_rows(pl.decode_batches(stream))
-    rows = rows.withColumn("seq", F.col("batch_id") * 1000 + F.col("pos"))
-    base = scratch_path(spark, "stream-state")
-    q = fs.start_fold_stream(rows, base, scratch_path(spark, "stream-ckpt"),
-                             trigger={"availableNow": True}, hash_pass="inline")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    landed = _land(spark, _batch_bodies(spark, sf_dir), "bodies-stream")
+    rows = pl.accepted_rows(pl.decode_batches(_stream(spark, landed)))
+    base, trigger = scratch_path(spark, "stream-state"), {"availableNow": True}
+    _finish(fs.start_fold_stream(rows, base, scratch_path(spark, "stream-ckpt"), trigger=trigger, hash_pass="inline",
+                                 order=("batch_id", "pos")), trigger)
     return fs.read_state(spark, base)

@@ -13,11 +13,11 @@ WITH a AS ({OLD_SQL}),
 n AS (SELECT * FROM ({UPDATES_SQL}) u WHERE ts >= TIMESTAMP '{SPLIT_TS}')
 SELECT n.seq, n.id, n.mtype,
        CASE WHEN n.mtype = 'counter'
-            THEN CAST(coalesce(a.delta, 0) + sum(n.delta) OVER (
+            THEN wrap64(coalesce(a.delta, 0)::HUGEINT + coalesce(sum(n.delta) OVER (
                    PARTITION BY n.id, n.mtype ORDER BY n.seq
-                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0))
             ELSE n.delta END AS delta,
-       n.value
+       n.value, n.hash
 FROM n LEFT JOIN a ON a.id = n.id AND a.mtype = n.mtype
 """
 
@@ -42,7 +42,7 @@ g AS (SELECT k.id, k.mtype, unnest(generate_series(k.first_tick, m.last_tick)) A
 j AS (SELECT g.id, g.mtype, g.tick_no, t.seq, t.delta, t.value
       FROM g JOIN t ON t.id = g.id AND t.mtype = g.mtype AND t.tick_no <= g.tick_no)
 SELECT make_timestamp(tick_no * {DAY * 1_000_000}) AS tick, id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT)
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta))
             ELSE arg_max_null(delta, seq) END AS delta,
        arg_max_null(value, seq) AS value
 FROM j GROUP BY tick_no, id, mtype
@@ -79,10 +79,10 @@ def hot_updates(spark, sf_dir):
 @query("batch_echo_hot", f"""
 SELECT seq, id, mtype,
        CASE WHEN mtype = 'counter'
-            THEN CAST(sum(delta) OVER (PARTITION BY id, mtype ORDER BY seq
-                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
+            THEN wrap64(sum(delta) OVER (PARTITION BY id, mtype ORDER BY seq
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
             ELSE delta END AS delta,
-       value
+       value, hash
 FROM ({HOT_UPDATES_SQL}) h
 """)
 def q_batch_echo_hot(spark, sf_dir):
@@ -92,7 +92,7 @@ def q_batch_echo_hot(spark, sf_dir):
 
 @query("fold_state_hot", f"""
 SELECT id, mtype,
-       CASE WHEN mtype = 'counter' THEN CAST(sum(delta) AS BIGINT) ELSE arg_max_null(delta, seq) END AS delta,
+       CASE WHEN mtype = 'counter' THEN wrap64(sum(delta)) ELSE arg_max_null(delta, seq) END AS delta,
        arg_max_null(value, seq) AS value, arg_max_null(hash, seq) AS hash
 FROM ({HOT_UPDATES_SQL}) h GROUP BY id, mtype
 """)

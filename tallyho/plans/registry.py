@@ -17,13 +17,26 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
 
 
+def expand(sql: str) -> str:
+    """Oracle text with each ``wrap64(x)`` spelled out: x (a HUGEINT) modulo 2^64 as a BIGINT."""
+    while (at := sql.find("wrap64(")) >= 0:
+        depth, end = 1, at + len("wrap64(")
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            end += 1
+        x = sql[at + len("wrap64("):end - 1]
+        sql = (sql[:at] + f"CAST(((({x}) % 18446744073709551616) + 27670116110564327424) % 18446744073709551616"
+               f" - 9223372036854775808 AS BIGINT)" + sql[end:])
+    return sql
+
+
 def query(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = oracle
+            ORACLES[name] = expand(oracle)
         return fn
     return deco
 

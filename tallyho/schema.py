@@ -67,16 +67,16 @@ LOOKUP = T.StructType([
     T.StructField("mtype", T.StringType(), True),
 ])
 
-# Reject codes and the error texts they stand for.
-NIL_DELTA = "nil_delta"                    # "metrics delta is nil"
-NIL_VALUE = "nil_value"                    # "metrics value is nil"
-UNKNOWN_TYPE = "unknown_metric_type"       # "unknown metric type"
-UNKNOWN_VALUE = "unknown_metric_value"     # "unknown metric value"
-EMPTY_TYPE = "empty_metric_type"           # "empty metric type"
-EMPTY_NAME = "empty_metric_name"           # "empty metric name"
-EMPTY_VALUE = "empty_metric_value"         # "empty metric value"
-NIL_METRIC = "nil_metric"                  # "metric is nil"
-NOT_FOUND = "not_found"                    # "not found"
+# Reject codes.
+NIL_DELTA = "nil_delta"
+NIL_VALUE = "nil_value"
+UNKNOWN_TYPE = "unknown_metric_type"
+UNKNOWN_VALUE = "unknown_metric_value"
+EMPTY_TYPE = "empty_metric_type"
+EMPTY_NAME = "empty_metric_name"
+EMPTY_VALUE = "empty_metric_value"
+NIL_METRIC = "nil_metric"
+NOT_FOUND = "not_found"
 PARSE_ERROR = "parse_error"                # body is not decodable JSON
 BAD_SIGNATURE = "bad_signature"
 BAD_GZIP = "bad_gzip"

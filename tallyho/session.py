@@ -7,6 +7,7 @@ fills in settings that are still unset, so a cluster's own values win.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -52,10 +53,11 @@ _LOCAL_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only when it is
-    unset (local tests) a folder under the system temp dir is created once
-    per application and registered as the checkpoint dir (the setting itself
-    cannot be changed at runtime).
+    Uses ``spark.checkpoint.dir`` when the cluster names one. Only on a local
+    master (tests) may it be unset: then a folder under the system temp dir is
+    created once per application and registered as the checkpoint dir (the
+    setting itself cannot be changed at runtime). On a cluster an unset folder
+    is an error, since executors could not see each other's files.
     """
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
@@ -64,6 +66,9 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - not readable on some builds
             d = None
     if not d:
+        master = spark.sparkContext.master or ""
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
         app = spark.sparkContext.applicationId
         d = _LOCAL_DIRS.get(app)
         if d is None:

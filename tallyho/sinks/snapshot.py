@@ -2,55 +2,51 @@
 
 Layout of a snapshot location::
 
-    <base>/v=<version>/part-*.json|parquet   one directory per version
-    <base>/_versions/<version>               empty marker: that version is committed
-
-A write goes to a fresh version directory (Spark's output commit makes it
-appear whole); only then is its marker created. The current version is the
-greatest committed one. Markers are only ever created, never renamed,
-overwritten or deleted, so a driver or executor lost at any point leaves
-either the old or the new version current, never none. Version names are
-zero-padded and start with the commit time, so they sort in commit order,
-across runs too; replaying a write of the same version rewrites the same
-directory.
+    <base>/v=<number>-<token>/part-*     one directory per version
+    <base>/_versions/<number>            its commit: names the directory and how
+                                         far each stream has got
+
+A write goes to a fresh directory (Spark's output commit makes it appear
+whole). Its commit has the number after the one that the write started from
+and is created only if no file of that number exists, so of two writers that
+start from the same version one commits and the other fails with
+``CommitConflict``: no update is lost silently. The current version is the
+greatest number. A commit is never replaced, so a driver or executor lost at
+any point leaves either the old or the new version current. ``keep`` removes
+all but the last versions after a commit, so a location does not grow.
+
+Needs a file system with an atomic create-if-absent (HDFS, local files).
 """
 
 from __future__ import annotations
 
-import time
+import json
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MARKERS = "_versions"
+COMMITS = "_versions"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
+class CommitConflict(RuntimeError):
+    """Another writer has committed since the version this write started from."""
 
-def read_pointer(spark: SparkSession, base: str) -> str | None:
-    """The current (greatest committed) version of a location, or None."""
-    fs, _, jvm = _fs(spark, base)
-    d = jvm.org.apache.hadoop.fs.Path(f"{base}/{MARKERS}")
-    if not fs.exists(d):
-        return None
-    names = [st.getPath().getName() for st in fs.listStatus(d)]
-    names = [n for n in names if not n.startswith((".", "_"))]
-    return max(names) if names else None
 
+@dataclass(frozen=True)
+class Commit:
+    """A committed version: its number, its directory, and the last epoch of each stream in it."""
 
-def is_committed(spark: SparkSession, base: str, version: str) -> bool:
-    fs, _, jvm = _fs(spark, base)
-    return bool(fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{MARKERS}/{version}")))
+    number: int
+    path: str
+    epochs: dict = field(default_factory=dict)
 
 
-def write_pointer(spark: SparkSession, base: str, version: str) -> None:
-    """Commit ``version``: create its (empty) marker."""
-    fs, _, jvm = _fs(spark, base)
-    fs.create(jvm.org.apache.hadoop.fs.Path(f"{base}/{MARKERS}/{version}"), True).close()
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -66,22 +62,86 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return line.strip() if line else None
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p, _ = _fs(spark, path)
-    out = fs.create(p, False)
+def write_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file; False if there is one already. The text is written
+    beside it and given the name by a rename that does not replace."""
+    fs, p, jvm = _fs(spark, path)
+    if fs.exists(p):
+        return False
+    part = jvm.org.apache.hadoop.fs.Path(f"{p.getParent().toString()}/.{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(part, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
+    try:
+        # FileContext.rename fails if the target exists
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(),
+                                                            spark.sparkContext._jsc.hadoopConfiguration()).rename(
+            fs.makeQualified(part), fs.makeQualified(p), spark.sparkContext._gateway.new_array(
+                jvm.org.apache.hadoop.fs.Options.Rename, 0))
+        return True
+    except Exception as e:  # py4j wraps the Java error
+        if "already exists" in str(e) or "FileAlreadyExists" in str(e) or fs.exists(p):
+            fs.delete(part, False)
+            return False
+        raise
+
+
+def numbers(spark: SparkSession, base: str) -> list[int]:
+    """The numbers of the commits that are kept, ascending."""
+    fs, _, jvm = _fs(spark, base)
+    d = jvm.org.apache.hadoop.fs.Path(f"{base}/{COMMITS}")
+    if not fs.exists(d):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(d)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def read_commit(spark: SparkSession, base: str, number: int | None = None) -> Commit | None:
+    """The current version of a location (or that of a number), or None."""
+    if number is None:
+        kept = numbers(spark, base)
+        if not kept:
+            return None
+        number = kept[-1]
+    text = read_text(spark, f"{base}/{COMMITS}/{number:020d}")
+    if text is None:
+        return None
+    d = json.loads(text)
+    return Commit(number, f"{base}/{d['dir']}", d.get("epochs", {}))
 
 
-def current_path(spark: SparkSession, base: str) -> str | None:
-    v = read_pointer(spark, base)
-    return f"{base}/v={v}" if v else None
+def start_version(spark: SparkSession, base: str) -> tuple[Commit | None, str]:
+    """(the version that a write starts from, the fresh directory that it writes to)."""
+    at = read_commit(spark, base)
+    return at, f"{base}/v={(at.number if at else 0) + 1:020d}-{uuid.uuid4().hex[:12]}"
 
 
-def new_version() -> str:
-    return f"{time.time_ns():020d}"
+def commit(spark: SparkSession, base: str, start: Commit | None, path: str, epochs: dict | None = None,
+           keep: int | None = None) -> Commit:
+    """Make ``path`` the current version, if ``start`` still is it."""
+    number = (start.number if start else 0) + 1
+    fs, _, jvm = _fs(spark, base)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{base}/{COMMITS}"))
+    epochs = {**(start.epochs if start else {}), **(epochs or {})}
+    text = json.dumps({"dir": path.rsplit("/", 1)[1], "epochs": epochs})
+    latest = numbers(spark, base)
+    if (latest and latest[-1] >= number) or not write_text(spark, f"{base}/{COMMITS}/{number:020d}", text):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+        raise CommitConflict(f"version {number} of {base} was committed by another writer")
+    if keep is not None:
+        for old in numbers(spark, base)[:-max(1, keep)]:
+            c = read_commit(spark, base, old)
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{base}/{COMMITS}/{old:020d}"), False)
+            if c is not None:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(c.path), True)
+    return Commit(number, path, epochs)
+
+
+def current_path(spark: SparkSession, base: str) -> str | None:
+    c = read_commit(spark, base)
+    return c.path if c else None
 
 
 def metric_json_columns(df: DataFrame) -> DataFrame:
@@ -100,17 +160,26 @@ def _refuse_non_finite(df: DataFrame) -> DataFrame:
                       .otherwise(F.lit(True)))
 
 
-def write_snapshot_json(state: DataFrame, base: str, version: str | None = None,
-                        compression: str | None = None) -> str:
-    """Replace the snapshot (all keys) with ``state``; returns the version path."""
-    version = version or new_version()
-    path = f"{base}/v={version}"
+_LATEST = object()
+
+
+def _write(spark: SparkSession, base: str, start, keep: int | None, write) -> str:
+    now, path = start_version(spark, base)
+    write(path)
+    commit(spark, base, now if start is _LATEST else start, path, keep=keep)
+    return path
+
+
+def write_snapshot_json(state: DataFrame, base: str, start=_LATEST, compression: str | None = None,
+                        keep: int | None = None) -> str:
+    """Replace the snapshot (all keys) with ``state``; returns the version's path.
+
+    ``start`` is the version (``read_commit``) that ``state`` was computed from;
+    without it the one that is current now. ``keep`` versions stay (default all)."""
     w = metric_json_columns(_refuse_non_finite(state)).write.mode("overwrite")
     if compression:
         w = w.option("compression", compression)
-    w.json(path)
-    write_pointer(spark_of(state), base, version)
-    return path
+    return _write(state.sparkSession, base, start, keep, w.json)
 
 
 def write_table_version(state: DataFrame, path: str) -> None:
@@ -121,14 +190,29 @@ def write_table_version(state: DataFrame, path: str) -> None:
      .write.mode("overwrite").partitionBy("mtype").parquet(path))
 
 
-def write_snapshot_table(state: DataFrame, base: str, version: str | None = None) -> str:
-    """Persist the state as a Parquet version; returns the version path."""
-    version = version or new_version()
-    path = f"{base}/v={version}"
-    write_table_version(state.select("id", "mtype", "delta", "value", "hash"), path)
-    write_pointer(spark_of(state), base, version)
-    return path
+def write_snapshot_table(state: DataFrame, base: str, start=_LATEST, keep: int | None = None) -> str:
+    """Persist the state as a Parquet version (see ``write_snapshot_json``)."""
+    rows = state.select("id", "mtype", "delta", "value", "hash")
+    return _write(state.sparkSession, base, start, keep, lambda path: write_table_version(rows, path))
+
+
+def compressible(content_type: str) -> str:
+    """SQL: whether a response of this type is compressed (JSON and HTML only)."""
+    return f"({content_type} LIKE '%application/json%' OR {content_type} LIKE '%text/html%')"
+
 
+def signed_payloads(bodies: DataFrame, key: str, body: str = "body", content_type: str = "content_type",
+                    accepts: str | None = None) -> DataFrame:
+    """Bodies as they are sent: compressed where their type allows it (and ``accepts``,
+    a column, names gzip), then signed over the bytes that are sent. Replaces
+    ``body`` by ``payload`` and adds ``content_encoding`` and ``signature``."""
+    from ..functions.codec import gzip_compress
+    from ..functions.signing import sign_sql
+    from ..operators.common import materialize
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
+    zipped = compressible(f"coalesce({content_type}, '')") + (f" AND contains(coalesce({accepts}, ''), 'gzip')" if accepts else "")
+    keep = [f"`{c}`" for c in bodies.columns if c != body]
+    d = bodies.selectExpr(*keep, f"CAST({body} AS BINARY) AS _plain", f"{zipped} AS _z")
+    d = materialize(d.withColumn("_gz", gzip_compress(F.expr("CASE WHEN _z THEN CAST(_plain AS STRING) END"))))
+    d = d.selectExpr(*keep, "CASE WHEN _z THEN _gz ELSE _plain END AS payload", "CASE WHEN _z THEN 'gzip' ELSE '' END AS content_encoding")
+    return d.selectExpr("*", f"{sign_sql('payload', key)} AS signature")

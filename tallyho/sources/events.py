@@ -7,9 +7,9 @@ columns used and pushes any later filter into the Parquet reader.
     seq      = event_id
     id       = event_type || '_' || (user_id % 10)      (or user_id when wide)
     mtype    = 'counter' for click/view/signup, else 'gauge'
-    delta    = counters: props.k as BIGINT, else NULL
+    delta    = counters: props.k as BIGINT (plus 2^62 on every 97th event, so totals wrap), else NULL
     value    = gauges: value, else NULL
-    hash     = ''
+    hash     = 'h<event_id>' on every 5th event, else ''
     batch_id = event_id div 100, pos = event_id % 100
 """
 
@@ -18,44 +18,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.common import spread
 from ..schema import COUNTER, GAUGE
 
 # Which event types count as counters; the batch size.
 COUNTER_EVENTS = ("click", "view", "signup")
 BATCH_SIZE = 100
+LARGE = 1 << 62
 
 
-# Schemas of the given (read-only) tables, learned on first read, like a
-# catalog would hold them: later reads skip the footer-based inference.
-_SCHEMAS: dict[str, object] = {}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = False) -> DataFrame:
-    """A given table. ``spread_rows`` deals a single-split input over the
-    cores, for heavy per-row work (payload decoding) before the first shuffle."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
-    return spread(df) if spread_rows else df
-
-
-# The flat form ``{"k": <int>}`` exactly (spaces after the colon, at most 18
-# digits so no overflow). Anything else goes through the JSON parser, so the
-# result is the same either way.
-FLAT_K = '^[{]"k":[ ]*(-?[0-9]{1,18})[}]$'
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def props_k_sql(props: str = "props") -> str:
-    """``k`` from a props JSON string, as BIGINT (null if absent or not an
-    integer): anchored regex for the flat one-key form, JSON parser otherwise."""
-    flat = f"regexp_extract({props}, '{FLAT_K}', 1)"
-    return (f"CASE WHEN {flat} != '' THEN CAST({flat} AS BIGINT) "
-            f"ELSE try_cast(get_json_object({props}, '$.k') AS BIGINT) END")
+    """``k`` from a props JSON string, as BIGINT (null if absent or not an integer)."""
+    return f"try_cast(get_json_object({props}, '$.k') AS BIGINT)"
 
 
 def props_k(props: str = "props"):
@@ -75,18 +53,17 @@ def updates_from_events(events: DataFrame, wide: bool = False, with_ts: bool = F
         f"CAST(event_id % {BATCH_SIZE} AS INT) AS pos",
         f"concat(event_type, '_', CAST({suffix} AS STRING)) AS id",
         f"CASE WHEN {_COUNTER_SQL} THEN '{COUNTER}' ELSE '{GAUGE}' END AS mtype",
-        f"CASE WHEN {_COUNTER_SQL} THEN {props_k_sql()} END AS delta",
+        f"CASE WHEN {_COUNTER_SQL} THEN {props_k_sql()} + CASE WHEN event_id % 97 = 0 THEN {LARGE} ELSE 0 END END AS delta",
         f"CASE WHEN NOT {_COUNTER_SQL} THEN value END AS value",
-        "'' AS hash",
+        "CASE WHEN event_id % 5 = 0 THEN concat('h', CAST(event_id AS STRING)) ELSE '' END AS hash",
     ]
     if with_ts:
         cols.insert(1, "ts")
     return events.selectExpr(*cols)
 
 
-def load_updates(spark: SparkSession, sf_dir: str, wide: bool = False, with_ts: bool = False,
-                 spread_rows: bool = False) -> DataFrame:
-    return updates_from_events(read_table(spark, sf_dir, "events", spread_rows), wide=wide, with_ts=with_ts)
+def load_updates(spark: SparkSession, sf_dir: str, wide: bool = False, with_ts: bool = False) -> DataFrame:
+    return updates_from_events(read_table(spark, sf_dir, "events"), wide=wide, with_ts=with_ts)
 
 
 # Rules that make some updates invalid, so validation and batch gating have
@@ -103,8 +80,8 @@ def dirty_updates_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def load_dirty_updates(spark: SparkSession, sf_dir: str, spread_rows: bool = False) -> DataFrame:
-    return dirty_updates_from_events(read_table(spark, sf_dir, "events", spread_rows))
+def load_dirty_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dirty_updates_from_events(read_table(spark, sf_dir, "events"))
 
 
 # The same mapping as SQL, for DuckDB oracles.
@@ -115,9 +92,10 @@ SELECT event_id AS seq,
        event_type || '_' || CAST(user_id % 10 AS VARCHAR) AS id,
        CASE WHEN event_type IN ('click','view','signup') THEN 'counter' ELSE 'gauge' END AS mtype,
        CASE WHEN event_type IN ('click','view','signup')
-            THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) END AS delta,
+            THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)
+                 + CASE WHEN event_id % 97 = 0 THEN 4611686018427387904 ELSE 0 END END AS delta,
        CASE WHEN event_type IN ('click','view','signup') THEN NULL ELSE value END AS value,
-       '' AS hash,
+       CASE WHEN event_id % 5 = 0 THEN 'h' || CAST(event_id AS VARCHAR) ELSE '' END AS hash,
        ts
 FROM events
 """

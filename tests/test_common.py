@@ -1,7 +1,7 @@
-"""Shared helpers: evaluate-once boundary and single-split spreading."""
+"""Shared helpers: evaluate-once boundary."""
 
 from conftest import rows_of
-from tallyho.operators.common import materialize, spread
+from tallyho.operators.common import materialize
 
 
 def test_materialize_keeps_rows_and_columns(spark):
@@ -12,12 +12,3 @@ def test_materialize_keeps_rows_and_columns(spark):
     # a filter on the output stays above the generator
     plan = m.filter("k > 1")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate")
-
-
-def test_spread_only_single_split_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(0, 100, 1, 1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores)
-    assert spread(many) is many
-    assert sorted(r.id for r in spread(one).collect()) == list(range(100))

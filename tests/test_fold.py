@@ -134,3 +134,27 @@ def test_inline_hash_pass_matches_separate(updates):
                  hash=["", "a", "b"][i % 3]) for i in range(60)]
     u = updates(rows)
     assert st(fo.fold_state(u, hash_pass="inline")) == st(fo.fold_state(u))
+
+
+def test_rows_of_equal_order_are_never_mixed(updates):
+    rows = [dict(seq=1, id="g", mtype="gauge", value=1.0, hash="x"), dict(seq=1, id="g", mtype="gauge", value=2.0)]
+    for first in (rows, rows[::-1]):
+        for how in ("separate", "inline"):
+            got = st(fo.fold_state(updates(first), hash_pass=how))[("g", "gauge")]
+            assert got in ((None, 1.0, "x"), (None, 2.0, ""))
+
+
+def test_merge_plan_joins_once(spark, updates):
+    """Two inputs are read once each and joined on the key they are already folded by."""
+    a = updates([dict(seq=1, id="a", mtype="counter", delta=1, hash="h")])
+    b = updates([dict(seq=2, id="a", mtype="counter", delta=2)])
+    merged = fo.merge_state(fo.fold_state(a, hash_pass="inline"), fo.fold_state(b, hash_pass="inline"))
+    assert st(merged) == {("a", "counter"): (3, None, "")}
+    plan = merged._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 1
+
+
+def test_restore_keeps_hashes(spark, updates):
+    cur = fo.fold_state(updates([dict(seq=1, id="c", mtype="counter", delta=5, hash="old"), dict(seq=2, id="k", mtype="gauge", value=1.0, hash="k")]))
+    snap = spark.createDataFrame([("c", "counter", 3, None, "new")], METRIC)
+    assert st(fo.restore_state(cur, snap)) == {("c", "counter"): (8, None, "new"), ("k", "gauge"): (None, 1.0, "k")}

@@ -37,3 +37,11 @@ def test_report_lines_escape(spark):
     df = spark.createDataFrame([("a<b>&'\"", "counter", 7, None, ""), ("n", "gauge", None, None, "")], METRIC)
     got = rows_of(lk.report_lines(df), "line")
     assert got == [("<p>a&lt;b&gt;&amp;&#39;&#34;:\t7</p>",), ("<p>n:\t</p>",)]
+
+
+def test_lookup_outcome_tells_missing_from_unknown(spark):
+    asked = [("myCounter", "counter"), ("nope", "counter"), ("myCounter", "wrong"), ("nilGauge", "gauge")]
+    got = [lk.lookup_outcome(state(spark), *a).collect() for a in asked]
+    assert [len(r) for r in got] == [1, 1, 1, 1]
+    assert [(r[0].outcome, r[0].status_text) for r in got] == [
+        ("ok", 200), ("not_found", 404), ("unknown_metric_type", 400), ("nil_number", 500)]

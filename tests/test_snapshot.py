@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from conftest import rows_of
 from tallyho.operators import merge as mg
 from tallyho.schema import METRIC
@@ -19,7 +20,7 @@ def test_missing_file_is_empty(spark):
 
 
 def test_reads_a_one_line_json_array(spark, tmp_path):
-    p = tmp_path / "metrics.json"
+    p = tmp_path / "state.json"
     p.write_text('[{"id":"cpu","type":"gauge","value":1},{"id":"hits","type":"counter","delta":5,"hash":"h"}]')
     got = rows_of(src.read_snapshot_json(spark, str(p)))
     assert got == [("cpu", "gauge", None, 1.0, ""), ("hits", "counter", 5, None, "h")]
@@ -67,10 +68,45 @@ def test_upsert_replaces_keeps_absent_and_hash(spark):
     assert rows_of(mg.upsert_snapshot(old, empty)) == rows_of(old)
 
 
-def test_table_versions_and_pointer(spark):
+def test_versions_follow_commits(spark):
     base = scratch_path(spark, "table")
-    p1 = sk.write_snapshot_table(m(spark, [("a", "counter", 1, None, "")]), base, version="1")
-    p2 = sk.write_snapshot_table(m(spark, [("a", "counter", 2, None, "")]), base, version="2")
-    assert os.path.basename(p1) == "v=1" and sk.read_pointer(spark, base) == "2"
+    p1 = sk.write_snapshot_table(m(spark, [("a", "counter", 1, None, "")]), base)
+    p2 = sk.write_snapshot_table(m(spark, [("a", "counter", 2, None, "")]), base)
+    assert sk.numbers(spark, base) == [1, 2] and sk.read_commit(spark, base).path == p2 != p1
     assert rows_of(src.read_snapshot_table(spark, base), "delta") == [(2,)]
-    assert p2.endswith("v=2")
+
+
+def test_a_write_on_an_older_version_conflicts(spark):
+    """Two upserts that start from one version: the second fails, nothing is lost silently."""
+    base = scratch_path(spark, "table")
+    sk.write_snapshot_table(m(spark, [("a", "counter", 1, None, "")]), base)
+    start = sk.read_commit(spark, base)
+    sk.write_snapshot_table(m(spark, [("a", "counter", 5, None, "")]), base, start=start)
+    with pytest.raises(sk.CommitConflict):
+        sk.write_snapshot_table(m(spark, [("b", "counter", 9, None, "")]), base, start=start)
+    assert rows_of(src.read_snapshot_table(spark, base), "id", "delta") == [("a", 5)]
+    # a commit file that appears just before ours also conflicts
+    at, path = sk.start_version(spark, base)
+    assert sk.write_text(spark, f"{base}/{sk.COMMITS}/{3:020d}", '{"dir": "v=x"}')
+    assert not sk.write_text(spark, f"{base}/{sk.COMMITS}/{3:020d}", '{"dir": "v=y"}')
+    with pytest.raises(sk.CommitConflict):
+        sk.commit(spark, base, at, path)
+
+
+def test_only_the_last_versions_are_kept(spark):
+    base = scratch_path(spark, "table")
+    for i in range(4):
+        sk.write_snapshot_table(m(spark, [("a", "counter", i, None, "")]), base, keep=2)
+    assert sk.numbers(spark, base) == [3, 4]
+    assert len([d for d in os.listdir(base) if d.startswith("v=")]) == 2
+    assert rows_of(src.read_snapshot_table(spark, base), "delta") == [(3,)]
+
+
+def test_a_cluster_needs_a_named_folder():
+    from types import SimpleNamespace as S
+
+    from tallyho.session import shared_dir
+    conf = S(get=lambda key, default=None: default)
+    ctx = S(getConf=lambda: conf, master="spark://host:7077", applicationId="app", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(S(sparkContext=ctx, conf=S(get=lambda key, default=None: default)))

@@ -31,9 +31,9 @@ def test_text_cases(spark):
 
 def test_number_parsing(spark):
     ints = {"42": 42, "-7": -7, "abc": None, "3.14": None, " 1": None, "1d": None,
-            "9223372036854775807": 2**63 - 1, "9223372036854775808": None}
+            "9223372036854775807": 2**63 - 1, "9223372036854775808": None, "12\n": None}
     floats = {"3.14": 3.14, "42": 42.0, "-1.5": -1.5, "abc": None, "1e400": None, "1d": None,
-              " 1": None, "1e-3": 0.001, "Inf": float("inf"), "-infinity": float("-inf")}
+              " 1": None, "1.5\n": None, "inf\n": None, "1e-3": 0.001, "Inf": float("inf"), "-infinity": float("-inf")}
     c = text(spark, [("counter", "x", s) for s in ints])
     assert {r.raw_value: r.delta for r in c.collect()} == ints
     g = text(spark, [("gauge", "x", s) for s in floats])

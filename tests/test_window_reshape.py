@@ -65,12 +65,38 @@ def test_delivery_messages(spark):
             (2, 1, "network", None, "refused"), (2, 2, "http", 200, None),
             (3, 1, "http", 400, None), (3, 2, "http", 200, None),
             (4, 1, "http", 500, None), (4, 2, "http", 503, None), (4, 3, "network", None, "x"),
-            (4, 4, "http", 500, None), (4, 5, "http", 200, None)]
+            (4, 4, "http", 500, None), (4, 5, "http", 200, None),
+            (5, 5, "http", 502, None),
+            (6, 1, "network", None, "x"), (6, 2, "cancelled", None, "context canceled"), (6, 3, "http", 200, None),
+            (7, 1, "network", None, "x"), (7, 2, "cancelled", None, None)]
     df = spark.createDataFrame(rows, "report_id long, attempt_no int, kind string, http_status int, error string")
     got = {r.report_id: (r.succeeded, r.sends, r.message) for r in dv.delivery_rollup(df).collect()}
     assert got[1] == (True, 1, None)
     assert got[2] == (True, 2, "retry succeeded after 1 attempts: attempt 1: network error: refused")
     assert got[3] == (False, 1, "retry failed after 1 attempts: attempt 1: unexpected response status code 400")
-    assert got[4][0:2] == (False, 4)
-    assert got[4][2].startswith("retry failed after 4 attempts: attempt 1: retriable http status: "
+    assert got[4][0:2] == (True, 5)
+    assert got[4][2].startswith("retry succeeded after 4 attempts: attempt 1: retriable http status: "
                                 "unexpected response status code 500; attempt 2:")
+    # attempts are taken as logged, whatever their numbers, and a cancelled one keeps its place
+    assert got[5] == (False, 1, "retry failed after 1 attempts: attempt 1: retriable http status: unexpected response status code 502")
+    assert got[6] == (False, 2, "retry failed after 2 attempts: attempt 1: network error: x; attempt 2: context canceled")
+    assert got[7][2].endswith("attempt 2: cancelled")
+    over = {r.report_id: r.over_limit for r in dv.delivery_rollup(df, max_sends=4).collect()}
+    assert over[4] and not any(v for k, v in over.items() if k != 4)
+
+
+def test_echo_keeps_the_hash_and_orders_by_batch_and_position(spark):
+    rows = [(2, 0, "c", "counter", 1, None, "b"), (1, 1500, "c", "counter", 10, None, ""), (1, 2, "g", "gauge", None, 1.5, "h")]
+    df = spark.createDataFrame(rows, "batch_id long, pos long, id string, mtype string, delta long, value double, hash string")
+    got = rows_of(wi.batch_echo(df, range_size=1, order=("batch_id", "pos")), "batch_id", "delta", "value", "hash")
+    assert got == [(1, 10, None, ""), (1, None, 1.5, "h"), (2, 11, None, "b")]
+
+
+def test_a_sample_in_one_pass(spark):
+    df = spark.createDataFrame([(1, {"A": 1.0}, {"P": 2}, [0.5, 0.25]), (2, None, None, None)],
+                               "seq long, gauge map<string,double>, counter map<string,bigint>, pct array<double>")
+    out = rs.sample_to_rows(df, indexed="pct", prefix="cpu")
+    assert rows_of(out, "seq", "id", "mtype", "delta", "value") == sorted(
+        [(1, "A", "gauge", None, 1.0), (1, "P", "counter", 2, None), (1, "cpu1", "gauge", None, 0.5), (1, "cpu2", "gauge", None, 0.25)], key=repr)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate") <= 2 and plan.count("Scan") == 1
