@@ -3,7 +3,7 @@ but one of each group of near-duplicates; what stays is packed for training.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before
 kept; all but the last return the columns they were given, whatever their
-names (the rows travel as one struct beside the id and the text). Stages give
+names. Stages give
 defined results on null ids, texts, languages and labels, on empty tables and
 repeated rows (see the operators' own docstrings).
 """
@@ -17,15 +17,14 @@ from tallyho.llm import jaccard_groups, langid, packing, toxicity
 from tallyho.llm.common import saved, table
 
 
-def _whole(docs: DataFrame) -> DataFrame:
-    """(_row, doc_id, text): no column of ``docs`` can clash with an operator's."""
-    return docs.select(F.struct("*").alias("_row"), "doc_id", "text")
-
-
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that toxicity (segments of token log-odds) does not predict as toxic."""
+    """Documents that toxicity (segments of token log-odds) does not predict as toxic.
+    Without labelled documents of both kinds nothing is learned and all stay."""
     model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return toxicity.score(_whole(docs), model, keep=["_row"]).where("predicted = 0").select("_row.*")
+    if not model.odds:
+        return docs
+    found = toxicity.score(docs.select(F.struct("*").alias("row"), "text"), model, keep=["row"])
+    return found.where("predicted = 0").select("row.*")
 
 
 def language_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,13 +33,13 @@ def language_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     model = langid.train(docs.select("doc_id", "text", "lang"))
     if not model.langs:
         return docs
-    found = langid.predict(_whole(docs), model, keep=["_row"])
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous")).select("_row.*")
+    found = langid.predict(docs.select(F.struct("*").alias("row"), "text"), model, keep=["row"])
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous")).select("row.*")
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a 5-gram Jaccard similarity of 0.8 or more."""
-    return jaccard_groups.keep_one(_whole(docs), n=5, percent=80).select("_row.*")
+    return jaccard_groups.keep_one(docs, n=5, percent=80)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,7 +45,8 @@ CELL = 2048
 SEEDS = 16_384
 #: Nodes of a leaf of the tree.
 LEAF = 16
-_SLACK = 1e-9
+#: More than the rounding error of a distance, which is largest (2e-8) near 0.
+_SLACK = 1e-7
 _BLOCK = 128
 
 

@@ -320,10 +320,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int
     best = (found.where("component IS NOT NULL").groupBy("component")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")).alias("f")).select("f.doc_id", "f.key"))
     alone = found.where("component IS NULL").select("doc_id", "key").distinct()
-    stay = best.withColumn("_once", F.lit(True)).union(alone.withColumn("_once", F.lit(False)))
-    stay = stay.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_once")
-    marked = docs.withColumn("_text_key", F.xxhash64(text))
-    kept = marked.join(stay, (F.col("_text_key") == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
-    order = Window.partitionBy("_key", "_id").orderBy(F.lit(0))
-    kept = kept.withColumn("_nth", F.row_number().over(order)).where("NOT _once OR _nth = 1")
-    return kept.select(*docs.columns)
+    stay = best.withColumn("once", F.lit(True)).union(alone.withColumn("once", F.lit(False)))
+    # the rows travel as one struct, so that none of their names can clash
+    marked = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"))
+    kept = marked.join(stay, (F.col("text_key") == F.col("key")) & F.col("id").eqNullSafe(F.col("doc_id")))
+    order = Window.partitionBy("text_key", "id").orderBy(F.lit(0))
+    kept = kept.withColumn("nth", F.row_number().over(order)).where("NOT once OR nth = 1")
+    return kept.select("row.*")

@@ -143,7 +143,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     small_batches(docs.sparkSession)
     added = ["lang_pred", "score", "ambiguous"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))  # no name can clash
+    schema = rows.select("_row").schema.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.code, model.w, model.bias, model.trust))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,9 +165,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
                 lang, score, vague = zip(*out)
                 yield pa.RecordBatch.from_arrays(
                     [*piece.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(vague, pa.bool_())],
-                    [*keep, *added])
+                    ["_row", *added])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select("_row.*", *added)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

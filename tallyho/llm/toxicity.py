@@ -231,7 +231,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     small_batches(docs.sparkSession)
     added = ["score", "predicted", "passages"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    schema = docs.select(*keep).schema.add("score", "double").add("predicted", "integer").add("passages", PASSAGES)
+    rows = docs.select(F.struct(*keep).alias("_row"), F.col(text).alias("_text"))  # no name can clash
+    schema = rows.select("_row").schema.add("score", "double").add("predicted", "integer").add("passages", PASSAGES)
     shared = docs.sparkSession.sparkContext.broadcast((model.odds, model.lam, model.log_k, model.slope, model.at))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,9 +243,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(p, pa.float64()), pa.array([int(x >= 0.5) for x in p], pa.int32()),
                  pa.array([[dict(zip(("first", "last", "score"), x)) for x in segs] for _, segs in found], _SEGMENTS)],
-                [*keep, *added])
+                ["_row", *added])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select("_row.*", *added)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
