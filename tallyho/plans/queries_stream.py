@@ -79,13 +79,13 @@ def _dumps(spark, base, least):
     """The last dump, whether every key stays in all later dumps with an order that
     never goes back (``steady``), and whether there were as many dumps as expected."""
     d = fs.read_dumps(spark, base)
-    n = d.agg(F.countDistinct("dump").alias("n"), F.max("dump").alias("last"))
+    n, last = d.agg(F.countDistinct("dump")).scalar(), d.agg(F.max("dump")).scalar()
     by_key = d.groupBy("id", "mtype").agg(
         F.expr("count(DISTINCT dump) = max(dump) - min(dump) + 1 AS no_gap"),
         F.expr("max(dump) AS until"),
         F.expr("transform(array_sort(collect_list(struct(dump, last_seq))), x -> x.last_seq) AS seqs"))
-    by_key = by_key.join(F.broadcast(n)).selectExpr(  # n: one row
-        "id", "mtype", "no_gap AND until = last AND seqs = array_sort(seqs) AS steady", f"n >= {least} AS several")
+    steady = F.expr("no_gap AND seqs = array_sort(seqs)") & (F.col("until") == last)
+    by_key = by_key.select("id", "mtype", steady.alias("steady"), (n >= least).alias("several"))
     return fs.read_state(spark, base).join(by_key, ["id", "mtype"])
 
 
