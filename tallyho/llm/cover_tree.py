@@ -256,5 +256,21 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector: str = "embe
                       F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+n AS (SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM v),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+r(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+m AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+k AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT m.x AS vec_id, coalesce(k.n_links, 0) AS n_links, m.component_id, m.x = m.component_id AS kept
+FROM m LEFT JOIN k ON k.x = m.x
+"""
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))

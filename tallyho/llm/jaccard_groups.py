@@ -312,6 +312,21 @@ def query(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM w),
+t AS (SELECT doc_id, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM t a JOIN t b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y WHERE 100 * c >= 90 * (len(a.s) + len(b.s) - c)),
+r(x, y) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+m AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.component_id FROM s JOIN m ON m.x = s.doc_id
+"""
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without all but one document of each component: the one of least id
     stays (of equal ids that of least text hash, of equal rows one). Documents

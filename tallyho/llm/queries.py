@@ -18,5 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_jaccard_groups": jaccard_groups.ORACLE,
+    "op7_cover_tree": cover_tree.ORACLE,
     "op9_url_rules": url_rules.ORACLE,
 }
