@@ -108,8 +108,7 @@ def fit(rows: list[tuple[str, str]]) -> Model:
                 x.append(features(t))
                 y.append(at[lang])
     x, y = np.array(x, np.float32), code[np.array(y)]
-    n = np.maximum((y[:, :, None] == np.array([1, -1])).sum(axis=0), 1)
-    bias = np.zeros(code.shape[1], np.float32)
+    n = np.maximum((y[:, :, None] == np.array([1, -1])).sum(axis=0), 1)  # texts on either side of each bit
     gram = (x @ x.T).astype(np.float64) + 1.0  # the 1: a bias feature
     gram[np.diag_indices(len(x))] += RIDGE * len(x)
     alpha = np.linalg.solve(gram, y.astype(np.float64))

@@ -57,10 +57,10 @@ class Codec:
         self.id_of = {self.pieces[i]: i for i in ids if not special[i]}
         # merge ranks are whole numbers from 0 down; log probabilities are not
         self.bpe = all(self.score[i] == int(self.score[i]) for i in self.id_of.values())
-        known = " a b"
         self.plain = (not any(lib.is_unused(i) for i in ids) and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.id_of)
                       and len(set(self.id_of)) == sum(not s for s in special))
-        self.identity = lib.normalize(f"{known}  Ａﬁ ") == SPACE + f"{known}  Ａﬁ ".replace(" ", SPACE)
+        probe = " a b  Ａﬁ "
+        self.identity = lib.normalize(probe) == SPACE + probe.replace(" ", SPACE)
         # merge order: characters first, then the merges by rank
         self.order = [0 if len(p) == 1 else 1 - int(s) for p, s in zip(self.pieces, self.score)] if self.bpe else []
         self.halves: dict[int, tuple[int, int]] = {}  # the last merge of a piece
