@@ -12,8 +12,9 @@ pieces that end there (its output links), and each relaxes that position.
   as they are); exactly one does, so the pass gives the merges' own result.
 
 Characters without a piece become their bytes' pieces (or the unknown piece).
-Words are remembered in tables of bounded size. A model with user-defined or
-unused pieces, or with a piece across a space mark, goes through the library.
+Words are remembered in tables of bounded size. A model with unused pieces, or
+with a piece across a space mark, goes through the library; models with
+user-defined pieces are not supported.
 
 Defined cases: a null text is encoded as empty, and so are null ids decoded;
 an empty table gives an empty result; texts are whole, however long; repeated
