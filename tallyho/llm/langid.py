@@ -39,7 +39,7 @@ SAMPLE = 2000
 WIDTH = 4096
 RIDGE = 1e-3
 #: Leads (difference of the two least mean losses) under this are ambiguous.
-AMBIGUOUS = 0.1
+AMBIGUOUS = 0.02
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 _SNIPPET = 60
@@ -92,6 +92,26 @@ class Model:
         return [(self.langs[b], float(s), bool(d < AMBIGUOUS)) for b, s, d in zip(best, score, lead)]
 
 
+def ridge(x: np.ndarray, y: np.ndarray, rounds: int = 200) -> np.ndarray:
+    """Dual weights of ridge regression with a bias, (xx' + 1 + ridge) a = y, by
+    conjugate gradients: no matrix but ``x`` is held."""
+    apply = lambda v: x @ (x.T @ v) + v.sum(axis=0) + np.float32(RIDGE * len(x)) * v
+    a, r = np.zeros_like(y), y.copy()
+    p, rr = r.copy(), (r * r).sum(axis=0)
+    start = rr.copy()
+    for _ in range(rounds):
+        ap = apply(p)
+        step = rr / np.maximum((p * ap).sum(axis=0), 1e-30)
+        a += step * p
+        r -= step * ap
+        now = (r * r).sum(axis=0)
+        if (now <= 1e-8 * start).all():
+            break
+        p = r + now / np.maximum(rr, 1e-30) * p
+        rr = now
+    return a
+
+
 def fit(rows: list[tuple[str, str]]) -> Model:
     """``rows``: (language, text) of the sample. Each text also trains by a short
     snippet, so that short texts are met in training."""
@@ -100,19 +120,17 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     if len(langs) < 2:
         return Model(langs, code, np.zeros((WIDTH, 0), np.float32), np.zeros(0), np.zeros(0))
     at = {lang: i for i, lang in enumerate(langs)}
-    x, y = [], []
+    x, y = np.empty((2 * len(rows), WIDTH), np.float32), []
     for lang, text in sorted(rows):
         start = crc32(text.encode("utf-8", "surrogatepass")) % max(1, len(text) - _SNIPPET)
         for t in (text, text[start:start + _SNIPPET]):
             if LETTER.search(t):
-                x.append(features(t))
+                x[len(y)] = features(t)
                 y.append(at[lang])
-    x, y = np.array(x, np.float32), code[np.array(y)]
+    x, y = x[:len(y)], code[np.array(y, int)]
     n = np.maximum((y[:, :, None] == np.array([1, -1])).sum(axis=0), 1)  # texts on either side of each bit
-    gram = (x @ x.T).astype(np.float64) + 1.0  # the 1: a bias feature
-    gram[np.diag_indices(len(x))] += RIDGE * len(x)
-    alpha = np.linalg.solve(gram, y.astype(np.float64))
-    w, bias = (x.T @ alpha).astype(np.float32), alpha.sum(axis=0).astype(np.float32)
+    alpha = ridge(x, y)
+    w, bias = x.T @ alpha, alpha.sum(axis=0)
     margin = np.clip((x @ w + bias) * y, -1, 1).mean(axis=0)
     trust = np.maximum(margin, 0.05) * np.minimum(1, n.min(axis=1) / 10)
     return Model(langs, code, w, bias, (trust / trust.mean()).astype(np.float32))

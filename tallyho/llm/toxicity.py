@@ -117,15 +117,13 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * x + self.at, -500, 500))))
 
 
-def log_odds(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Features with a z-score of ``Z`` or more, and their log-odds."""
-    out, strength = {}, PRIOR * (n_toxic + n_clean)
-    for name, t, c in counts:
-        a = PRIOR * (t + c)  # the pooled frequency times the strength
-        odds = np.log((t + a) / (n_toxic + strength - t - a)) - np.log((c + a) / (n_clean + strength - c - a))
-        if odds > 0 and odds / np.sqrt(1 / (t + a) + 1 / (c + a)) >= Z:
-            out[name] = float(odds)
-    return out
+def log_odds(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """(f, t, odds) of the features (f, t, c) with a z-score of ``Z`` or more."""
+    strength = PRIOR * (n_toxic + n_clean)
+    a = f"{PRIOR} * (t + c)"  # the pooled frequency times the strength
+    odds = (f"ln((t + {a}) / ({n_toxic + strength} - t - {a})) - ln((c + {a}) / ({n_clean + strength} - c - {a}))")
+    rows = counts.where(f"t >= 3 AND t <= {n_toxic} AND c <= {n_clean}").selectExpr("f", "t", "c", f"{odds} AS odds")
+    return rows.where(f"odds > 0 AND odds / sqrt(1 / (t + {a}) + 1 / (c + {a})) >= {Z}").select("f", "t", "odds")
 
 
 def karlin_lambda(values: np.ndarray, shares: np.ndarray) -> float:
@@ -179,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         for b in batches:
             for label, t in zip(b.column(0).to_pylist(), b.column(1)):
                 words = set(WORD.findall((t.as_py() or "").lower()))
-                (toxic if label else clean).update({f for w in words for f in word_features(w)} | {"n"})
+                (toxic if label else clean).update({f for w in words for f in word_features(w)})
             if len(toxic) + len(clean) > 400_000:
                 yield counted(toxic, clean)
                 toxic, clean = Counter(), Counter()
@@ -191,34 +189,37 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
             [pa.array(names, pa.string()), pa.array([toxic[f] for f in names], pa.int64()),
              pa.array([clean[f] for f in names], pa.int64())], ["f", "t", "c"])
 
-    counts = (sample.mapInArrow(count, "f string, t long, c long").groupBy("f")
-              .agg(F.sum("t").alias("t"), F.sum("c").alias("c")).where("t >= 3")
-              .orderBy(F.desc("t"), "f").limit(FEATURES + 1).collect())
     totals = sample.agg(F.coalesce(F.sum("_toxic"), F.lit(0)).alias("t"), F.count(F.lit(1)).alias("n")).first()
     n_toxic, n_clean = totals["t"], totals["n"] - totals["t"]
     if not n_toxic or not n_clean:
         share = min(max(prior, 0.0), 1.0)
         return Model({}, at=-500.0 if share <= 0 else 500.0 if share >= 1 else float(np.log(share / (1 - share))))
-    odds = log_odds([(r["f"], r["t"], r["c"]) for r in counts if r["f"] != "n"], n_toxic, n_clean)
+    counts = sample.mapInArrow(count, "f string, t long, c long").groupBy("f").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+    odds = {r["f"]: r["odds"] for r in log_odds(counts, n_toxic, n_clean).orderBy(F.desc("t"), "f").limit(FEATURES).collect()}
     plain = Model(odds)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [plain.passages(t.as_py()) for t in b.column(1)]
+            found, hits = [], []
+            for t in b.column(1):
+                found.append(plain.passages(t.as_py()))
+                hits.append(sorted(Counter(round(plain.scores[w], 2) for w in (t.as_py() or "").split() if plain.scores[w] > 0).items()))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([m for m, _ in found], pa.int64()),
                  pa.array([[s for _, _, s in segs] for _, segs in found], pa.list_(pa.float64())),
-                 pa.array([[plain.scores[w] for w in (t.as_py() or "").split() if plain.scores[w] > 0] for t in b.column(1)],
-                          pa.list_(pa.float64()))], ["toxic", "m", "s", "hits"])
-
-    rows = sample.mapInArrow(scan, "toxic int, m long, s array<double>, hits array<double>").collect()  # the sample's size
-    clean = [r for r in rows if not r["toxic"]]
-    hits = np.array([h for r in clean for h in r["hits"]])
-    tokens = max(1, sum(r["m"] for r in clean))
-    values = np.append(hits, -NEUTRAL)
-    shares = np.append(np.full(len(hits), 1 / tokens), 1 - len(hits) / tokens)
+                 pa.array(hits, pa.map_(pa.float64(), pa.int64()))], ["toxic", "m", "s", "hits"])
+
+    # of clean texts also how often each positive score occurs: only the sums come back
+    found = saved(sample.mapInArrow(scan, "toxic int, m long, s array<double>, hits map<double,bigint>"), "toxicity-scan")
+    hits = (found.where("toxic = 0").select(F.explode("hits").alias("s", "n")).groupBy("s").agg(F.sum("n").alias("n"))
+            .orderBy("s").collect())  # scores of two decimals
+    tokens = max(1, found.where("toxic = 0").agg(F.sum("m")).first()[0] or 0)
+    values = np.array([r["s"] for r in hits] + [-NEUTRAL])
+    shares = np.array([r["n"] / tokens for r in hits] + [0.0])
+    shares[-1] = 1 - shares.sum()
     lam = karlin_lambda(values, shares)
-    log_k = float(np.mean([lam * max(r["s"], default=0.0) - np.log(max(r["m"], 1)) for r in clean]) - np.euler_gamma)
+    rows = found.select("toxic", "m", "s").collect()  # numbers of the sample's rows
+    log_k = float(np.mean([lam * max(r["s"], default=0.0) - np.log(max(r["m"], 1)) for r in rows if not r["toxic"]]) - np.euler_gamma)
     model = Model(odds, lam, log_k)
     x = np.array([model.significance(r["m"], [(0, 0, s) for s in r["s"]]) for r in rows])
     model.slope, model.at = logistic(x, np.array([r["toxic"] for r in rows], float), prior)
