@@ -21,11 +21,10 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +34,8 @@ from .token_counts import BEYOND, byte_letters
 
 WIDTH = 2048
 END_ID = 1
-#: Words, and pre-tokens, that a worker remembers, twice at most.
-REMEMBERED = 150_000
+#: Words that a worker remembers, twice at most; and half as many pre-tokens.
+REMEMBERED = 300_000
 #: Rows of one bucket of the numbering, on average, at most.
 BUCKET_ROWS = 50_000
 
@@ -64,15 +63,15 @@ class WordEncoder:
         # each character below U+0250 as the byte letters of its UTF-8 form
         self.letters = {c: "".join(letters[b] for b in chr(c).encode("utf-8")) for c in range(0x250)}
         self.words = Memo(self.word, REMEMBERED)
-        self.pres = Memo(self.pre, REMEMBERED)
+        self.pres = Memo(self.pre, REMEMBERED // 2)
 
-    def by_library(self, text: str) -> tuple[int, ...]:
-        return tuple(self.whole.encode(text, add_special_tokens=False).ids)
+    def by_library(self, text: str) -> bytes:
+        return packed(self.whole.encode(text, add_special_tokens=False).ids)
 
-    def pre(self, pre: str) -> tuple[int, ...]:
-        return tuple([t.id for t in self.merge(pre.translate(self.letters))])
+    def pre(self, pre: str) -> bytes:
+        return packed([t.id for t in self.merge(pre.translate(self.letters))])
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def word(self, word: str) -> bytes:
         low = word.lower()
         # (a letter's lower case may be beyond what the written-out classes cover)
         if not word.isascii() and (BEYOND.search(word) or BEYOND.search(low)) or "<" in word and any(s in word for s in self.special):
@@ -82,14 +81,19 @@ class WordEncoder:
             return self.pres[low]
         if low[-1] in MARKS and low[:-1].isalpha():
             return self.pres[low[:-1]] + self.pres[low[-1]]
-        return tuple(chain.from_iterable([self.pres[p] for p in PRE_TOKEN.findall(low)]))
+        return b"".join([self.pres[p] for p in PRE_TOKEN.findall(low)])
 
-    def ids(self, text: str | None) -> np.ndarray:
+    def encode(self, text: str | None) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
         if not text:
-            return np.empty(0, np.uint32)
+            return b""
         if any(s in text for s in SEPARATORS):
-            return np.array(self.by_library(text), np.uint32)
-        return np.fromiter(chain.from_iterable(map(self.words.__getitem__, text.split())), np.uint32)
+            return self.by_library(text)
+        return b"".join(map(self.words.__getitem__, text.split()))
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def piece_lengths(n: int, width: int = WIDTH) -> list[int]:
@@ -103,6 +107,7 @@ def cut(docs: DataFrame, id_col: str, text: str, path: str, width: int = WIDTH,
     if width < 1 or width & (width - 1):
         raise ValueError("the width must be a power of two")
     small_batches(docs.sparkSession)
+    end = packed([end_id])
     names = ["start", "length", "ids_crc32", "doc_tokens"]
     schema = docs.select(F.col(id_col).alias("doc_id")).schema
     for name in names:
@@ -113,11 +118,10 @@ def cut(docs: DataFrame, id_col: str, text: str, path: str, width: int = WIDTH,
         for b in batches:
             row, out = [], ([], [], [], [])
             for i, t in enumerate(b.column(1)):
-                ids = np.append(encoder.ids(t.as_py()), np.uint32(end_id)).astype("<u4")
-                raw, at = memoryview(ids.tobytes()), 0
-                for n in piece_lengths(len(ids), width):
+                raw, at = memoryview(encoder.encode(t.as_py()) + end), 0
+                for n in piece_lengths(len(raw) // 4, width):
                     row.append(i)
-                    for to, x in zip(out, (at, n, zlib.crc32(raw[4 * at:4 * (at + n)]), len(ids))):
+                    for to, x in zip(out, (at, n, zlib.crc32(raw[4 * at:4 * (at + n)]), len(raw) // 4)):
                         to.append(x)
                     at += n
             yield pa.RecordBatch.from_arrays(
