@@ -3,9 +3,9 @@
 Training counts, over labelled documents, in how many toxic and clean ones
 each word and each word beginning (4 to 6 letters) occurs. Their log-odds with
 an informative Dirichlet prior (the pooled frequencies, as strong as a share
-``PRIOR`` of the documents) score a token when the z-score is at least ``Z``; a word takes the
-longest of its features that does, so unseen forms score by their stem. Other
-tokens cost ``NEUTRAL``. A linear scan (Ruzzo and Tompa) finds every maximal
+``PRIOR`` of the documents) score a token when they are ``LEAST`` and their
+z-score ``Z`` or more; a word takes the longest of its features that does, so
+unseen forms score by their stem. Other tokens cost ``NEUTRAL``. A linear scan (Ruzzo and Tompa) finds every maximal
 scoring segment of a text, that is every toxic passage.
 
 Segments are calibrated as in local alignment: lambda solves
@@ -48,6 +48,9 @@ FEATURES = 50_000
 #: Strength of the prior as a share of the training documents.
 PRIOR = 0.1
 Z = 3.0
+#: Least log-odds of a feature: with many documents even small differences, such as
+#: longer texts on one side, have large z-scores.
+LEAST = 1.5
 NEUTRAL = 0.1
 STEMS = (4, 5, 6)
 #: Tokens whose score a worker remembers, twice at most.
@@ -118,12 +121,13 @@ class Model:
 
 
 def log_odds(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
-    """(f, t, odds) of the features (f, t, c) with a z-score of ``Z`` or more."""
+    """(f, t, odds) of the features (f, t, c) of ``LEAST`` log-odds and a
+    z-score of ``Z`` or more."""
     strength = PRIOR * (n_toxic + n_clean)
-    a = f"{PRIOR} * (t + c)"  # the pooled frequency times the strength
-    odds = (f"ln((t + {a}) / ({n_toxic + strength} - t - {a})) - ln((c + {a}) / ({n_clean + strength} - c - {a}))")
+    a = f"{PRIOR}D * (t + c)"  # the pooled frequency times the strength (doubles: decimals would lose digits)
+    odds = (f"ln((t + {a}) / ({n_toxic + strength}D - t - {a})) - ln((c + {a}) / ({n_clean + strength}D - c - {a}))")
     rows = counts.where(f"t >= 3 AND t <= {n_toxic} AND c <= {n_clean}").selectExpr("f", "t", "c", f"{odds} AS odds")
-    return rows.where(f"odds > 0 AND odds / sqrt(1 / (t + {a}) + 1 / (c + {a})) >= {Z}").select("f", "t", "odds")
+    return rows.where(f"odds >= {LEAST}D AND odds / sqrt(1 / (t + {a}) + 1 / (c + {a})) >= {Z}D").select("f", "t", "odds")
 
 
 def karlin_lambda(values: np.ndarray, shares: np.ndarray) -> float:
