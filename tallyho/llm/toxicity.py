@@ -57,6 +57,8 @@ STEMS = (4, 5, 6)
 REMEMBERED = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 _CAP = 40.0
+#: Log significance of a text without a toxic passage.
+NO_PASSAGE = -10.0
 PASSAGES = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType()),
                                      T.StructField("score", T.DoubleType())]))
 _SEGMENTS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
@@ -112,8 +114,10 @@ class Model:
         return len(tokens), maximal_segments(np.fromiter(map(scores.__getitem__, tokens), np.float64, len(tokens)))
 
     def significance(self, m: int, segments: list[tuple[int, int, float]]) -> float:
+        if not segments:
+            return NO_PASSAGE  # however short the text is
         base = self.log_k + np.log(max(m, 1))
-        values = sorted((self.lam * s - base for _, _, s in segments), reverse=True) or [-base]
+        values = sorted((self.lam * s - base for _, _, s in segments), reverse=True)
         return float(np.clip(values[0] + sum(v for v in values[1:] if v > 0), -_CAP, _CAP))
 
     def probability(self, x: float) -> float:
