@@ -287,7 +287,11 @@ def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: i
     pairs = (pairs.join(of("one"), "one").join(of("other"), "other")
              .where("NOT (one_lead = other_lead AND one_whole AND other_whole)").select("one", "other"))
     pairs = saved(pairs, "pairs")
-    queries = pairs.join(sets.select(F.col("grp").alias("one"), "node", "tokens"), "one").selectExpr("one", "other", "node", "tokens", "true AS query")
+    # a query of a pair is a set that shares a signature with the other group
+    held = posts.join(member, "node").select("sig", "node", F.col("grp").alias("one"))
+    asks = (held.join(at.withColumnRenamed("grp", "other"), "sig").where("one < other").select("one", "other", "node").distinct()
+            .join(pairs, ["one", "other"], "left_semi"))
+    queries = asks.join(sets.select("node", "tokens"), "node").selectExpr("one", "other", "node", "tokens", "true AS query")
     # ids are 64-bit: no nulls beside them, which pandas would turn into floating-point numbers
     against = pairs.join(unions.withColumnRenamed("grp", "other"), "other").selectExpr("one", "other", "0L AS node", "tokens", "false AS query")
     asked = saved(queries.union(against).groupBy("one", "other").applyInPandas(qualify(percent), "one long, other long, node long"), "asked")
