@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cover_tree, digest, jaccard_groups, langid, packing, pieces, shards, token_counts, toxicity, url_rules
+from . import cover_tree, digest, jaccard_groups, langid, licenses, packing, pieces, shards, token_counts, toxicity, url_rules
 
 QUERIES = {
     "op1_jaccard_groups": jaccard_groups.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxic_segments": toxicity.query,
     "op9_url_rules": url_rules.query,
     "op10_token_counts": token_counts.query,
+    "op13_license_scan": licenses.query,
 }
 
 ORACLES = {
