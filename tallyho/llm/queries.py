@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import conversations, cover_tree, digest, jaccard_groups, langid, licenses, packing, pieces, shards, token_counts, toxicity, url_rules
+from . import conversations, cover_tree, digest, jaccard_groups, langid, licenses, packing, pieces, shards, spelling, token_counts, toxicity, url_rules
 
 QUERIES = {
     "op1_jaccard_groups": jaccard_groups.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_url_rules": url_rules.query,
     "op10_token_counts": token_counts.query,
     "op11_conversation_repair": conversations.query,
+    "op12_spelling_variants": spelling.query,
     "op13_license_scan": licenses.query,
 }
 
@@ -24,4 +25,5 @@ ORACLES = {
     "op7_cover_tree": cover_tree.ORACLE,
     "op9_url_rules": url_rules.ORACLE,
     "op11_conversation_repair": conversations.ORACLE,
+    "op12_spelling_variants": spelling.ORACLE,
 }
