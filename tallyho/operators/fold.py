@@ -28,7 +28,7 @@ from ..schema import COUNTER, GAUGE, METRIC, NIL_DELTA, NIL_METRIC, NIL_VALUE, S
 
 
 KEY = ("id", "mtype")
-_DELTA = f"CASE WHEN mtype = '{COUNTER}' THEN {combine_sql([f'd_l{i}' for i in range(LIMBS)])} ELSE last_delta END"
+DELTA_SQL = f"CASE WHEN mtype = '{COUNTER}' THEN {combine_sql([f'd_l{i}' for i in range(LIMBS)])} ELSE last_delta END"
 
 
 def fold_state(updates: DataFrame, keep_seq: bool = False, hash_pass: str = "separate",
@@ -63,14 +63,14 @@ def fold_state(updates: DataFrame, keep_seq: bool = False, hash_pass: str = "sep
         out = u.groupBy(*keys).agg(*sums, F.expr("max(_at) AS last_seq"),
                                    F.expr("max_by(struct(delta AS last_delta, value, hash), _at) AS _row"))
         out = out.selectExpr("* EXCEPT (_row)", "_row.*")
-        return out.selectExpr(*keys, f"{_DELTA} AS delta", "value", "hash", *keep)
+        return out.selectExpr(*keys, f"{DELTA_SQL} AS delta", "value", "hash", *keep)
     core = u.groupBy(*keys).agg(*sums, F.expr("max_by(delta, _at) AS last_delta"),
                                 F.expr("max_by(value, _at) AS value"), F.expr("max(_at) AS last_seq"))
     hashed = (u.filter("hash != ''").groupBy(*keys)
                .agg(F.expr("max_by(struct(_at, delta, value, hash), _at) AS _h")))
     same = "_h._at = last_seq AND _h.delta <=> last_delta AND _h.value <=> value"
     return core.join(hashed, list(keys), "left").selectExpr(
-        *keys, f"{_DELTA} AS delta", "value", f"CASE WHEN {same} THEN _h.hash ELSE '' END AS hash", *keep)
+        *keys, f"{DELTA_SQL} AS delta", "value", f"CASE WHEN {same} THEN _h.hash ELSE '' END AS hash", *keep)
 
 
 def counter_totals(updates: DataFrame) -> DataFrame:

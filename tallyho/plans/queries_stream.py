@@ -15,6 +15,7 @@ from ..session import scratch_path
 from ..sources import payloads as pl
 from ..sources.events import read_table, updates_from_events
 from ..streaming import fold_stream as fs
+from ..streaming import keyed_stream as ks
 from .queries_core import FOLD_SQL
 from .queries_ingest import _batch_bodies
 from .queries_state import SPLIT_TS
@@ -63,10 +64,22 @@ def _run(spark, sf_dir, trigger=None, where=None, base=None, interval_s=None, ke
     return base
 
 
+def _run_keyed(spark, sf_dir, where=None, base=None):
+    e = read_table(spark, sf_dir, "events")
+    if where is not None:
+        e = e.filter(where)
+    base = base or scratch_path(spark, "stream-state")
+    rows = updates_from_events(_stream(spark, _land(spark, e, "events-stream", "ts")))
+    trigger = {"availableNow": True}
+    _finish(ks.start_keyed_stream(rows, base, scratch_path(spark, "stream-ckpt"), trigger=trigger), trigger)
+    return base
+
+
 @query("stream_fold", FOLD_SQL)
 def q_stream_fold(spark, sf_dir):
-    """One version is kept: a location does not grow with its micro-batches."""
-    return fs.read_state(spark, _run(spark, sf_dir, trigger={"availableNow": True}, keep=1))
+    """Totals in Spark's state store; a micro-batch writes the keys it touched, and the
+    state is merged when it is read."""
+    return ks.read_state(spark, _run_keyed(spark, sf_dir))
 
 
 DUMPS_SQL = f"""
@@ -107,9 +120,9 @@ def q_stream_periodic_dump(spark, sf_dir):
 def q_stream_restore(spark, sf_dir):
     """A second stream (new checkpoint) resumes from the first one's state."""
     cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    base = _run(spark, sf_dir, trigger={"availableNow": True}, where=F.col("ts") < cut)
-    _run(spark, sf_dir, trigger={"availableNow": True}, where=F.col("ts") >= cut, base=base)
-    return fs.read_state(spark, base)
+    base = _run_keyed(spark, sf_dir, where=F.col("ts") < cut)
+    _run_keyed(spark, sf_dir, where=F.col("ts") >= cut, base=base)
+    return ks.read_state(spark, base)
 
 
 @query("stream_report_ticks", TICK_SQL)
@@ -133,6 +146,5 @@ def q_stream_ingest(spark, sf_dir):
     landed = _land(spark, _batch_bodies(spark, sf_dir), "bodies-stream")
     rows = pl.accepted_rows(pl.decode_batches(_stream(spark, landed)))
     base, trigger = scratch_path(spark, "stream-state"), {"availableNow": True}
-    _finish(fs.start_fold_stream(rows, base, scratch_path(spark, "stream-ckpt"), trigger=trigger, hash_pass="inline",
-                                 order=("batch_id", "pos")), trigger)
-    return fs.read_state(spark, base)
+    _finish(ks.start_keyed_stream(rows, base, scratch_path(spark, "stream-ckpt"), trigger=trigger, order=("batch_id", "pos")), trigger)
+    return ks.read_state(spark, base)
