@@ -16,6 +16,7 @@ from ..sources import payloads as pl
 from ..sources.events import read_table, updates_from_events
 from ..streaming import fold_stream as fs
 from ..streaming import keyed_stream as ks
+from ..streaming import tick_stream as tk
 from .queries_core import FOLD_SQL
 from .queries_ingest import _batch_bodies
 from .queries_state import SPLIT_TS
@@ -23,6 +24,7 @@ from .queries_window import DAY, TICK_SQL
 from .registry import query
 
 BATCHES = 4
+REPORT_SCHEMA = "tick timestamp_ntz, id string, mtype string, delta bigint, value double, hash string"
 
 
 def _files(df) -> int:
@@ -53,14 +55,10 @@ def _finish(q, trigger):
         raise q.exception()
 
 
-def _run(spark, sf_dir, trigger=None, where=None, base=None, interval_s=None, keep=None):
-    e = read_table(spark, sf_dir, "events")
-    if where is not None:
-        e = e.filter(where)
-    base = base or scratch_path(spark, "stream-state")
-    rows = updates_from_events(_stream(spark, _land(spark, e, "events-stream", "ts")), with_ts=interval_s is not None)
-    _finish(fs.start_fold_stream(rows, base, scratch_path(spark, "stream-ckpt"), trigger=trigger, interval_s=interval_s,
-                                 keep=keep), trigger)
+def _run(spark, sf_dir, trigger=None):
+    base = scratch_path(spark, "stream-state")
+    rows = updates_from_events(_stream(spark, _land(spark, read_table(spark, sf_dir, "events"), "events-stream", "ts")))
+    _finish(fs.start_fold_stream(rows, base, scratch_path(spark, "stream-ckpt"), trigger=trigger), trigger)
     return base
 
 
@@ -127,10 +125,25 @@ def q_stream_restore(spark, sf_dir):
 
 @query("stream_report_ticks", TICK_SQL)
 def q_stream_report_ticks(spark, sf_dir):
-    """Reports by time: the stream folds per key and tick, and the report of a tick
-    is the state at its time, also of ticks when nothing arrived."""
-    base = _run(spark, sf_dir, trigger={"availableNow": True}, interval_s=DAY)
-    return fs.read_ticks(spark, base, DAY).drop("hash")
+    """Reports by time come out while the stream runs: after the first half of the log,
+    after the second, and (the last ones) when nothing but time passes. Each part is a
+    restart with the same checkpoint."""
+    src, clock, out, ckpt = (scratch_path(spark, f"ticks-{n}") for n in ("events", "clock", "reports", "ckpt"))
+    e = read_table(spark, sf_dir, "events")
+    cut = f"TIMESTAMP_NTZ'{SPLIT_TS}'"
+    # the clock stands at the cut, at the newest event, and past the tick of that event
+    last = e.selectExpr("max(ts) AS ts").selectExpr("CAST(ts AS TIMESTAMP_NTZ) AS ts")
+    parts = [(f"ts < {cut}", spark.range(1).selectExpr(f"{cut} AS ts")), (f"ts >= {cut}", last),
+             (None, last.select(F.expr("timestampadd(SECOND, 1, timestampadd(DAY, 1, date_trunc('DAY', ts)))").cast("timestamp_ntz").alias("ts")))]
+    for where, now in parts:
+        if where is not None:
+            e.filter(where).write.mode("append").parquet(src)
+        now.write.mode("append").parquet(clock)
+        rows = updates_from_events(spark.readStream.schema(e.schema).parquet(src), with_ts=True)
+        ticks = spark.readStream.schema("ts timestamp_ntz").parquet(clock)
+        trigger = {"availableNow": True}
+        _finish(tk.start_tick_stream(rows, out, ckpt, DAY, clock=ticks, trigger=trigger), trigger)
+    return spark.read.schema(REPORT_SCHEMA).parquet(out).drop("hash")
 
 
 def _json_batch_fold_sql():
