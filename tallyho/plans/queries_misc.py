@@ -13,8 +13,9 @@ from ..operators import reshape as rs
 from ..operators.common import materialize
 from ..session import scratch_path
 from ..sinks import snapshot as sk
+from ..sinks.bodies import cut_bodies
 from ..sources import snapshot as src
-from ..sources.events import load_updates, props_k_sql, read_table
+from ..sources.events import UPDATES_SQL, WIDE_UPDATES_SQL, load_updates, props_k_sql, read_table
 from .queries_core import FOLD_SQL
 from .queries_ingest import KEY
 from .queries_state import VALUE_TEXT_SQL
@@ -185,35 +186,38 @@ REPORT_LINE_SQL = f"""
          '&', '&amp;'), '''', '&#39;'), '<', '&lt;'), '>', '&gt;'), '"', '&#34;') || '</p>'"""
 
 
+SIGNED_BYTES = 4096
+
 SIGNED_SQL = f"""
 WITH l AS (
   SELECT id, mtype, '{{"id":' || to_json(id) || ',"type":' || to_json(mtype)
     || coalesce(',"delta":' || CAST(delta AS VARCHAR), '') || coalesce(',"value":' || CAST(value AS VARCHAR), '')
     || CASE WHEN hash <> '' THEN ',"hash":' || to_json(hash) ELSE '' END || '}}' AS json
-  FROM ({FOLD_SQL}) s)
-SELECT mtype || '.' || kind AS report, CASE WHEN kind = 'text' THEN '' ELSE 'gzip' END AS content_encoding,
+  FROM ({FOLD_SQL.replace(UPDATES_SQL, WIDE_UPDATES_SQL)}) s),
+c AS (SELECT *, (sum(strlen(json) + 1) OVER (PARTITION BY mtype ORDER BY id) - strlen(json) - 1)
+               // {SIGNED_BYTES - SIGNED_BYTES // 16 - 1} AS cut FROM l)
+SELECT mtype || '.' || kind AS report, min(id) AS first, CASE WHEN kind = 'text' THEN '' ELSE 'gzip' END AS content_encoding,
        '[' || string_agg(json, ',' ORDER BY id) || ']' AS body, 'ok' AS verified, 'bad' AS tampered
-FROM l, (SELECT unnest(['json', 'html', 'text']) AS kind) k GROUP BY mtype, kind
+FROM c, (SELECT unnest(['json', 'html', 'text']) AS kind) k GROUP BY mtype, kind, cut
 """
 
 
 @query("sink_signed", SIGNED_SQL)
 def q_sink_signed(spark, sf_dir):
-    """The state as one JSON body a kind, compressed if its content type is JSON or
-    HTML, signed over the bytes sent, written, read back, verified and unpacked;
-    ``tampered`` is what verification says of the bytes with one more."""
-    state = sk.metric_json_columns(fo.fold_state(load_updates(spark, sf_dir)))
-    bodies = state.groupBy("type").agg(F.expr(
-        "concat('[', array_join(transform(array_sort(collect_list(struct(id, to_json(struct(id, type, delta, value, hash)) AS j))), "
-        "x -> x.j), ','), ']') AS body"))
-    bodies = bodies.selectExpr("type", "body", "explode(map('json', 'application/json', 'html', 'text/html; charset=utf-8', "
+    """The state of all users as JSON bodies of at most 4 KiB, each compressed if its content
+    type is JSON or HTML, signed over the bytes sent, written, read back, verified and
+    unpacked; ``tampered`` is what verification says of the bytes with one more."""
+    state = sk.metric_json_columns(fo.fold_state(load_updates(spark, sf_dir, wide=True)))
+    rows = state.selectExpr("type", "id", "to_json(struct(id, type, delta, value, hash)) AS json")
+    bodies = cut_bodies(rows, "type", "id", "json", SIGNED_BYTES)
+    bodies = bodies.selectExpr("type", "first", "body", "explode(map('json', 'application/json', 'html', 'text/html; charset=utf-8', "
                                                "'text', 'text/plain')) AS (kind, content_type)")
     path = scratch_path(spark, "signed")
-    sk.signed_payloads(bodies.selectExpr("concat(type, '.', kind) AS report", "body", "content_type"), KEY).write.parquet(path)
+    sk.signed_payloads(bodies.selectExpr("concat(type, '.', kind) AS report", "first", "body", "content_type"), KEY).write.parquet(path)
     got = spark.read.parquet(path)
     got = materialize(got.withColumn("_plain", gunzip(F.expr("CASE WHEN content_encoding = 'gzip' THEN payload END"))))
     return got.selectExpr(
-        "report", "content_encoding", "CAST(CASE WHEN content_encoding = 'gzip' THEN _plain ELSE payload END AS STRING) AS body",
+        "report", "first", "content_encoding", "CAST(CASE WHEN content_encoding = 'gzip' THEN _plain ELSE payload END AS STRING) AS body",
         f"{verify_sql('payload', KEY, 'signature')} AS verified",
         f"{verify_sql('concat(payload, unhex("00"))', KEY, 'signature')} AS tampered")
 
