@@ -126,14 +126,17 @@ def restore_state(current: DataFrame, snapshot: DataFrame, order_col: str | None
     """Replay snapshot rows through the fold onto the current state.
 
     Counters present in both add up; the snapshot's rows come after the
-    current state, in the order of ``order_col`` (default: as they are read,
-    taken in a single pass). The first bad snapshot row aborts: the returned
+    current state, in the order of ``order_col`` (default: ``at``, the place in
+    file order that ``read_snapshot_json(with_at=True)`` gives, if there is one,
+    else as the rows are read, whatever files Spark puts in a partition). The first bad snapshot row aborts: the returned
     plan raises when it runs (checked on the executors, nothing is collected).
     """
     checked = store_check(snapshot).filter(
         F.when(F.col("reject_code").isNotNull(),
                F.raise_error(F.concat(F.lit("restore aborted: "), F.col("reject_code"))))
          .otherwise(F.lit(True)))
+    if order_col is None and "at" in checked.columns:
+        order_col = "at"
     if order_col is None:
         checked, order_col = checked.withColumn("_ord", F.monotonically_increasing_id()), "_ord"
     for c in STATE_COLUMNS:

@@ -14,6 +14,7 @@ from ..operators import merge as mg
 from ..schema import COUNTER
 from ..session import scratch_path
 from ..sinks import snapshot as sk
+from ..sinks.bodies import cut_bodies
 from ..sources import snapshot as src
 from ..sources.events import UPDATES_SQL, WIDE_UPDATES_SQL, load_updates
 from .queries_core import FOLD_SQL
@@ -146,6 +147,19 @@ def q_all_rows(spark, sf_dir):
 
 @query("scan_snapshot_file", OLD_SQL)
 def q_scan_snapshot_file(spark, sf_dir):
+    """A dump as the single-node service leaves it, arrays of objects on one line, read in
+    byte ranges."""
+    old, _ = _halves(spark, sf_dir)
+    state = sk.metric_json_columns(fo.fold_state(old))
+    rows = state.selectExpr("type", "id", "to_json(struct(id, type, delta, value, hash)) AS json")
+    path = scratch_path(spark, "snapshot-array")
+    cut_bodies(rows, "type", "id", "json").select("body").write.text(path)
+    return src.read_snapshot_json(spark, path)
+
+
+@query("scan_snapshot_lines", OLD_SQL)
+def q_scan_snapshot_lines(spark, sf_dir):
+    """A dump of this library: an object a line."""
     old, _ = _halves(spark, sf_dir)
     base = scratch_path(spark, "snapshot-json")
     sk.write_snapshot_json(fo.fold_state(old), base)
