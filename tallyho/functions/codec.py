@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import gzip
 import sys as _sys
-import zlib
 
 import pandas as pd
 from pyspark import cloudpickle as _cloudpickle
@@ -17,24 +16,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._util import col_of
+from .elements import Broken, inflate
 
 # The UDFs below travel to the Python workers by value (with the module's
 # helpers), so executors need only numpy/pandas, not this package.
 _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 
-def _gunzip_one(b):
+#: Bytes of an inflated body, at most: it is held in one row. Larger ones are read
+#: element by element (``sources.large_bodies``).
+MOST = 512 << 20
+
+
+def _gunzip_one(b, most):
     if b is None:
         return None
+    out = bytearray()
     try:
-        return gzip.decompress(bytes(b))
-    except (OSError, EOFError, zlib.error):
+        for piece in inflate(bytes(b)):
+            out += piece
+            if len(out) > most:
+                raise ValueError(f"a body of {len(b)} bytes inflates beyond {most} bytes: decode it as a large body")
+    except Broken:
         return None
+    return bytes(out)
 
 
-@F.pandas_udf(T.BinaryType())
-def _gunzip_udf(s: pd.Series) -> pd.Series:
-    return s.map(_gunzip_one)
+def _gunzip_udf(most):
+    @F.pandas_udf(T.BinaryType())
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda b: _gunzip_one(b, most))
+
+    return run
 
 
 @F.pandas_udf(T.BinaryType())
@@ -43,8 +56,11 @@ def _gzip_udf(s: pd.Series) -> pd.Series:
     return s.map(lambda b: None if b is None else gzip.compress(bytes(b), mtime=0))
 
 
-def gunzip(c) -> Column:
-    return _gunzip_udf(col_of(c))
+def gunzip(c, most: int = MOST) -> Column:
+    """Content of gzip bodies (members are joined); null where a body is not valid gzip. It is
+    inflated piece by piece, and one beyond ``most`` bytes fails the job with its size
+    before it can fill a worker: it is never taken for a broken one."""
+    return _gunzip_udf(most)(col_of(c))
 
 
 def gzip_compress(c) -> Column:

@@ -13,13 +13,18 @@ others are joined by the place where they began.
 
 from __future__ import annotations
 
+import sys as _sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import elements as el
+from ..functions.elements import Broken, Segments, Summary, trailer
+
+# Travels to the Python workers by value, like the scanners.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 
 
 def _records(spark: SparkSession, path: str) -> DataFrame:
@@ -43,7 +48,7 @@ def _by_split(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int
 def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[tuple[str, int], list] = {}
     for path, block, size, records in _by_split(batches):
-        now = found.setdefault((path, block), [size, 0, 0, None, el.Summary()])
+        now = found.setdefault((path, block), [size, 0, 0, None, Summary()])
         for r in records:
             if now[3] is not None:
                 now[4].add(now[3])
@@ -80,7 +85,7 @@ def entry_states(splits: list) -> dict[tuple[str, int], tuple[bool, int, int, in
                 origin = s["block"]
             in_string, depth = bool(inside), depth + change
         if in_string or depth:
-            raise el.Broken(f"{path} ends within an object")
+            raise Broken(f"{path} ends within an object")
     return out
 
 
@@ -113,11 +118,11 @@ def json_objects(spark: SparkSession, path: str) -> DataFrame:
                 rows += left()
                 now, n, done = (file, block), 0, 0
                 in_string, depth, origin, braces = states[now]
-                scan = el.Segments(in_string, depth)
+                scan = Segments(in_string, depth)
             for v in values:
                 done += 1
                 if done > braces:
-                    found = [(False, None)] * el.trailer(v)
+                    found = [(False, None)] * trailer(v)
                 else:
                     found = scan.add(v)
                 for before, text in found:

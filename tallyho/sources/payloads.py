@@ -10,7 +10,7 @@ All of it is one projection per body, with no shuffle.
 When an object has a field in several spellings, the one that sorts last wins
 (all lower case before all others); exact duplicate names are refused by the
 parser. A body beyond what a VARIANT can hold fails the job with its size: it
-is never answered as undecodable.
+is never answered as undecodable; ``large_bodies`` decodes it.
 """
 
 from __future__ import annotations
@@ -60,7 +60,7 @@ def _variant(df: DataFrame, body: str) -> DataFrame:
     keep = [f"`{c}`" for c in df.columns if c != body]
     text = f"CAST(`{body}` AS STRING)"
     parsed = (f"CASE WHEN octet_length({text}) >= {LARGE_BODY} THEN coalesce(try_parse_json({text}), "
-              f"raise_error(concat('a body of ', CAST(octet_length({text}) AS STRING), ' bytes is not JSON or too large to decode'))) "
+              f"raise_error(concat('a body of ', CAST(octet_length({text}) AS STRING), ' bytes is not JSON or too large to decode in its row (see large_bodies)'))) "
               f"ELSE try_parse_json({text}) END")
     return df.selectExpr(*keep, f"{parsed} AS _v")
 
