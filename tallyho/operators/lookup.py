@@ -18,13 +18,23 @@ from ..schema import (COUNTER, GAUGE, KINDS, NOT_FOUND, ROUTE_VALUE_JSON, ROUTE_
                       STATE_COLUMNS, UNKNOWN_TYPE)
 
 
+def first_match(state: DataFrame, at: str = "at") -> DataFrame:
+    """One row a key: the first in order of ``at`` (dropped). A snapshot file may hold a key
+    more than once, and a lookup takes the first one in the file."""
+    if at not in state.columns:
+        return state
+    rest = [c for c in state.columns if c not in ("id", "mtype", at)]
+    return state.groupBy("id", "mtype").agg(F.min_by(F.struct(*rest), at).alias("_m")).select("id", "mtype", "_m.*")
+
+
 def lookup(state: DataFrame, id_: str, mtype: str) -> DataFrame:
-    """Rows for one key; the filter reaches the Parquet scan when ``state``
-    is a snapshot. Unknown kinds and missing keys both yield no rows;
-    ``lookup_outcome`` tells them apart."""
+    """The row of one key, no row for a missing key or an unknown kind
+    (``lookup_outcome`` tells them apart). The filter reaches the Parquet scan when
+    ``state`` is a snapshot: row groups are skipped by min/max and Bloom filter. With a
+    column ``at`` (a place in file order) the first of several rows is taken."""
     if mtype not in KINDS:
-        return state.limit(0)
-    return state.filter((F.col("id") == F.lit(id_)) & (F.col("mtype") == F.lit(mtype)))
+        return state.drop("at").limit(0)
+    return first_match(state.filter((F.col("id") == F.lit(id_)) & (F.col("mtype") == F.lit(mtype))))
 
 
 def lookup_outcome(state: DataFrame, id_: str, mtype: str) -> DataFrame:
@@ -72,15 +82,25 @@ def lookup_status_sql(route: str) -> str:
             f"WHEN outcome = '{NOT_FOUND}' THEN 404 WHEN outcome = '{UNKNOWN_TYPE}' THEN 400 ELSE 200 END")
 
 
-def lookup_bulk(requests: DataFrame, state: DataFrame) -> DataFrame:
-    """Many ``(req_id, id, mtype)`` requests → outcome, number, text, statuses.
+def lookup_bulk(requests: DataFrame, state: DataFrame, text_on: str = "state") -> DataFrame:
+    """Many ``(req_id, id, mtype)`` requests → outcome, number, text, statuses, one row each.
 
     Outcomes: ``ok``, ``not_found``, ``unknown_metric_type``, ``nil_number``
-    (row present but its number missing). The text form is formatted on the
-    state (one row per key) before the join, not per request.
+    (row present but its number missing). Of a key with several rows the first
+    in order of the state's column ``at`` counts. The text form is formatted on the
+    state (one row per key) before the join, or (``text_on="requests"``) after it:
+    for few requests of a large state, and for a bucketed one, whose rows then
+    stay where they are.
     """
-    shown = with_value_text(state).selectExpr("id", "mtype", "delta", "value", "value_text", "true AS _hit")
-    j = requests.join(shown, ["id", "mtype"], "left")
+    if text_on not in ("state", "requests"):
+        raise ValueError(f"text_on must be 'state' or 'requests', not {text_on!r}")
+    state = first_match(state)
+    if text_on == "state":
+        shown = with_value_text(state).selectExpr("id", "mtype", "delta", "value", "value_text", "true AS _hit")
+        j = requests.join(shown, ["id", "mtype"], "left")
+    else:
+        j = requests.join(state.selectExpr("id", "mtype", "delta", "value", "true AS _hit"), ["id", "mtype"], "left")
+        j = with_value_text(j)
     outcome = (f"CASE WHEN mtype IS NULL OR mtype NOT IN {_KINDS_SQL} THEN '{UNKNOWN_TYPE}' "
                f"WHEN _hit IS NULL THEN '{NOT_FOUND}' "
                f"WHEN CASE WHEN mtype = '{COUNTER}' THEN delta IS NULL ELSE value IS NULL END THEN 'nil_number' "

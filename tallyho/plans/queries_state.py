@@ -13,6 +13,7 @@ from ..operators import lookup as lk
 from ..operators import merge as mg
 from ..schema import COUNTER
 from ..session import scratch_path
+from ..sinks import bucketed as bk
 from ..sinks import snapshot as sk
 from ..sinks.bodies import cut_bodies
 from ..sources import snapshot as src
@@ -125,12 +126,53 @@ def q_lookup_bulk(spark, sf_dir):
     return lk.lookup_bulk(lookup_requests(spark, sf_dir), fo.fold_state(load_updates(spark, sf_dir)))
 
 
+def _buckets(spark):
+    """As many buckets as a shuffle has partitions: neither side of a join needs more."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@query("lookup_bulk_keyed", LOOKUP_BULK_SQL)
+def q_lookup_bulk_keyed(spark, sf_dir):
+    """The same lookups against a state in buckets of the key: only the requests move."""
+    base = scratch_path(spark, "state-buckets")
+    bk.write_bucketed(fo.fold_state(load_updates(spark, sf_dir)), base, _buckets(spark))
+    return lk.lookup_bulk(lookup_requests(spark, sf_dir), bk.read_bucketed(spark, base), text_on="requests")
+
+
+FIRST_SQL = f"""
+SELECT id, mtype, arg_min_null(delta, seq) AS delta, arg_min_null(value, seq) AS value, arg_min_null(hash, seq) AS hash
+FROM ({UPDATES_SQL}) u GROUP BY id, mtype
+"""
+
+
+@query("lookup_bulk_first", LOOKUP_BULK_SQL.replace(FOLD_SQL, FIRST_SQL))
+def q_lookup_bulk_first(spark, sf_dir):
+    """Lookups in a snapshot file that holds every key many times (the whole log): the first
+    row in file order answers."""
+    path = scratch_path(spark, "snapshot-log")
+    u = load_updates(spark, sf_dir).repartitionByRange("seq").sortWithinPartitions("seq")
+    sk.metric_json_columns(u).write.json(path)
+    return lk.lookup_bulk(lookup_requests(spark, sf_dir), src.read_snapshot_json(spark, path, with_at=True))
+
+
 @query("state_merge", FOLD_SQL)
 def q_state_merge(spark, sf_dir):
     old, new = _halves(spark, sf_dir)
     return fo.merge_state(fo.fold_state(old), fo.fold_state(new))
 
 
+@query("state_merge_keyed", FOLD_SQL)
+def q_state_merge_keyed(spark, sf_dir):
+    """A batch merged into a state in buckets, written as its next version: the state stays
+    where it is, before and after."""
+    old, new = _halves(spark, sf_dir)
+    base = scratch_path(spark, "state-buckets")
+    bk.write_bucketed(fo.fold_state(old), base, _buckets(spark))
+    merged = fo.merge_state(bk.read_bucketed(spark, base), fo.fold_state(new))
+    bk.write_bucketed(merged, base, _buckets(spark), start=sk.read_commit(spark, base))
+    return bk.read_bucketed(spark, base)
+
+
 @query("state_merge_seq", FOLD_SQL)
 def q_state_merge_seq(spark, sf_dir):
     """Merge that carries ``last_seq``: the newer gauge wins whichever side
