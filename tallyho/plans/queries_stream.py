@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources import payloads as pl
 from ..sources.events import read_table, updates_from_events
+from ..streaming import echo_stream as es
 from ..streaming import fold_stream as fs
 from ..streaming import keyed_stream as ks
+from ..streaming import outcomes as oc
 from ..streaming import tick_stream as tk
 from .queries_core import FOLD_SQL
-from .queries_ingest import _batch_bodies
+from .queries_ingest import ADMIT_SQL, KEY, _batch_bodies, envelopes
 from .queries_state import SPLIT_TS
-from .queries_window import DAY, TICK_SQL
+from .queries_window import BATCH_ECHO_SQL, DAY, TICK_SQL
 from .registry import query
 
 BATCHES = 4
@@ -161,3 +163,37 @@ def q_stream_ingest(spark, sf_dir):
     base, trigger = scratch_path(spark, "stream-state"), {"availableNow": True}
     _finish(ks.start_keyed_stream(rows, base, scratch_path(spark, "stream-ckpt"), trigger=trigger, order=("batch_id", "pos")), trigger)
     return ks.read_state(spark, base)
+
+
+@query("stream_batch_echo", BATCH_ECHO_SQL)
+def q_stream_batch_echo(spark, sf_dir):
+    """The responses of a running stream: the log's first half, a restart, the second. Those of
+    the second half go on from the totals of the first."""
+    src, base, ckpt = (scratch_path(spark, f"echo-{n}") for n in ("events", "state", "ckpt"))
+    e = read_table(spark, sf_dir, "events")
+    cut, trigger = f"TIMESTAMP_NTZ'{SPLIT_TS}'", {"availableNow": True}
+    for where in (f"ts < {cut}", f"ts >= {cut}"):
+        e.filter(where).write.mode("append").parquet(src)
+        rows = updates_from_events(spark.readStream.schema(e.schema).parquet(src))
+        _finish(es.start_echo_stream(rows, base, ckpt, trigger=trigger, range_size=256), trigger)
+    first = updates_from_events(e.filter(f"ts < {cut}")).select("seq")
+    return es.read_echo(spark, base).join(first, "seq", "left_anti").select("seq", "id", "mtype", "delta", "value", "hash")
+
+
+@query("stream_ingest_refused", f"SELECT * FROM ({ADMIT_SQL}) r WHERE reject_code IS NOT NULL")
+def q_stream_ingest_refused(spark, sf_dir):
+    """Requests arriving as files, admitted, decoded and gated; the refused ones kept with
+    their code. The observed counts must be those of the files, or the query fails."""
+    e = envelopes(spark, sf_dir)
+    out, trigger = scratch_path(spark, "refused"), {"availableNow": True}
+    a = pl.admit(_stream(spark, _land(spark, e, "envelopes-stream")).withColumn("request", F.col("body")), KEY)
+    d = pl.decode_batches(a.selectExpr("batch_id", "request", "admit_code", "admit_status", "json AS body"))
+    d = d.selectExpr("batch_id", "request", "coalesce(admit_code, reject_code) AS code", "coalesce(admit_status, status) AS status")
+    q = oc.start_refused_stream(d, out, scratch_path(spark, "stream-ckpt"), trigger=trigger)
+    _finish(q, trigger)
+    kept = spark.read.schema("batch_id bigint, request binary, status int, code string").parquet(out)
+    counts = oc.outcome_counts(q)
+    found = {r["code"]: r["count"] for r in kept.groupBy("code").count().collect()}
+    if {c: n for c, n in counts.items() if n and c != oc.ADMITTED} != found or sum(counts.values()) != e.count():
+        raise RuntimeError(f"observed {counts}, kept {found}")
+    return kept.selectExpr("batch_id", "code AS reject_code", "status")

@@ -96,19 +96,20 @@ def live_run(spark: SparkSession, base: str) -> dict | None:
     return json.loads(sk.read_text(spark, f"{base}/{RUNS}/{kept[-1]}")) | {"number": int(kept[-1])} if kept else None
 
 
-def _change_dirs(spark: SparkSession, base: str, run: str) -> tuple[list[str], list[str]]:
-    """(directories that hold the newest rows, older ones), by epoch."""
+def _change_dirs(spark: SparkSession, base: str, run: str, before: int | None = None) -> tuple[list[str], list[str]]:
+    """(directories that hold the newest rows, older ones), by epoch; of epochs ``before`` one."""
     where = f"{base}/{CHANGES}/{run}"
-    names = [n for n in _names(spark, where) if n.split(".")[0].isdigit() and _done(spark, f"{where}/{n}")]
+    names = [n for n in _names(spark, where) if n.split(".")[0].isdigit() and (before is None or int(n.split(".")[0]) < before)
+             and _done(spark, f"{where}/{n}")]
     whole = max((n for n in names if n.endswith(".all")), default="")
     new = [n for n in names if not n.endswith(".all") and n > whole.split(".")[0]]
     keep = ([whole] if whole else []) + new
     return [f"{where}/{n}" for n in keep], [f"{where}/{n}" for n in names if n not in keep]
 
 
-def run_totals(spark: SparkSession, base: str, run: str) -> DataFrame | None:
+def run_totals(spark: SparkSession, base: str, run: str, before: int | None = None) -> DataFrame | None:
     """The newest row of every key that the run has touched (with ``last_seq``), or None."""
-    dirs, _ = _change_dirs(spark, base, run)
+    dirs, _ = _change_dirs(spark, base, run, before)
     if not dirs:
         return None
     rows = spark.read.parquet(*dirs)
@@ -128,11 +129,12 @@ def _compact(spark: SparkSession, base: str, run: str, epoch: int) -> None:
         fs.delete(p, True)
 
 
-def read_full(spark: SparkSession, base: str) -> DataFrame:
-    """Current state with ``last_seq``: the run's start merged with its newest rows."""
+def read_full(spark: SparkSession, base: str, before: int | None = None) -> DataFrame:
+    """Current state (or that ``before`` an epoch of the run) with ``last_seq``: the run's start
+    merged with its newest rows."""
     live = live_run(spark, base)
     at = sk.read_commit(spark, base, live["start"]) if live and live["start"] else None if live else sk.read_commit(spark, base)
-    totals = run_totals(spark, base, live["run"]) if live else None
+    totals = run_totals(spark, base, live["run"], before) if live else None
     if at is None:
         return totals if totals is not None else empty_state(spark).withColumn("last_seq", F.lit(None).cast("bigint"))
     start = spark.read.parquet(at.path)
@@ -154,7 +156,7 @@ def dump_state(spark: SparkSession, base: str, target: str, keep: int | None = N
     return sk.commit(spark, target, start, path, epochs, keep)
 
 
-def _claim(spark: SparkSession, base: str, run: str) -> dict:
+def claim(spark: SparkSession, base: str, run: str) -> dict:
     """The run's record: a new run first turns what the last one left into a version."""
     live, at = live_run(spark, base), sk.read_commit(spark, base)
     if live:
@@ -179,6 +181,16 @@ def _claim(spark: SparkSession, base: str, run: str) -> dict:
     return record | {"number": number}
 
 
+def keep_epoch(totals: DataFrame, base: str, run: str, number: int, epoch: int, compact_every: int) -> None:
+    """Leave the rows that an epoch touched (totals of the run), if the run still owns the location."""
+    spark = totals.sparkSession
+    if live_run(spark, base)["number"] != number:
+        raise RunEnded(f"run {run} of {base} was followed by another")
+    totals.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{base}/{CHANGES}/{run}/{epoch:020d}")
+    if (epoch + 1) % compact_every == 0:
+        _compact(spark, base, run, epoch)
+
+
 def start_keyed_stream(updates: DataFrame, base: str, checkpoint: str, trigger: dict | None = None,
                        order: tuple[str, ...] = ("seq",), compact_every: int = 20, run_id: str | None = None):
     """Start (or resume) the fold of a stream of validated updates into ``base``.
@@ -187,16 +199,10 @@ def start_keyed_stream(updates: DataFrame, base: str, checkpoint: str, trigger:
 
     spark = updates.sparkSession
     run = run_id or run_id_for(spark, checkpoint)
-    number = _claim(spark, base, run)["number"]
+    number = claim(spark, base, run)["number"]
 
     def keep_changes(batch: DataFrame, epoch: int) -> None:
-        s = batch.sparkSession
-        if live_run(s, base)["number"] != number:
-            raise RunEnded(f"run {run} of {base} was followed by another")
-        (batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite")
-         .parquet(f"{base}/{CHANGES}/{run}/{epoch:020d}"))
-        if (epoch + 1) % compact_every == 0:
-            _compact(s, base, run, epoch)
+        keep_epoch(batch, base, run, number, epoch, compact_every)
 
     w = (key_totals(updates, order).writeStream.outputMode("update").foreachBatch(keep_changes)
          .option("checkpointLocation", checkpoint))
