@@ -38,7 +38,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete tables written by ``saved`` that nothing reads any more."""
+    for t in tables:
+        spark = t.sparkSession
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.saved_path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def worker_state(key: str, make: Callable[[], object]):
@@ -114,10 +124,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) AS m")
         large = (both.join(least, "u").where("v > u").selectExpr("v AS u", "m AS v").distinct())
         large = saved(large, "cc")
+        free(cur)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").where("v <> m").selectExpr("v AS u", "m AS v")
                  .union(least.selectExpr("u", "m AS v")).distinct())
         cur = saved(small, "cc")
+        free(large)
         now = mark(cur)
         if now == seen:
             break

@@ -5,21 +5,29 @@ equal sets are one node. The join links nodes whose Jaccard similarity is at
 least a threshold, in these steps:
 
 1. Signatures find who may be similar. Sets of a size class are hashed into
-   more buckets than two linked sets can differ in tokens, so linked sets have
-   an equal bucket. A node's signatures are its buckets' sums, at its own size
-   class and the next. Beyond ``MOST`` buckets the first ``MOST`` are taken:
-   each is equal with a chance over 0.36 at the threshold itself, so a linked
-   pair is missed with a chance under 1e-12, less than that of a hash collision.
+   ``SPREAD`` times as many buckets as two linked sets can differ in tokens, at
+   their own size class and the next; the sums of a node's filled buckets are its
+   signatures. Linked sets differ in at most as many buckets as in tokens, so
+   they share all filled ones but that many, and each may leave out the others
+   but one: a node leaves out those that occur in most nodes (such as the buckets
+   of a common passage). A set with too few filled buckets (rare) lists its
+   tokens too: of two linked sets one shares a bucket, or they share a token.
+   Beyond ``MOST`` buckets the first ``MOST`` are taken: an equal filled bucket has
+   a chance over 0.43 at the threshold itself, so linked sets share no more than
+   ``LEFT_OUT`` of them with a chance under 1e-12. ``most=None`` takes all.
 2. Groups: a node joins the group of the least node that it shares a signature
-   with, in chunks of about ``GROUP``, each with that node as its leader.
-3. The token-group matrix stores each group's token union. Groups that share a
-   signature are paired; of a pair, a query set of the one is bound by its
-   overlap with the other's union, and only where that reaches the threshold
-   are the other's sets opened and compared.
+   with, in chunks of about ``GROUP`` nodes and ``TOKENS`` tokens, each with that
+   node as its leader. Links inside a group make first components.
+3. The token-group matrix stores each group's token union. A node asks the
+   groups that hold one of its signatures in another component (of two groups the
+   smaller one's nodes ask): its overlap with the group's union bounds its
+   similarity to all of the group's sets, and only where that reaches the
+   threshold are they opened and compared.
 4. Links end as connected components.
 
-No pair of documents is listed outside the task that compares two groups;
-groups that are wholly linked to the same leader are not compared again.
+A group's union goes to its queries, in parts of about ``TOKENS`` tokens, not to
+every pair; no pair of documents is listed outside such a part. Copies that are
+linked already share a component and ask nothing of each other.
 
 Defined cases: null texts and texts without a word have the empty set, link
 with nothing and are their own component; a null id links like others but
@@ -41,14 +49,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import Memo, connected_components, saved, small_batches, table, worker_state
+from .common import Memo, connected_components, free, saved, small_batches, table, worker_state
 
-#: Buckets of a size class that become signatures, at most.
+#: Buckets for each one that linked sets may differ in.
+SPREAD = 1.25
+#: Buckets of a size class that become signatures, by default, and of those the ones that
+#: may be left out.
 MOST = 64
-#: Below so many buckets empty ones count too (above, another equal bucket is certain enough).
-FEW = 16
+LEFT_OUT = 2
 #: Nodes of a group, about.
 GROUP = 256
+#: Tokens of a group and of the queries that it is compared with at a time, about (a set
+#: beyond this is alone).
+TOKENS = 1 << 20
 #: Words whose hash a worker remembers, twice at most.
 REMEMBERED = 200_000
 
@@ -95,25 +108,32 @@ def size_classes(percent: int) -> tuple[list[int], list[int]]:
     return lows, buckets
 
 
-def signatures(s: np.ndarray, classes: tuple[list[int], list[int]]) -> np.ndarray:
+def signatures(s: np.ndarray, classes: tuple[list[int], list[int]], most: int | None = MOST) -> list[tuple[np.ndarray, int]]:
+    """(signatures, how many of them may be left out) at the set's size class and the next."""
     lows, buckets = classes
     level = bisect_right(lows, len(s)) - 1
     out = []
     for lv in (level, level + 1):
-        k = buckets[lv]
-        if k == 1:
-            continue  # linked sets are equal sets: one node
+        needed = buckets[lv]
+        if needed == 1:  # linked sets are equal sets: one node
+            out.append((np.empty(0, np.uint64), 0))
+            continue
+        k = int(np.ceil(needed * SPREAD))
+        taken = k if most is None else min(k, most)
         seed = mix(np.array([lv], np.uint64))
         place = (mix(s + seed) % np.uint64(k)).astype(np.int64)
-        part = place < MOST
+        part = place < taken
         order = np.argsort(place[part], kind="stable")
-        sums = np.zeros(min(k, MOST), np.uint64)
         at, first = np.unique(place[part][order], return_index=True)
-        if len(at):
-            sums[at] = np.add.reduceat(mix(s[part][order] ^ _C), first)
-        sig = mix(mix(sums + seed) + np.arange(len(sums), dtype=np.uint64))
-        out.append(sig if k < FEW else sig[at])
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        sums = np.add.reduceat(mix(s[part][order] ^ _C), first) if len(at) else np.empty(0, np.uint64)
+        sig = mix(mix(sums + seed) + at.astype(np.uint64))
+        if taken < k:
+            out.append((sig, LEFT_OUT))
+        elif len(at) >= needed:
+            out.append((sig, len(at) - needed))
+        else:
+            out.append((np.concatenate([sig, mix(mix(s ^ seed))]), 0))
+    return out
 
 
 def node_of(s: np.ndarray) -> int:
@@ -121,27 +141,34 @@ def node_of(s: np.ndarray) -> int:
     return int(mix(total).view(np.int64)[0])
 
 
-def sketches(docs: DataFrame, id_col: str, text: str, n: int, percent: int) -> DataFrame:
-    """(doc_id, key, n, node, sigs) for every row; of equal sets in a task only the
-    first carries signatures. ``key`` is a hash of the text."""
+def sketches(docs: DataFrame, id_col: str, text: str, n: int, percent: int, most: int | None = MOST) -> DataFrame:
+    """(doc_id, key, n, node, sigs, own, spare) for every row; of equal sets in a task only
+    the first carries signatures. The first ``own`` are of the set's own size class, the others
+    of the next; ``spare`` says how many of either may be left out. ``key`` is a hash of the text."""
     small_batches(docs.sparkSession)
+    ints = T.ArrayType(T.IntegerType())
     schema = docs.select(F.col(id_col).alias("doc_id")).schema.add("key", "long").add("n", "long").add("node", "long") \
-        .add("sigs", LONGS)
+        .add("sigs", LONGS).add("own", "integer").add("spare", ints)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, classes = worker_state("shingle words", word_hashes), size_classes(percent)
         seen: set[int] = set()
         for b in batches:
-            size, node, sigs = [], [], []
+            size, node, sigs, own, spare = [], [], [], [], []
             for t in b.column(2):
                 s = shingles(t.as_py(), n, words)
                 size.append(len(s))
                 node.append(node_of(s) if len(s) else None)
-                sigs.append([] if not len(s) or node[-1] in seen else signatures(s, classes).view(np.int64))
-                seen.add(node[-1])
+                found = signatures(s, classes, most) if len(s) and node[-1] not in seen else []
+                sigs.append(np.concatenate([x for x, _ in found]).view(np.int64) if found else [])
+                own.append(len(found[0][0]) if found else 0)
+                spare.append([x for _, x in found])
+                if len(seen) < REMEMBERED:  # what a task remembers is bounded: others list theirs again
+                    seen.add(node[-1])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
-                 pa.array(sigs, pa.list_(pa.int64()))], ["doc_id", "key", "n", "node", "sigs"])
+                 pa.array(sigs, pa.list_(pa.int64())), pa.array(own, pa.int32()), pa.array(spare, pa.list_(pa.int32()))],
+                ["doc_id", "key", "n", "node", "sigs", "own", "spare"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("key"), F.col(text)).mapInArrow(run, schema)
 
@@ -222,22 +249,20 @@ def within(percent: int):
 
 
 def qualify(percent: int):
-    """Queries of a pair whose overlap with the other group's union may reach the threshold."""
-    def run(pair: pd.DataFrame) -> pd.DataFrame:
-        union = np.unique(np.concatenate(list(pair.loc[~pair["query"], "tokens"])))
-        queries = pair[pair["query"]].drop_duplicates("node")
+    """Queries of a group whose overlap with its union may reach the threshold."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        union = part.loc[~part["query"], "tokens"].iloc[0]
+        queries = part[part["query"]]
         keep = [100 * int(np.isin(t, union, assume_unique=True).sum()) >= percent * len(t) for t in queries["tokens"]]
-        return queries.loc[keep, ["one", "other", "node"]]
+        return queries.loc[keep, ["grp", "part", "node"]]
 
     return run
 
 
 def between(percent: int):
-    """Links of a pair's queries with the opened group's sets, as (node, root)."""
-    def run(pair: pd.DataFrame) -> pd.DataFrame:
-        q, o = (pair[pair["query"] == side].drop_duplicates("node") for side in (True, False))
-        if not len(q) or not len(o):
-            return pd.DataFrame({"node": np.empty(0, np.int64), "root": np.empty(0, np.int64)})
+    """Links of a part's queries with the opened group's sets, as (node, root)."""
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        q, o = part[part["query"]], part[~part["query"]]
         i, j = np.nonzero(linked(list(q["tokens"]), list(o["tokens"]), percent))
         node = np.concatenate([q["node"].to_numpy(), o["node"].to_numpy()])
         return pd.DataFrame({"node": node, "root": _roots(node, np.stack([i, j + len(q)], axis=1))})
@@ -250,58 +275,68 @@ def union_of(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"grp": [int(group["grp"].iloc[0])], "tokens": [tokens]})
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80,
+               most: int | None = MOST) -> DataFrame:
     """(doc_id, key, n_shingles, node, component_id) for every row; ``percent`` is
-    the least Jaccard similarity in hundredths."""
+    the least Jaccard similarity in hundredths; ``most=None`` lists all signatures."""
     if n < 1 or not 50 < percent <= 100:
         raise ValueError("n must be 1 or more, percent over 50 and at most 100")
-    rows = saved(sketches(docs, id_col, text, n, percent), "sketches")
-
-    # signatures that two nodes share, with the least of their nodes
-    sigs = rows.select(F.explode("sigs").alias("sig"), "node")
-    same = Window.partitionBy("sig")
-    posts = sigs.withColumn("lo", F.min("node").over(same)).withColumn("hi", F.max("node").over(same))
-    posts = saved(posts.where("lo < hi").select("sig", "node", "lo").distinct(), "posts")
+    rows = saved(sketches(docs, id_col, text, n, percent, most), "sketches")
+
+    # signatures that two nodes share; of a node's, the ones in most nodes are left out
+    least, greatest = F.min("node").alias("lo"), F.max("node").alias("hi")
+    sigs = rows.selectExpr("node", "own", "spare", "posexplode(sigs) AS (i, sig)").selectExpr(
+        "sig", "node", "i >= own AS next", "spare[IF(i < own, 0, 1)] AS spare")
+    shared = saved(sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), least, greatest).where("lo < hi").select("sig", "n"), "shared")
+    common = Window.partitionBy("node", "next").orderBy(F.desc("n"), "sig")
+    kept = sigs.join(shared, "sig").distinct().withColumn("nth", F.row_number().over(common)).where("nth > spare")
+    kept = saved(kept.select("sig", "node"), "kept")
+    bounds = kept.groupBy("sig").agg(least, greatest).where("lo < hi").select("sig", "lo")
+    posts = saved(kept.join(bounds, "sig"), "posts")
 
     # groups: the least shared node leads, in chunks
-    led = posts.groupBy("node").agg(F.min("lo").alias("lead"))
-    chunks = led.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("parts"))
-    member = (led.join(chunks, "lead")
-              .select("node", "lead", F.xxhash64("lead", F.pmod(F.xxhash64("node"), "parts")).alias("grp")))
-    member = saved(member, "groups")
-    first = rows.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")).alias("f"))
-    wanted = member.join(first, "node").select("f.doc_id", "f.key", "node", "lead", "grp")
-    sets = saved(sets_of(docs, id_col, text, wanted, n), "sets")
+    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")).alias("f"), F.min("n").alias("n"))
+    led = posts.groupBy("node").agg(F.min("lo").alias("lead")).join(nodes, "node")
+    size = led.groupBy("lead").agg(F.expr(f"greatest(ceil(count(1) / {GROUP}), ceil(sum(n) / {TOKENS}))").alias("parts"))
+    led = led.join(size, "lead").select("f.doc_id", "f.key", "node", "n", "lead", F.xxhash64("lead", F.pmod(F.xxhash64("node"), "parts")).alias("grp"))
+    sets = saved(sets_of(docs, id_col, text, led, n), "sets")
+    member = sets.select("node", "n", "lead", "grp")
     leaders = sets.select("node", "tokens").join(member.select(F.col("lead").alias("node"), "grp").distinct(), "node")
     inside = saved(sets.select("grp", "node", "tokens").union(leaders.select("grp", "node", "tokens"))
                    .groupBy("grp").applyInPandas(within(percent), "grp long, node long, root long"), "inside")
-
-    # the token-group matrix, and pairs of groups that share a signature
-    unions = saved(sets.select("grp", "tokens").groupBy("grp").applyInPandas(union_of, "grp long, tokens array<bigint>"), "unions")
-    whole = inside.groupBy("grp").agg((F.min("root") == F.max("root")).alias("whole"))
-    groups = member.select("grp", "lead").distinct().join(whole, "grp")
-    at = posts.join(member, "node").select("sig", "grp").distinct()
-    pairs = (at.withColumnRenamed("grp", "one").join(at.withColumnRenamed("grp", "other"), "sig").where("one < other")
-             .select("one", "other").distinct())
-    of = lambda side: groups.selectExpr(f"grp AS {side}", f"lead AS {side}_lead", f"whole AS {side}_whole")
-    pairs = (pairs.join(of("one"), "one").join(of("other"), "other")
-             .where("NOT (one_lead = other_lead AND one_whole AND other_whole)").select("one", "other"))
-    pairs = saved(pairs, "pairs")
-    # a query of a pair is a set that shares a signature with the other group
-    held = posts.join(member, "node").select("sig", "node", F.col("grp").alias("one"))
-    asks = (held.join(at.withColumnRenamed("grp", "other"), "sig").where("one < other").select("one", "other", "node").distinct()
-            .join(pairs, ["one", "other"], "left_semi"))
-    queries = asks.join(sets.select("node", "tokens"), "node").selectExpr("one", "other", "node", "tokens", "true AS query")
+    first = connected_components(inside.where("node <> root").selectExpr("node AS a", "root AS b"))
+    member = member.join(first, "node", "left").withColumn("comp", F.coalesce("component", "node"))
+    large = member.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
+    member = saved(member.join(large, "grp").select("node", "n", "grp", "size", "comp"), "groups")
+
+    # who asks which group: a signature in common, another component, and the smaller group asks
+    held = posts.select("sig", "node").join(member, "node")
+    mixed = held.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
+    held = saved(held.join(mixed, "sig"), "held")
+    at = held.groupBy("sig", F.col("grp").alias("other"), F.col("size").alias("other_size")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    asks = held.join(at, (held["sig"] == at["sig"]) & F.expr(
+        "(size < other_size OR size = other_size AND grp < other) AND NOT (lo = comp AND hi = comp)"))
+    asks = asks.select("node", "n", F.col("other").alias("grp")).distinct()
+    parts = asks.groupBy("grp").agg(F.ceil(F.sum("n") / TOKENS).alias("parts"))
+    asks = saved(asks.join(parts, "grp").select("grp", F.pmod(F.xxhash64("node"), "parts").alias("part"), "node"), "asks")
+
+    # the token-group matrix of the groups that are asked; sides go to (group, part of its queries)
+    both = lambda q, o: (q.selectExpr("grp", "part", "node", "tokens", "true AS query")
+                         .union(o.selectExpr("grp", "part", "node", "tokens", "false AS query")).groupBy("grp", "part"))
+    asked_parts = asks.select("grp", "part").distinct()
+    unions = (sets.select("grp", "tokens").join(asks.select("grp").distinct(), "grp", "left_semi")
+              .groupBy("grp").applyInPandas(union_of, "grp long, tokens array<bigint>"))
     # ids are 64-bit: no nulls beside them, which pandas would turn into floating-point numbers
-    against = pairs.join(unions.withColumnRenamed("grp", "other"), "other").selectExpr("one", "other", "0L AS node", "tokens", "false AS query")
-    asked = saved(queries.union(against).groupBy("one", "other").applyInPandas(qualify(percent), "one long, other long, node long"), "asked")
-    opened = asked.select("one", "other").distinct().join(sets.select(F.col("grp").alias("other"), "node", "tokens"), "other")
-    asking = asked.join(sets.select("node", "tokens"), "node").selectExpr("one", "other", "node", "tokens", "true AS query")
-    across = (asking.union(opened.selectExpr("one", "other", "node", "tokens", "false AS query"))
-              .groupBy("one", "other").applyInPandas(between(percent), "node long, root long"))
+    bound = both(asks.join(sets.select("node", "tokens"), "node"), asked_parts.join(unions, "grp").withColumn("node", F.lit(0).cast("long")))
+    open_for = saved(bound.applyInPandas(qualify(percent), "grp long, part long, node long"), "qualified")
+    opened = open_for.select("grp", "part").distinct().join(sets.select("grp", "node", "tokens"), "grp")
+    across = both(open_for.join(sets.select("node", "tokens"), "node"), opened).applyInPandas(between(percent), "node long, root long")
+    across = saved(across.where("node <> root"), "across")
 
     edges = inside.select("node", "root").union(across).where("node <> root").selectExpr("node AS a", "root AS b")
     parts = connected_components(edges)
+    free(shared, kept, posts, sets, inside, member, held, asks, open_for, across)
     least = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     least = least.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = least.groupBy("component").agg(F.min("least").alias("component_id"))
