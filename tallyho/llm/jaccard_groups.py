@@ -287,11 +287,14 @@ def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: i
     least, greatest = F.min("node").alias("lo"), F.max("node").alias("hi")
     sigs = rows.selectExpr("node", "own", "spare", "posexplode(sigs) AS (i, sig)").selectExpr(
         "sig", "node", "i >= own AS next", "spare[IF(i < own, 0, 1)] AS spare")
-    shared = saved(sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), least, greatest).where("lo < hi").select("sig", "n"), "shared")
+    # (sets that both list it for the next size class are of one class, and share one of that)
+    some = F.bool_and("next").alias("none")
+    shared = saved(sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("n"), least, greatest, some)
+                   .where("lo < hi AND NOT none").select("sig", "n"), "shared")
     common = Window.partitionBy("node", "next").orderBy(F.desc("n"), "sig")
     kept = sigs.join(shared, "sig").distinct().withColumn("nth", F.row_number().over(common)).where("nth > spare")
-    kept = saved(kept.select("sig", "node"), "kept")
-    bounds = kept.groupBy("sig").agg(least, greatest).where("lo < hi").select("sig", "lo")
+    kept = saved(kept.select("sig", "node", "next"), "kept")
+    bounds = kept.groupBy("sig").agg(least, greatest, some).where("lo < hi AND NOT none").select("sig", "lo")
     posts = saved(kept.join(bounds, "sig"), "posts")
 
     # groups: the least shared node leads, in chunks
@@ -311,12 +314,12 @@ def components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", n: i
     member = saved(member.join(large, "grp").select("node", "n", "grp", "size", "comp"), "groups")
 
     # who asks which group: a signature in common, another component, and the smaller group asks
-    held = posts.select("sig", "node").join(member, "node")
+    held = posts.select("sig", "node", "next").join(member, "node")
     mixed = held.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig")
     held = saved(held.join(mixed, "sig"), "held")
-    at = held.groupBy("sig", F.col("grp").alias("other"), F.col("size").alias("other_size")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    at = held.groupBy("sig", F.col("grp").alias("other"), F.col("size").alias("other_size")).agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), some)
     asks = held.join(at, (held["sig"] == at["sig"]) & F.expr(
-        "(size < other_size OR size = other_size AND grp < other) AND NOT (lo = comp AND hi = comp)"))
+        "(size < other_size OR size = other_size AND grp < other) AND NOT (lo = comp AND hi = comp) AND NOT (next AND none)"))
     asks = asks.select("node", "n", F.col("other").alias("grp")).distinct()
     parts = asks.groupBy("grp").agg(F.ceil(F.sum("n") / TOKENS).alias("parts"))
     asks = saved(asks.join(parts, "grp").select("grp", F.pmod(F.xxhash64("node"), "parts").alias("part"), "node"), "asks")
