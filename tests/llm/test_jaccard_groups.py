@@ -1,6 +1,9 @@
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from llm.helpers import awkward, docs_of, prose
 
 from tallyho.llm import jaccard_groups as J
@@ -86,6 +89,46 @@ def test_more_buckets_than_signatures(spark):
     assert found(spark, rows, 5, 80) == brute(rows, 5, 80)
 
 
+def test_a_common_passage_is_left_out(spark):
+    """Documents that share a passage, and near copies of some: signatures of the passage are
+    in most nodes and go, those that a linked pair needs stay."""
+    passage = prose(77, 30)
+    rows = []
+    for i in range(60):
+        own = prose(1000 + i, 70).split()
+        rows.append((2 * i, passage + " " + " ".join(own)))
+        own[i] = "changed"
+        if i % 3 == 0:
+            rows.append((2 * i + 1, passage + " " + " ".join(own)))
+    want = brute(rows, 5, 80)
+    assert found(spark, rows, 5, 80) == want
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 10**9), st.sampled_from([(3, 90), (5, 80)]), st.integers(20, 900))
+def test_linked_sets_share_a_signature_whatever_is_left_out(seed, kind, size):
+    """All signatures listed (most=None): whichever may be left out, one in common stays, if
+    both leave them out in one order."""
+    _, percent = kind
+    r = np.random.default_rng(seed)
+    classes = J.size_classes(percent)
+    a = np.unique(r.integers(0, 2**63, size, dtype=np.uint64))
+    b = a.copy()
+    while True:  # as many tokens replaced as the threshold allows
+        c = b.copy()
+        c[r.integers(len(c))] = r.integers(0, 2**63, dtype=np.uint64)
+        common = len(np.intersect1d(a, c))
+        if 100 * common < percent * (len(a) + len(np.unique(c)) - common):
+            break
+        b = np.unique(c)
+    lists = {}
+    for name, s in (("a", a), ("b", b)):
+        for sig, spare in J.signatures(s, classes, None):
+            order = sorted(sig.tolist(), key=lambda x: (hash((x, seed)), x))  # any order that both use
+            lists.setdefault(name, set()).update(order[:len(order) - spare])
+    assert lists["a"] & lists["b"] or len(a) < classes[0][1]
+
+
 def test_empty_table(spark):
     assert found(spark, [], 3, 90) == []
     assert J.keep_one(docs_of(spark, [])).collect() == []
