@@ -95,14 +95,13 @@ def read_state(spark: SparkSession, base: str) -> DataFrame:
 
 def read_dumps(spark: SparkSession, base: str) -> DataFrame:
     """All kept versions of a location, each as the dump it was: state rows and ``dump``
-    (its number)."""
-    out = None
-    for n in numbers(spark, base):
-        d = spark.read.parquet(read_commit(spark, base, n).path).withColumn("dump", F.lit(n).cast("bigint"))
-        out = d if out is None else out.unionByName(d)
-    if out is None:
+    (its number). One read of the versions' directories; the number comes from the path."""
+    paths = [read_commit(spark, base, n).path for n in numbers(spark, base)]
+    if not paths:
         return read_snapshot_table(spark, base).withColumn("dump", F.lit(0).cast("bigint")).limit(0)
-    return out
+    number = F.regexp_extract(F.col("_metadata.file_path"), "/v(?:=|%3D)(\\d+)-", 1).cast("bigint")
+    # versions without ``last_seq`` (plain snapshots) may stand beside others
+    return spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths).withColumn("dump", number).drop("v")
 
 
 def read_ticks(spark: SparkSession, base: str, interval_s: int) -> DataFrame:

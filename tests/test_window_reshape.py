@@ -30,7 +30,7 @@ def test_echo_hot_key_across_ranges(updates):
     assert got == want
 
 
-def test_tick_snapshot_repeats_known_metrics(spark):
+def test_tick_snapshot_repeats_every_key_seen(spark):
     day = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame(
         [(1, day.replace(hour=1), "c", "counter", 2, None), (2, day.replace(day=3), "c", "counter", 5, None),
