@@ -204,9 +204,9 @@ def cells(nodes: DataFrame, threshold: float) -> DataFrame:
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             cell, row, visits = [], [], []
-            for key, part in f.groupby(["label", "dim"], sort=False):
+            for key, part in f.groupby(["label", "dim"], sort=False, dropna=False):
                 at = part.index.to_numpy()
-                s = shared.value.get(tuple(int(k) for k in key))
+                s = shared.value.get(key)
                 if s is None:
                     row.append(at), cell.append(np.zeros(len(at), int)), visits.append(np.zeros(len(at), bool))
                     continue
@@ -236,7 +236,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector: str = "embe
     v = F.col(vector)
     good = (F.col(label).isNotNull() & v.isNotNull() & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
             & F.exists(v, lambda c: c != 0))
-    rows = rows.select(F.col(id_col).alias("vec_id"), F.col(label).cast("long").alias("label"), v.alias("vec"),
+    rows = rows.select(F.col(id_col).alias("vec_id"), F.col(label).alias("label"), v.alias("vec"),
                        F.coalesce(good, F.lit(False)).alias("good"))
     rows = rows.withColumn("node", F.when(F.col("good"), F.xxhash64("label", "vec")))
     nodes = saved(rows.where("good").groupBy("node").agg(

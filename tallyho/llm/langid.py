@@ -114,7 +114,9 @@ def ridge(x: np.ndarray, y: np.ndarray, rounds: int = 200) -> np.ndarray:
 
 def fit(rows: list[tuple[str, str]]) -> Model:
     """``rows``: (language, text) of the sample. Each text also trains by a short
-    snippet, so that short texts are met in training."""
+    snippet, so that short texts are met in training. Texts without a letter teach
+    nothing: a language that has no others is not learned."""
+    rows = [(lang, text) for lang, text in rows if LETTER.search(text)]
     langs = sorted({lang for lang, _ in rows})
     code = codewords(len(langs))
     if len(langs) < 2:

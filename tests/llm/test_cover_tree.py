@@ -107,3 +107,16 @@ def test_tree_covers_and_traversal_meets_each_pair_once():
     close = {(i, j) for i in range(300) for j in range(i + 1, 300) if d[i, j] <= 0.4}
     assert close <= set(seen) and all(len(v) == 1 for v in seen.values())
     assert len(seen) < 300 * 299 // 2  # some pairs of balls were pruned
+
+
+@pytest.mark.parametrize("kind, labels", [("double", [1.2, 1.7, 1.2, float("nan"), float("nan")]), ("string", ["a", "b", "a", "", ""])])
+def test_labels_of_any_type(spark, monkeypatch, kind, labels):
+    """Equal labels only: they are compared as they are. Small cells, so that seeds are drawn."""
+    monkeypatch.setattr(C, "CELL", 2)
+    v = [1.0, 2.0, 3.0]
+    rows = [(i, v if i % 2 else [x + 1e-4 * i for x in v], x) for i, x in enumerate(labels * 3)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<double>, label {kind}")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in C.near_duplicates(df).collect()}
+    name = lambda i: str(rows[i][2])
+    same = {i: [j for j in range(len(rows)) if name(j) == name(i)] for i in range(len(rows))}
+    assert got == {i: (len(s) - 1, min(s)) for i, s in same.items()}

@@ -85,3 +85,12 @@ def test_long_text_equals_whole(spark):
     x = L.features(LONG)
     assert x.shape == (L.WIDTH,) and abs(np.linalg.norm(x) - 1) < 1e-5
     assert not np.allclose(x, L.features(LONG[: len(LONG) // 3]))
+
+
+def test_labels_without_a_letter_teach_nothing():
+    m = L.fit([("de", "123 456"), ("en", "789 12")])
+    assert m.langs == [] and m.decode(np.zeros((1, L.WIDTH), np.float32)) == [(L.UNKNOWN, 0.0, True)]
+    m = L.fit([("de", "der und die"), ("en", "789"), ("fr", "le la les et")])
+    assert m.langs == ["de", "fr"]
+    found = m.decode(np.array([L.features("und der"), L.features("zzz")]))
+    assert found[0][0] == "de" and all(0 <= s <= 1 for _, s, _ in found)
